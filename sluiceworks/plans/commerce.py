@@ -335,3 +335,24 @@ def nation_history(orders: DataFrame, customer: DataFrame, nation: DataFrame) ->
         .join(urgent, "n_nationkey", "left")
         .fillna(0, ["urgent_customers"])
     )
+
+
+def segment_year_summary(orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """One row per year and market segment, from sums per customer."""
+    per_key = orders.groupBy(F.year("order_date").alias("year"), "cust_key").agg(
+        F.count("*").alias("orders"),
+        count_where(F.col("order_priority") == "1-URGENT").alias("urgent"),
+        F.sum(money("total_price")).alias("spend"),
+        F.min("total_price").alias("smallest"),
+    )
+    segments = customer.select(F.col("c_custkey").alias("cust_key"), F.col("c_mktsegment").alias("segment"))
+    return (
+        per_key.join(segments, "cust_key")
+        .groupBy("year", "segment")
+        .agg(
+            F.sum("orders").alias("orders"),
+            F.sum("urgent").alias("urgent"),
+            F.round(F.sum("spend"), 1).cast("double").alias("spend"),
+            F.min("smallest").alias("smallest"),
+        )
+    )
