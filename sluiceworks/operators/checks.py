@@ -2,53 +2,71 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from sluiceworks.contract import Contract
-from sluiceworks.functions import unmark
+from sluiceworks.contract import Column, Contract
+from sluiceworks.functions import NULL_MARKER
 from sluiceworks.sources.raw import PROVENANCE, ROW_ID
 
-RAW = "_raw"
 FOUND = "_found"
 
 
+def original(source: str) -> str:
+    """Where the unmarked original of a source column is kept."""
+    return f"_raw_{source}"
+
+
 def typed(raw: DataFrame, contract: Contract) -> DataFrame:
-    """Contract columns typed and conformed, beside the unmarked originals (struct ``_raw``).
+    """Contract columns typed and conformed, beside the unmarked originals (``_raw_…``).
 
     ``try_cast`` gives NULL for text that does not parse; the original shows that it was there.
-    Doubles get ``+ 0.0`` so that negative zero equals zero.
+    Doubles get ``+ 0.0`` so that negative zero equals zero. Originals stay separate columns: a
+    struct of them would make every scan read all of them.
     """
-    originals = F.struct(*[unmark(f"`{c.source}`").alias(c.source) for c in contract.columns])
     kept = [c for c in (*PROVENANCE, ROW_ID) if c in raw.columns]
+    originals = [f"{unmarked(c)} AS `{original(c.source)}`" for c in contract.columns]
+    values = [f"{value_of(c, f'`{original(c.source)}`')} AS `{c.name}`" for c in contract.columns]
+    return raw.selectExpr(*originals, *kept).selectExpr("*", *values)
+
+
+def unmarked(column: Column) -> str:
+    return f"nullif(`{column.source}`, r'{NULL_MARKER}')"
 
-    def value(c) -> Column:
-        text = F.col(f"{RAW}.`{c.source}`")
-        if c.is_text:
-            return text.alias(c.name)
-        cast = text.try_cast(c.type)
-        return (cast + F.lit(0.0) if c.type.typeName() == "double" else cast).alias(c.name)
 
-    return raw.select(originals.alias(RAW), *kept).select(RAW, *kept, *map(value, contract.columns))
+def value_of(column: Column, text: str) -> str:
+    if column.is_text:
+        return text
+    kind = column.type.simpleString()
+    return f"try_cast({text} AS {kind})" + (" + 0.0D" if kind == "double" else "")
 
 
-def row_findings(contract: Contract) -> list[Column]:
-    """One expression per check, in order: per column ``bad_``/``missing_``, then ``invalid_``.
+def with_key_values(raw: DataFrame, contract: Contract, prefix: str) -> DataFrame:
+    """The raw rows with only the key columns typed, under prefixed names."""
+    keys = [c for c in contract.columns if c.name in contract.key]
+    return raw.selectExpr("*", *[f"{value_of(c, unmarked(c))} AS `{prefix}{c.name}`" for c in keys])
+
+
+def row_findings(contract: Contract) -> list[str]:
+    """One SQL expression per check, in order: per column ``bad_``/``missing_``, then ``invalid_``.
 
     Each is the reason's name or NULL. A rule that evaluates to NULL is not a violation.
     """
-    found: list[Column] = []
+    found = []
     for c in contract.columns:
-        present = F.col(f"{RAW}.`{c.source}`").isNotNull()
+        text = f"`{original(c.source)}`"
         if not c.is_text:
-            found.append(F.when(present & F.col(c.name).isNull(), f"bad_{c.name}"))
+            found.append(f"CASE WHEN {text} IS NOT NULL AND `{c.name}` IS NULL THEN 'bad_{c.name}' END")
         if c.required:
-            found.append(F.when(~present, f"missing_{c.name}"))
+            found.append(f"CASE WHEN {text} IS NULL THEN 'missing_{c.name}' END")
     for name, predicate in contract.rules.items():
-        found.append(F.when(~F.expr(predicate), f"invalid_{name}"))
+        found.append(f"CASE WHEN NOT ({predicate}) THEN 'invalid_{name}' END")
     return found
 
 
 def with_row_findings(rows: DataFrame, contract: Contract) -> DataFrame:
-    """Adds ``_found``: the array of reasons this row collects by itself."""
-    return rows.withColumn(FOUND, F.array_compact(F.array(*row_findings(contract))))
+    """Adds ``_found``: the reasons this row collects by itself, joined by commas (``''`` for none).
+
+    ``concat_ws`` skips NULLs and, unlike array functions that take a lambda, is compiled together
+    with the casts and comparisons around it.
+    """
+    return rows.selectExpr("*", f"concat_ws(',', {', '.join(row_findings(contract))}) AS {FOUND}")

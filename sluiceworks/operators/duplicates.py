@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluiceworks.contract import Contract
-from sluiceworks.operators.checks import FOUND
-from sluiceworks.operators.keyed import LIMITS, Limits, attach, settle
+from sluiceworks.operators.checks import FOUND, typed, with_key_values, with_row_findings
+from sluiceworks.operators.keyed import LIMITS, Findings, Limits, attach, settle
 from sluiceworks.sources.raw import ROW_ID
 
 
@@ -24,7 +24,8 @@ def key_verdicts(suspects: DataFrame, contract: Contract) -> DataFrame:
     key, however many copies there are. The row with the fewest reasons is kept, then the first.
     """
     values = F.struct(*contract.names)
-    rank = F.struct(F.size(FOUND).alias("reasons"), F.col(ROW_ID).alias("row"))
+    reasons = F.when(F.col(FOUND) == "", 0).otherwise(F.size(F.split(FOUND, ",")))
+    rank = F.struct(reasons.alias("reasons"), F.col(ROW_ID).alias("row"))
     return (
         suspects.groupBy(*contract.key)
         .agg(
@@ -42,22 +43,26 @@ def key_verdicts(suspects: DataFrame, contract: Contract) -> DataFrame:
     )
 
 
+def suspect_rows(raw: DataFrame, contract: Contract, sizes: Findings) -> DataFrame:
+    """The rows of repeated keys, typed and checked. Only their keys are cast before they are found."""
+    prefix = "_key_"
+    hits = sizes.prefixed(prefix)
+    found = attach(with_key_values(raw, contract, prefix), hits.frame, hits)
+    return with_row_findings(typed(found.where(F.col("_copies").isNotNull()), contract), contract)
+
+
 def with_duplicate_findings(
-    rows: DataFrame, contract: Contract, base: DataFrame, limits: Limits = LIMITS
+    rows: DataFrame, contract: Contract, raw: DataFrame, limits: Limits = LIMITS
 ) -> tuple[DataFrame, list]:
     """Adds the verdict columns and returns the ``exact_duplicate`` / ``key_conflict`` expressions.
 
-    ``base`` holds the same rows before references were checked: equal values point to equal
-    parents, so references cannot change which copy is best.
+    Verdicts come from the raw rows, without references: equal values point to equal parents, so
+    references cannot change which copy is best.
     """
-    sizes = settle(
-        repeated_keys(base, contract), list(contract.key), "_copies", f"repeated-{contract.dataset}", limits
-    )
+    sizes = settle(repeated_keys(typed(raw, contract), contract), list(contract.key), "_copies", limits)
     if sizes.rows == 0:
         return rows, []
-    needed = list(dict.fromkeys([*contract.names, FOUND, ROW_ID]))
-    suspects = attach(base.select(*needed), sizes.frame, sizes).where(F.col("_copies").isNotNull())
-    verdicts = key_verdicts(suspects.drop("_copies"), contract)
+    verdicts = key_verdicts(suspect_rows(raw, contract, sizes), contract)
     rows = attach(rows, verdicts, sizes)
     repeated = F.col("_copies") > 1
     return rows, [

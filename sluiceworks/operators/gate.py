@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluiceworks.contract import Contract
-from sluiceworks.operators.checks import FOUND, RAW, typed, with_row_findings
+from sluiceworks.operators.checks import FOUND, original, typed, with_row_findings
 from sluiceworks.operators.duplicates import with_duplicate_findings
 from sluiceworks.operators.keyed import LIMITS, Limits
 from sluiceworks.operators.references import Parent, with_reference_findings
@@ -22,14 +22,19 @@ QUARANTINED_AT = "_quarantined_at"
 
 @dataclass(frozen=True)
 class Staged:
-    """All rows of a dataset after the gate: originals, typed values, provenance, reason array."""
+    """All rows of a dataset after the gate: originals, typed values, provenance, reasons (``''`` = clean)."""
 
     contract: Contract
     rows: DataFrame
 
     @property
     def is_clean(self):
-        return F.size(REASONS) == 0
+        return F.col(REASONS) == ""
+
+    @property
+    def originals(self):
+        """The original columns under their source names."""
+        return [F.col(f"`{original(c.source)}`").alias(c.source) for c in self.contract.columns]
 
     @property
     def trusted(self) -> DataFrame:
@@ -40,9 +45,9 @@ class Staged:
     def rejected(self) -> DataFrame:
         """The exact complement: original strings, provenance, reasons joined by commas."""
         return self.rows.where(~self.is_clean).select(
-            f"{RAW}.*",
+            *self.originals,
             *[c for c in PROVENANCE if c in self.rows.columns],
-            F.array_join(REASONS, ",").alias(REASONS),
+            REASONS,
         )
 
     def quarantine(self, run_ts: datetime) -> DataFrame:
@@ -67,14 +72,12 @@ def gate(
         raise ValueError(f"{contract.dataset}: raw rows need {ROW_ID}; see sources.with_row_id")
     base = with_row_findings(typed(raw, contract), contract)
     rows, orphans = with_reference_findings(base, contract, dict(parents or {}), limits)
-    rows, copies = with_duplicate_findings(rows, contract, base, limits)
+    rows, copies = with_duplicate_findings(rows, contract, raw, limits)
     reasons = F.col(FOUND)
     if orphans or copies:
-        reasons = F.concat(FOUND, F.array_compact(F.array(*orphans, *copies)))
-    kept = [c for c in (*PROVENANCE, ROW_ID) if c in base.columns]
-    return Staged(
-        contract, rows.select(RAW, *contract.names, *kept, reasons.alias(REASONS))
-    )
+        reasons = F.concat_ws(",", F.nullif(F.col(FOUND), F.lit("")), *orphans, *copies)
+    staged = [c for c in base.columns if c != FOUND]
+    return Staged(contract, rows.select(*[f"`{c}`" for c in staged], reasons.alias(REASONS)))
 
 
 def reason_counts(rejected: DataFrame) -> DataFrame:

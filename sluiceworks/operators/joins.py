@@ -25,7 +25,7 @@ def lookup(
     if dimension.limit(limits.broadcast_rows + 1).count() <= limits.broadcast_rows:
         return fact.join(F.broadcast(dimension), key, how)
     heavy = fact.groupBy(key).agg(F.count("*").alias("_uses")).where(F.col("_uses") > limits.task_rows)
-    sizes = settle(heavy, [key], "_uses", f"heavy-{key}", limits)
+    sizes = settle(heavy, [key], "_uses", limits)
     if sizes.rows == 0:
         return fact.join(dimension, key, how)
     over = sizes.frame.where(F.col("_uses") > sizes.rows_per_task)

@@ -1,7 +1,7 @@
 """Attaching per-key findings to wide rows without shuffling the rows when that can be avoided.
 
-A finding frame has one row per key and a weight: how many wide rows share the key. It is stored in
-the shared folder and measured while being written. If it is small it is broadcast and the wide rows
+A finding frame has one row per key and a weight: how many wide rows share the key. It is
+checkpointed in the shared folder and measured on the way. If it is small it is broadcast and the wide rows
 stay where they are. If it is not, both sides are shuffled on the key, and keys with more rows
 than one task should hold are spread over several tasks.
 """
@@ -9,13 +9,13 @@ than one task should hold are spread over several tasks.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from sluiceworks.session import workspace
+from sluiceworks.session import checkpoint_folder
 from sluiceworks.sources.raw import ROW_ID
 
 
@@ -34,7 +34,7 @@ LIMITS = Limits()
 
 @dataclass(frozen=True)
 class Findings:
-    """A stored finding frame and its measurements."""
+    """A checkpointed finding frame and its measurements."""
 
     frame: DataFrame
     keys: tuple[str, ...]
@@ -44,6 +44,11 @@ class Findings:
     total_weight: int
     limits: Limits
 
+    def prefixed(self, prefix: str) -> Findings:
+        """The same findings under prefixed key names."""
+        frame = renamed(self.frame, list(self.keys), prefix)
+        return replace(self, frame=frame, keys=tuple(prefix + k for k in self.keys))
+
     @property
     def small(self) -> bool:
         return self.rows <= self.limits.broadcast_rows and self.key_bytes <= self.limits.broadcast_bytes
@@ -54,31 +59,22 @@ class Findings:
         return max(self.limits.task_rows, math.ceil(self.total_weight / self.limits.heavy_keys))
 
 
-def settle(
-    frame: DataFrame, keys: list[str], weight: str, label: str, limits: Limits = LIMITS
-) -> Findings:
-    """Writes a finding frame once to the shared folder, measuring it on the way."""
-    spark = frame.sparkSession
-    path = workspace(spark, label)
+def settle(frame: DataFrame, keys: list[str], weight: str, limits: Limits = LIMITS) -> Findings:
+    """Checkpoints a finding frame in the shared folder, measuring it on the way."""
+    checkpoint_folder(frame.sparkSession)
     seen = Observation()
     key_bytes = reduce(
         lambda a, b: a + b, [F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(1)) for k in keys]
     )
-    frame.observe(
+    stored = frame.observe(
         seen,
         F.count("*").alias("rows"),
         F.sum(key_bytes).alias("key_bytes"),
         F.sum(weight).alias("weight"),
-    ).write.parquet(path)
+    ).checkpoint()
     sizes = seen.get
     return Findings(
-        spark.read.schema(frame.schema).parquet(path),
-        tuple(keys),
-        weight,
-        sizes["rows"],
-        sizes["key_bytes"] or 0,
-        sizes["weight"] or 0,
-        limits,
+        stored, tuple(keys), weight, sizes["rows"], sizes["key_bytes"] or 0, sizes["weight"] or 0, limits
     )
 
 

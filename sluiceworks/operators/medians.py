@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sluiceworks.operators.keyed import LIMITS, renamed, same_key, settle
+from sluiceworks.operators.keyed import renamed, same_key, settle
 from sluiceworks.session import workspace
 
 TASK_VALUES = 2_000_000
@@ -43,7 +43,7 @@ def exact_median(
             )
             .where(F.col("_values") > task_values)
         )
-        sizes = settle(wide, groups, "_values", "wide-groups", LIMITS)
+        sizes = settle(wide, groups, "_values")
         if sizes.rows == 0:
             break
         path = workspace(present.sparkSession, "narrowed")

@@ -61,7 +61,7 @@ def _by_used_values(rows: DataFrame, ref: Reference, parent: Parent, limits: Lim
         .where(F.col(_flag(ref.column)) | (F.col("_uses") > limits.task_rows))
         .select(ref.column, "_uses", _flag(ref.column))
     )
-    sizes = settle(report, [ref.column], "_uses", f"orphans-{ref.column}", limits)
+    sizes = settle(report, [ref.column], "_uses", limits)
     marked = attach(rows, sizes.frame, sizes).drop("_uses")
     return marked.withColumn(_flag(ref.column), F.coalesce(_flag(ref.column), F.lit(False)))
 

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluiceworks.contract import Contract, build_order
-from sluiceworks.operators.checks import RAW
 from sluiceworks.operators.gate import QUARANTINED_AT, REASONS, Staged, gate
 from sluiceworks.operators.keyed import LIMITS, Limits
 from sluiceworks.operators.references import Parent
@@ -21,6 +20,7 @@ from sluiceworks.sources.raw import PROVENANCE
 from sluiceworks.session import workspace
 
 VERDICT = "verdict"
+ORIGINAL = "_original"
 
 
 @dataclass(frozen=True)
@@ -39,7 +39,7 @@ class Stored:
     @property
     def rejected(self) -> DataFrame:
         return self.table.where(F.col(VERDICT) == "quarantine").select(
-            f"{RAW}.*", *[c for c in PROVENANCE if c in self.table.columns], REASONS
+            f"{ORIGINAL}.*", *[c for c in PROVENANCE if c in self.table.columns], REASONS
         )
 
     def quarantine(self, run_ts: datetime) -> DataFrame:
@@ -63,9 +63,9 @@ def store(staged: Staged, path: str) -> Stored:
     ).select(
         F.when(clean, F.lit("trusted")).otherwise(F.lit("quarantine")).alias(VERDICT),
         *[F.when(clean, F.col(n)).alias(n) for n in names],
-        F.when(~clean, F.col(RAW)).alias(RAW),
+        F.when(~clean, F.struct(*staged.originals)).alias(ORIGINAL),
         *[F.when(~clean, F.col(c)).alias(c) for c in PROVENANCE if c in staged.rows.columns],
-        F.array_join(REASONS, ",").alias(REASONS),
+        REASONS,
     )
     split.write.partitionBy(VERDICT).parquet(path)
     schema = T.StructType(

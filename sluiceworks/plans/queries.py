@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from sluiceworks.functions import full_name, money, seconds
 from sluiceworks.operators import audit
 from sluiceworks.operators.checks import typed
-from sluiceworks.operators.duplicates import key_verdicts, repeated_keys
+from sluiceworks.operators.duplicates import key_verdicts, repeated_keys, suspect_rows
 from sluiceworks.operators.gate import REASONS, Staged, gate, reason_counts
 from sluiceworks.operators.joins import join_audit
+from sluiceworks.operators.keyed import settle
 from sluiceworks.operators.ranking import history_of_leaders, series_minimum, top
 from sluiceworks.plans import commerce, serving
 from sluiceworks.plans.flow import Stored, build
@@ -119,7 +120,7 @@ def split_store(spark, folder):
     return s.table.groupBy("verdict").agg(
         F.count("*").alias("rows"),
         F.count("order_key").alias("typed_keys"),
-        F.count("_raw").alias("originals"),
+        F.count("_original").alias("originals"),
     )
 
 
@@ -175,11 +176,9 @@ def gate_lineitem_conflicts(spark, folder):
 
 def duplicate_verdicts(spark, folder):
     """Per repeated key of the raw orders: number of copies and whether they agree."""
-    rows = typed(commerce.raw_table(spark, folder, "orders"), C["orders"]).withColumn(
-        "_found", F.array().cast("array<string>")
-    )
-    suspects = rows.join(repeated_keys(rows, C["orders"]).drop("_copies"), "order_key", "left_semi")
-    return key_verdicts(suspects, C["orders"]).select(
+    raw = commerce.raw_table(spark, folder, "orders")
+    sizes = settle(repeated_keys(typed(raw, C["orders"]), C["orders"]), ["order_key"], "_copies")
+    return key_verdicts(suspect_rows(raw, C["orders"], sizes), C["orders"]).select(
         "order_key", F.col("_copies").alias("copies"), F.col("_alike").alias("alike")
     )
 
@@ -244,12 +243,12 @@ EXPECTATIONS = {
 
 
 def expectation_metrics(spark, folder):
-    rows = staged_orders(spark, folder).rows.withColumn(REASONS, F.array_join(REASONS, ","))
+    rows = staged_orders(spark, folder).rows
     return audit.expectation_metrics(rows, EXPECTATIONS, "orders")
 
 
 def expectation_gate(spark, folder):
-    rows = staged_orders(spark, folder).rows.withColumn(REASONS, F.array_join(REASONS, ","))
+    rows = staged_orders(spark, folder).rows
     kept, _ = audit.expect_all_or_drop(rows, {"quality_gate": EXPECTATIONS["quality_gate"]})
     return kept.select(*C["orders"].names, REASONS)
 
@@ -351,10 +350,18 @@ def nation_history(spark, folder):
     return commerce.nation_history(b["orders"].trusted, b["customer"].trusted, b["nation"].trusted)
 
 
+_NEEDS = {
+    "customer_year": ("orders",),
+    "segment_year": ("orders",),
+    "brand_year": ("lineitem",),
+    "nation_history": ("orders",),
+    "event_evolution": (),
+}
+
+
 def _marts(spark, folder, *names) -> dict[str, DataFrame]:
-    """The named marts over one build, stored so that several readers share one computation."""
-    needs_lines = "brand_year" in names
-    b = stored(spark, folder, *(("lineitem", "orders") if needs_lines else ("orders",)))
+    """The named marts over one build."""
+    b = stored(spark, folder, *{d for n in names for d in _NEEDS[n]})
     t = {n: b[n].trusted for n in b}
     make = {
         "customer_year": lambda: commerce.customer_year_summary(t["orders"], t["customer"]),
@@ -363,13 +370,14 @@ def _marts(spark, folder, *names) -> dict[str, DataFrame]:
         "nation_history": lambda: commerce.nation_history(t["orders"], t["customer"], t["nation"]),
         "event_evolution": lambda: event_value_evolution(spark, folder),
     }
-    out = {}
-    for n in names:
-        path = workspace(spark, n)
-        mart = make[n]()
-        mart.write.parquet(path)
-        out[n] = spark.read.schema(mart.schema).parquet(path)
-    return out
+    return {n: make[n]() for n in names}
+
+
+def at_rest(mart: DataFrame) -> DataFrame:
+    """The mart written to the shared folder: for queries that read it more than once."""
+    path = workspace(mart.sparkSession, "mart")
+    mart.write.parquet(path)
+    return mart.sparkSession.read.schema(mart.schema).parquet(path)
 
 
 def mart_reconciliation(spark, folder):
@@ -435,11 +443,14 @@ def triangle_check(spark, folder):
 
 def mart_audit(spark, folder):
     """Rows and one key sum per mart; expected are years x segments and the trusted orders."""
-    m = _marts(spark, folder, "segment_year", "nation_history")
-    b = stored(spark, folder, "orders")["orders"]
+    b = stored(spark, folder, "orders")
+    orders, customer, nation = (b[n].trusted for n in ("orders", "customer", "nation"))
     return audit.mart_audit(
-        {"segment_year_summary": (m["segment_year"], "orders"), "nation_history": (m["nation_history"], "orders")},
-        {"segment_year_summary": (35, b.clean), "nation_history": (25, b.clean)},
+        {
+            "segment_year_summary": (commerce.segment_year_summary(orders, customer), "orders"),
+            "nation_history": (commerce.nation_history(orders, customer, nation), "orders"),
+        },
+        {"segment_year_summary": (35, b["orders"].clean), "nation_history": (25, b["orders"].clean)},
     )
 
 
@@ -447,12 +458,17 @@ def mart_audit(spark, folder):
 
 
 def _served(text: str, *marts: str):
-    return lambda spark, folder: serving.serve(spark, text, **_marts(spark, folder, *marts))
+    def query(spark, folder):
+        made = _marts(spark, folder, *marts)
+        used = {n: at_rest(m) if text.count("{" + n + "}") > 1 else m for n, m in made.items()}
+        return serving.serve(spark, text, **used)
+
+    return query
 
 
 def leaders_of_segments(spark, folder):
     """The three leading customers by number of orders, year by year, without SQL text."""
-    m = _marts(spark, folder, "customer_year")["customer_year"]
+    m = at_rest(_marts(spark, folder, "customer_year")["customer_year"])
     return history_of_leaders(m, "cust_key", F.sum("orders"), 3).select("year", "cust_key", "orders")
 
 

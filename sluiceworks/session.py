@@ -29,21 +29,22 @@ def session(app: str = "sluiceworks", master: str | None = None, **settings: str
     return builder.getOrCreate()
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder: what ``spark.checkpoint.dir`` names.
 
-    Executors must all see it, so a temporary folder stands in only for a local master.
+    Executors must all see it, so a temporary folder stands in only for a local master without one.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="sluiceworks-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
+        folder = tempfile.mkdtemp(prefix="sluiceworks-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder.rstrip("/")
 
 
 def workspace(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark)}/sluiceworks/{label}-{uuid.uuid4().hex}"
+    return f"{checkpoint_folder(spark)}/sluiceworks/{label}-{uuid.uuid4().hex}"
