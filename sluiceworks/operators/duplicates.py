@@ -11,10 +11,11 @@ from sluiceworks.operators.keyed import LIMITS, Findings, Limits, attach, settle
 from sluiceworks.sources.raw import ROW_ID
 
 
-def repeated_keys(rows: DataFrame, contract: Contract) -> DataFrame:
-    """``key…, _copies`` for keys on more than one row. Only the key columns are read, and counting
-    starts before the shuffle."""
-    return rows.groupBy(*contract.key).agg(F.count("*").alias("_copies")).where("_copies > 1")
+def repeated_keys(raw: DataFrame, contract: Contract, limits: Limits = LIMITS) -> Findings:
+    """Keys on more than one row, with their number of copies. Only the key columns are read, and
+    counting starts before the shuffle."""
+    counted = typed(raw, contract).groupBy(*contract.key).agg(F.count("*").alias("_copies"))
+    return settle(counted.where("_copies > 1"), list(contract.key), "_copies", limits)
 
 
 def key_verdicts(suspects: DataFrame, contract: Contract) -> DataFrame:
@@ -52,20 +53,18 @@ def suspect_rows(raw: DataFrame, contract: Contract, sizes: Findings) -> DataFra
 
 
 def with_duplicate_findings(
-    rows: DataFrame, contract: Contract, raw: DataFrame, limits: Limits = LIMITS
+    rows: DataFrame, contract: Contract, raw: DataFrame, repeated: Findings
 ) -> tuple[DataFrame, list]:
     """Adds the verdict columns and returns the ``exact_duplicate`` / ``key_conflict`` expressions.
 
     Verdicts come from the raw rows, without references: equal values point to equal parents, so
     references cannot change which copy is best.
     """
-    sizes = settle(repeated_keys(typed(raw, contract), contract), list(contract.key), "_copies", limits)
-    if sizes.rows == 0:
+    if repeated.rows == 0:
         return rows, []
-    verdicts = key_verdicts(suspect_rows(raw, contract, sizes), contract)
-    rows = attach(rows, verdicts, sizes)
-    repeated = F.col("_copies") > 1
-    return rows, [
-        F.when(repeated & F.col("_alike") & (F.col(ROW_ID) != F.col("_keeper")), "exact_duplicate"),
-        F.when(repeated & ~F.col("_alike"), "key_conflict"),
+    verdicts = key_verdicts(suspect_rows(raw, contract, repeated), contract)
+    several = F.col("_copies") > 1
+    return attach(rows, verdicts, repeated), [
+        F.when(several & F.col("_alike") & (F.col(ROW_ID) != F.col("_keeper")), "exact_duplicate"),
+        F.when(several & ~F.col("_alike"), "key_conflict"),
     ]

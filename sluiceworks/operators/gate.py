@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from sluiceworks.contract import Contract
 from sluiceworks.operators.checks import FOUND, original, typed, with_row_findings
-from sluiceworks.operators.duplicates import with_duplicate_findings
-from sluiceworks.operators.keyed import LIMITS, Limits
+from sluiceworks.operators.duplicates import repeated_keys, with_duplicate_findings
+from sluiceworks.operators.keyed import LIMITS, Findings, Limits
 from sluiceworks.operators.references import Parent, with_reference_findings
 from sluiceworks.sources.raw import PROVENANCE, ROW_ID
 
@@ -63,16 +63,19 @@ def gate(
     contract: Contract,
     parents: Mapping[str, Parent] | None = None,
     limits: Limits = LIMITS,
+    repeated: Findings | None = None,
 ) -> Staged:
     """Checks ``raw`` (all strings, with ``_row_id``) against its contract.
 
     Reasons come in a fixed order: per column ``bad_``/``missing_``, rules, references, duplicates.
+    ``repeated`` are the repeated keys if they are known already.
     """
     if ROW_ID not in raw.columns:
         raise ValueError(f"{contract.dataset}: raw rows need {ROW_ID}; see sources.with_row_id")
     base = with_row_findings(typed(raw, contract), contract)
     rows, orphans = with_reference_findings(base, contract, dict(parents or {}), limits)
-    rows, copies = with_duplicate_findings(rows, contract, raw, limits)
+    repeated = repeated or repeated_keys(raw, contract, limits)
+    rows, copies = with_duplicate_findings(rows, contract, raw, repeated)
     reasons = F.col(FOUND)
     if orphans or copies:
         reasons = F.concat_ws(",", F.nullif(F.col(FOUND), F.lit("")), *orphans, *copies)

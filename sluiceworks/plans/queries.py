@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluiceworks.functions import full_name, money, seconds
-from sluiceworks.operators import audit
+from sluiceworks.operators import audit, describe
 from sluiceworks.operators.checks import typed
 from sluiceworks.operators.duplicates import key_verdicts, repeated_keys, suspect_rows
 from sluiceworks.operators.gate import REASONS, Staged, gate, reason_counts
 from sluiceworks.operators.joins import join_audit
-from sluiceworks.operators.keyed import settle
 from sluiceworks.operators.ranking import history_of_leaders, series_minimum, top
 from sluiceworks.plans import commerce, serving
 from sluiceworks.plans.flow import Stored, build
@@ -177,8 +177,8 @@ def gate_lineitem_conflicts(spark, folder):
 def duplicate_verdicts(spark, folder):
     """Per repeated key of the raw orders: number of copies and whether they agree."""
     raw = commerce.raw_table(spark, folder, "orders")
-    sizes = settle(repeated_keys(typed(raw, C["orders"]), C["orders"]), ["order_key"], "_copies")
-    return key_verdicts(suspect_rows(raw, C["orders"], sizes), C["orders"]).select(
+    suspects = suspect_rows(raw, C["orders"], repeated_keys(raw, C["orders"]))
+    return key_verdicts(suspects, C["orders"]).select(
         "order_key", F.col("_copies").alias("copies"), F.col("_alike").alias("alike")
     )
 
@@ -521,6 +521,32 @@ def conflict_evidence(spark, folder):
     ).orderBy("orderKey", "orderPriority")
 
 
+# --- documentation ------------------------------------------------------------------------------
+
+
+def column_coverage(spark, folder):
+    """Trusted tables and marts stored with comments and tags; what the catalog then knows of them."""
+    b = stored(spark, folder, "orders")
+    t = {n: b[n].trusted for n in b}
+    tables = {n: t[n] for n in ("region", "nation", "customer", "orders")} | {
+        "customer_year_summary": commerce.customer_year_summary(t["orders"], t["customer"]),
+        "nation_history": commerce.nation_history(t["orders"], t["customer"], t["nation"]),
+    }
+    schema = "sluice_" + workspace(spark, "s").rsplit("-", 1)[-1]
+    create_schema(spark, schema, workspace(spark, schema))
+    describe.comment_schema(spark, schema, "Trusted tables and marts.", {"layer": "serving"})
+    counted = []
+    for name, rows in tables.items():
+        kept = overwrite(rows, f"{schema}.{name}")
+        about = commerce.DESCRIBER.table(name) or "Mart."
+        layer = "silver" if name in C else "gold"
+        describe.comment_table(spark, f"{schema}.{name}", about, {"layer": layer, "path": "commerce"})
+        describe.comment_columns(spark, f"{schema}.{name}", partial(commerce.DESCRIBER.column, name))
+        counted.append(kept.select(F.lit(name).alias("table_name")))
+    rows = audit.union_all(counted).groupBy("table_name").agg(F.count("*").alias("rows"))
+    return describe.coverage(spark, schema).join(rows, "table_name", "left")
+
+
 # --- functions ---------------------------------------------------------------------------------
 
 
@@ -587,7 +613,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         customer_year_summary, segment_year_summary, brand_year_summary, event_value_evolution,
         nation_history, mart_reconciliation, triangle_check, mart_audit, leaders_of_segments,
         urgent_chart, named_series, lowest_day, row_trace, conflict_evidence, scalar_functions,
-        range_filter, distinct_customers, spend_again,
+        range_filter, distinct_customers, spend_again, column_coverage,
     )
 } | {
     "kpi_row": _served(serving.KPI_ROW, "customer_year", "nation_history", "event_evolution"),
