@@ -176,11 +176,13 @@ def expect_all_or_drop(df: DataFrame, expectations: Mapping[str, str]) -> tuple[
 
 
 def require(audit: DataFrame, verdict: str, what: str) -> None:
-    """Raises unless the verdict is true on every line (there must be at least one)."""
-    row = audit.agg(F.count("*").alias("n"), F.count_if(verdict).alias("ok")).first()
+    """Raises unless the verdict (SQL) is true on every line; there must be at least one."""
+    row = audit.agg(F.count("*").alias("n"), F.count_if(F.expr(verdict)).alias("ok")).first()
     if row.n == 0 or row.ok != row.n:
         raise AssertionError(f"{what}: {row.ok} of {row.n} checks passed")
 
 
 def expectations_frame(spark: SparkSession, expected: list[tuple[str, float, float]]) -> DataFrame:
-    return spark.createDataFrame(expected, "check_name string, expected double, tolerance double")
+    """``(check_name, expected, tolerance)``: tolerance 0 means exact."""
+    lines = [(name, float(value), float(margin)) for name, value, margin in expected]
+    return spark.createDataFrame(lines, "check_name string, expected double, tolerance double")
