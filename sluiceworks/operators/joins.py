@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluiceworks.operators.keyed import LIMITS, Limits, settle, spread_join
+from sluiceworks.operators.keyed import LIMITS, Limits, fits_broadcast, settle, spread_join
 
 
 def lookup(
@@ -18,11 +18,11 @@ def lookup(
 ) -> DataFrame:
     """Equi-join of a fact with a dimension that has one row per ``key``, on the shared name.
 
-    A dimension counted to be small is broadcast. Otherwise the fact's heavy keys are looked for
+    A dimension measured to be small is broadcast. Otherwise the fact's heavy keys are looked for
     first (counting starts before the shuffle); only if there are any are those spread.
     ``identity`` names fact columns that tell rows apart.
     """
-    if dimension.limit(limits.broadcast_rows + 1).count() <= limits.broadcast_rows:
+    if fits_broadcast(dimension, limits):
         return fact.join(F.broadcast(dimension), key, how)
     heavy = fact.groupBy(key).agg(F.count("*").alias("_uses")).where(F.col("_uses") > limits.task_rows)
     sizes = settle(heavy, [key], "_uses", limits)

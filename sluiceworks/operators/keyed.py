@@ -63,13 +63,10 @@ def settle(frame: DataFrame, keys: list[str], weight: str, limits: Limits = LIMI
     """Checkpoints a finding frame in the shared folder, measuring it on the way."""
     checkpoint_folder(frame.sparkSession)
     seen = Observation()
-    key_bytes = reduce(
-        lambda a, b: a + b, [F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(1)) for k in keys]
-    )
     stored = frame.observe(
         seen,
         F.count("*").alias("rows"),
-        F.sum(key_bytes).alias("key_bytes"),
+        F.sum(text_bytes(keys)).alias("key_bytes"),
         F.sum(weight).alias("weight"),
     ).checkpoint()
     sizes = seen.get
@@ -78,6 +75,22 @@ def settle(frame: DataFrame, keys: list[str], weight: str, limits: Limits = LIMI
     )
 
 
+def text_bytes(columns: list[str]) -> Column:
+    """Size of the columns' values written out as text; at least one byte each."""
+    sizes = [F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(1)) for c in columns]
+    return reduce(lambda a, b: a + b, sizes)
+
+
+def fits_broadcast(frame: DataFrame, limits: Limits = LIMITS) -> bool:
+    """Counts rows and bytes, reading no more rows than the bound, and compares with the limits."""
+    size = (
+        frame.limit(limits.broadcast_rows + 1)
+        .agg(F.count("*").alias("rows"), F.sum(text_bytes(frame.columns)).alias("bytes"))
+        .first()
+    )
+    return size.rows <= limits.broadcast_rows and (size.bytes or 0) <= limits.broadcast_bytes
+
+
 def same_key(keys: list[str], prefix: str) -> Column:
     """NULL-safe equality of the key columns with their prefixed twins."""
     return reduce(

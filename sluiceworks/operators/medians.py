@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sluiceworks.operators.keyed import renamed, same_key, settle
-from sluiceworks.session import workspace
+from sluiceworks.sources.store import at_rest
 
 TASK_VALUES = 2_000_000
 BUCKETS = 4096
@@ -46,9 +46,7 @@ def exact_median(
         sizes = settle(wide, groups, "_values")
         if sizes.rows == 0:
             break
-        path = workspace(present.sparkSession, "narrowed")
-        _narrowed(present, sizes.frame, groups, value, buckets).write.parquet(path)
-        present = present.sparkSession.read.schema(present.schema).parquet(path)
+        present = at_rest(_narrowed(present, sizes.frame, groups, value, buckets), "narrowed")
     return present.groupBy(*groups).agg(F.percentile(value, F.lit(0.5), F.col("copies")).alias("median"))
 
 

@@ -6,9 +6,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluiceworks.contract import Contract, Reference
-from sluiceworks.operators.keyed import LIMITS, Limits, attach, settle
+from sluiceworks.operators.keyed import LIMITS, Limits, attach, fits_broadcast, settle
 
 
 @dataclass(frozen=True)
@@ -24,10 +25,14 @@ class Parent:
         values = self.frame.select(column)
         return values if self.key == (column,) else values.distinct()
 
-    def at_most(self, bound: int) -> bool:
-        if self.rows is not None:
-            return self.rows <= bound
-        return self.frame.limit(bound + 1).count() <= bound
+    def fits_broadcast(self, column: str, limits: Limits) -> bool:
+        """Whether the column's values are few and short enough; measured unless plainly so."""
+        if self.rows is not None and self.rows > limits.broadcast_rows:
+            return False
+        of_fixed_size = not isinstance(self.frame.schema[column].dataType, T.StringType | T.BinaryType)
+        if self.rows is not None and of_fixed_size:
+            return True
+        return fits_broadcast(self.frame.select(column), limits)
 
 
 def _flag(column: str) -> str:
@@ -73,7 +78,7 @@ def with_reference_findings(
     found = []
     for ref in contract.references:
         parent = parents[ref.parent]
-        if parent.at_most(limits.broadcast_rows):
+        if parent.fits_broadcast(ref.parent_column, limits):
             rows = _by_parent_values(rows, ref, parent)
         else:
             rows = _by_used_values(rows, ref, parent, limits)

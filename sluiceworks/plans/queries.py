@@ -19,6 +19,7 @@ from sluiceworks.plans import commerce, serving
 from sluiceworks.plans.flow import Stored, build
 from sluiceworks.session import workspace
 from sluiceworks.sources import (
+    at_rest,
     create_schema,
     landed_files,
     manifest_frame,
@@ -96,8 +97,14 @@ def manifest_verdict(spark, folder):
 
 
 def landing_presence(spark, folder):
+    """Files found against datasets expected, with the rows in them."""
     expected = {n: 0 for n in (*STAR, "events", "deliveries")}
-    return presence(landed_files(spark, folder, ".parquet"), manifest_frame(spark, expected))
+    found = landed_files(spark, folder, ".parquet")
+    names = [r.dataset for r in found.select("dataset").collect()]
+    rows = audit.union_all(
+        [commerce.table(spark, folder, n).select(F.lit(n).alias("dataset")) for n in names]
+    ).groupBy("dataset").agg(F.count("*").alias("rows"))
+    return presence(found, manifest_frame(spark, expected)).join(rows, "dataset", "left").fillna(0, ["rows"])
 
 
 def snapshot_overwrite(spark, folder):
@@ -224,9 +231,12 @@ def predicted_quarantine(spark, folder):
     per_key = commerce.table(spark, folder, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(
         F.count("*").alias("n")
     )
+    per_order = per_key.groupBy("l_orderkey").agg(
+        F.sum("n").alias("all_lines"), F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)).alias("repeated")
+    )
     from_lines = (
-        per_key.join(lost.withColumn("lost", F.lit(True)), "l_orderkey", "left")
-        .agg(F.sum(F.when(F.col("lost") | (F.col("n") > 1), F.col("n")).otherwise(0)).alias("predicted"))
+        per_order.join(lost.withColumn("lost", F.lit(True)), "l_orderkey", "left")
+        .agg(F.sum(F.when(F.col("lost"), F.col("all_lines")).otherwise(F.col("repeated"))).alias("predicted"))
         .select(F.lit("lineitem").alias("dataset"), "predicted")
     )
     rest = spark.createDataFrame(
@@ -275,6 +285,19 @@ def future_rows(spark, folder):
     )
 
 
+def scheduled_verdict(spark, folder):
+    """Orders after the snapshot date, trusted, against their number worked out from the source."""
+    key, day = F.col("o_orderkey"), F.to_date(F.lit(commerce.SNAPSHOT_DATE))
+    wrong = (key % 101 == 0) | (key % 103 == 0) | (key % 107 == 0) | (key % 109 == 0) | (key % 127 == 0)
+    later = commerce.table(spark, folder, "orders").where(F.to_date("o_orderdate") > day)
+    expected = audit.totals(later, {"scheduled orders": F.count_if(~wrong)}).select(
+        "check_name", F.col("actual").alias("expected"), F.lit(0.0).alias("tolerance")
+    )
+    return audit.reconcile(
+        audit.totals(future_rows(spark, folder), {"scheduled orders": F.count("*")}), expected
+    )
+
+
 def lossless_join_check(spark, folder):
     b = stored(spark, folder, "orders", "lineitem")
     raw_lines = commerce.table(spark, folder, "lineitem")
@@ -373,13 +396,6 @@ def _marts(spark, folder, *names) -> dict[str, DataFrame]:
     return {n: make[n]() for n in names}
 
 
-def at_rest(mart: DataFrame) -> DataFrame:
-    """The mart written to the shared folder: for queries that read it more than once."""
-    path = workspace(mart.sparkSession, "mart")
-    mart.write.parquet(path)
-    return mart.sparkSession.read.schema(mart.schema).parquet(path)
-
-
 def mart_reconciliation(spark, folder):
     """Mart totals against totals counted from the trusted rows; points of rounding get a margin."""
     b = stored(spark, folder, "orders")
@@ -460,7 +476,7 @@ def mart_audit(spark, folder):
 def _served(text: str, *marts: str):
     def query(spark, folder):
         made = _marts(spark, folder, *marts)
-        used = {n: at_rest(m) if text.count("{" + n + "}") > 1 else m for n, m in made.items()}
+        used = {n: at_rest(m, n) if text.count("{" + n + "}") > 1 else m for n, m in made.items()}
         return serving.serve(spark, text, **used)
 
     return query
@@ -468,7 +484,7 @@ def _served(text: str, *marts: str):
 
 def leaders_of_segments(spark, folder):
     """The three leading customers by number of orders, year by year, without SQL text."""
-    m = at_rest(_marts(spark, folder, "customer_year")["customer_year"])
+    m = at_rest(_marts(spark, folder, "customer_year")["customer_year"], "customer_year")
     return history_of_leaders(m, "cust_key", F.sum("orders"), 3).select("year", "cust_key", "orders")
 
 
@@ -608,7 +624,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         raw_provenance, csv_scan, manifest_verdict, landing_presence, snapshot_overwrite, split_store,
         schema_profile, preview_orders, conform_names, gate_clean_orders, gate_rejected_orders,
         gate_lineitem_conflicts, duplicate_verdicts, gate_cascade_lineitem, reason_breakdown,
-        row_accounting, expectation_metrics, expectation_gate, key_uniqueness, future_rows,
+        row_accounting, expectation_metrics, expectation_gate, key_uniqueness, future_rows, scheduled_verdict,
         lossless_join_check, reproducible_build, reported_vs_summed, enriched_orders,
         customer_year_summary, segment_year_summary, brand_year_summary, event_value_evolution,
         nation_history, mart_reconciliation, triangle_check, mart_audit, leaders_of_segments,

@@ -1,6 +1,7 @@
 from sluiceworks.sources.landing import landed_files, manifest_frame, presence, read_csv
-from sluiceworks.sources.raw import as_text, read_parquet, stamped, with_row_id
+from sluiceworks.sources.raw import as_text, read_parquet, spread_out, stamped, with_row_id
 from sluiceworks.sources.store import (
+    at_rest,
     create_schema,
     overwrite,
     read_table,
@@ -10,6 +11,7 @@ from sluiceworks.sources.store import (
 
 __all__ = [
     "as_text",
+    "at_rest",
     "create_schema",
     "landed_files",
     "manifest_frame",
@@ -19,6 +21,7 @@ __all__ = [
     "read_parquet",
     "read_table",
     "schema_fields",
+    "spread_out",
     "stamped",
     "tables_in",
     "with_row_id",

@@ -33,6 +33,21 @@ def with_row_id(scan: DataFrame) -> DataFrame:
     )
 
 
+FEW_PIECES = 4
+
+
+def spread_out(scan: DataFrame) -> DataFrame:
+    """Deals the rows out to all cores if the scan has only a few pieces.
+
+    A file that cannot be split would leave all work to one task. A few pieces are a few hundred
+    megabytes at most, so this shuffle is small; scans of large tables are left as they are.
+    """
+    spark = scan.sparkSession
+    if scan.select(ROW_ID).rdd.getNumPartitions() > FEW_PIECES:
+        return scan
+    return scan.repartition(spark.sparkContext.defaultParallelism, F.col(f"{ROW_ID}.row"))
+
+
 def _text(field: T.StructField) -> Column:
     value = F.col(f"`{field.name}`")
     if isinstance(field.dataType, T.DoubleType | T.FloatType):

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sluiceworks.session import workspace
+
 
 def create_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
     place = f" LOCATION '{location}'" if location else ""
@@ -19,6 +21,13 @@ def overwrite(df: DataFrame, table: str) -> DataFrame:
     return df.sparkSession.table(table)
 
 
+def at_rest(df: DataFrame, label: str) -> DataFrame:
+    """The rows written once to the shared folder: for frames that are read more than once."""
+    path = workspace(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table)
 
