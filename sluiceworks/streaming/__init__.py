@@ -1,0 +1 @@
+"""Empty on purpose: every flow here is a triggered batch, see ``plans.flow``."""

@@ -28,6 +28,27 @@ def test_entry(spark):
     assert entry(spark).limit(1).count() == 1
 
 
+def test_build_is_the_same_when_everything_is_spread(spark, folder):
+    """Limits decide how, never what: the chain down to order lines, built both ways."""
+    from helpers import TINY
+
+    from sluiceworks.operators import audit
+    from sluiceworks.operators.keyed import LIMITS
+    from sluiceworks.plans.flow import build
+
+    names = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+    contracts = {n: commerce.CONTRACTS[n] for n in names}
+    raw = {n: commerce.raw_table(spark, folder, n) for n in names}
+
+    def prints(limits):
+        built = build(spark, raw, contracts, limits=limits)
+        parts = [audit.fingerprint(built[n].trusted, n) for n in names]
+        parts += [audit.fingerprint(built[n].rejected, f"{n} quarantine") for n in names]
+        return audit.union_all(parts)
+
+    audit.require(audit.reproducible(prints(LIMITS), prints(TINY)), "identical", "both ways")
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
