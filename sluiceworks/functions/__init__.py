@@ -5,7 +5,6 @@ from sluiceworks.functions.columns import (
     full_name,
     money,
     seconds,
-    unmark,
 )
 
-__all__ = ["NULL_MARKER", "count_where", "decimal_sum", "full_name", "money", "seconds", "unmark"]
+__all__ = ["NULL_MARKER", "count_where", "decimal_sum", "full_name", "money", "seconds"]

@@ -9,11 +9,6 @@ from pyspark.sql import functions as F
 NULL_MARKER = "\\N"
 
 
-def unmark(column: str | Column) -> Column:
-    """The NULL marker becomes a real NULL; every other text stays as it is."""
-    return F.nullif(F.col(column) if isinstance(column, str) else column, F.lit(NULL_MARKER))
-
-
 def full_name(*parts: str) -> Column:
     """Parts joined by one blank; NULL parts are skipped."""
     return F.concat_ws(" ", *parts)

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # The split write has two partition values: keep both files open instead of sorting rows.
     "spark.sql.maxConcurrentOutputFileWriters": "4",
+    # Checkpoints of key findings are removed once nothing refers to them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Independent tables are submitted from several threads.
     "spark.scheduler.mode": "FAIR",
 }

@@ -5,7 +5,6 @@ from sluiceworks.sources.store import (
     create_schema,
     overwrite,
     read_table,
-    schema_fields,
     tables_in,
 )
 
@@ -20,7 +19,6 @@ __all__ = [
     "read_csv",
     "read_parquet",
     "read_table",
-    "schema_fields",
     "spread_out",
     "stamped",
     "tables_in",

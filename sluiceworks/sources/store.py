@@ -37,11 +37,3 @@ def tables_in(spark: SparkSession, schema: str) -> DataFrame:
     return spark.sql(f"SHOW TABLES IN {schema}").selectExpr(
         "namespace AS schema_name", "tableName AS table_name"
     )
-
-
-def schema_fields(df: DataFrame, dataset: str) -> DataFrame:
-    """The schema itself as rows: ``(dataset, position, column, type)``."""
-    rows = [(dataset, i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema, 1)]
-    return df.sparkSession.createDataFrame(
-        rows, "dataset string, position int, column string, type string"
-    )
