@@ -6,15 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluiceworks.llm import language
+from sluiceworks.llm import language, quality
 from sluiceworks.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.report(table(spark, folder, "documents"))
+
+
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Query] = {"op5_language_id": op5_language_id}
+QUERIES: dict[str, Query] = {"op2_quality_rules": op2_quality_rules, "op5_language_id": op5_language_id}
 ORACLES: dict[str, str] = {}
