@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluiceworks.llm import language, quality
+from sluiceworks.llm import language, packing, quality
 from sluiceworks.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.report(table(spark, folder, "documents"))
 
@@ -20,5 +24,12 @@ def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(table(spark, folder, "documents"))
 
 
-QUERIES: dict[str, Query] = {"op2_quality_rules": op2_quality_rules, "op5_language_id": op5_language_id}
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_best_fit_packing,
+        op2_quality_rules,
+        op5_language_id,
+    )
+}
 ORACLES: dict[str, str] = {}
