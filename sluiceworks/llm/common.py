@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sluiceworks.session import workspace
 
@@ -28,6 +29,12 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def schema_of(df: DataFrame, more: str, *names: str) -> StructType:
+    """The fields ``names`` of ``df`` (default: all) followed by those of the DDL text ``more``."""
+    own = [df.schema[n] for n in names] if names else df.schema.fields
+    return StructType([*own, *StructType.fromDDL(more).fields])
+
+
 def fold(key: str = "doc_id") -> Column:
     """crc32 of the key as text, modulo 3; 1 is held out. A NULL key counts as empty text."""
     return F.pmod(F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")), F.lit(3))

@@ -19,9 +19,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from sluiceworks.llm.common import chunks, held_out, texts_of
+from sluiceworks.llm.common import chunks, held_out, schema_of, texts_of
 
 BITS = 16
 SIZES = (1, 2, 3)
@@ -165,8 +164,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                 )
 
     rows = docs.select(*names)
-    schema = StructType([*rows.schema.fields, StructField("_lang_pred", StringType()), StructField("_lang_score", DoubleType())])
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema_of(rows, "_lang_pred string, _lang_score double"))
 
 
 def identify(docs: DataFrame, train: DataFrame | None = None) -> DataFrame:

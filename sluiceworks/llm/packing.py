@@ -24,10 +24,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
 from pyspark.sql.window import Window
 
-from sluiceworks.llm.common import chunks, store
+from sluiceworks.llm.common import chunks, schema_of, store
 
 CAPACITY = 2048
 END = 0  # closes every document
@@ -124,8 +123,7 @@ def tokenise(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None)
                 )
 
     rows = docs.select("doc_id", "text")
-    head = StructType([rows.schema["doc_id"]]).add("piece", "int").add("start", "long")
-    cut = rows.mapInArrow(run, StructType([*head.fields, StructField("ids", _binary())]))
+    cut = rows.mapInArrow(run, schema_of(rows, "piece int, start long, ids binary", "doc_id"))
     return store(
         cut.withColumns(
             {
@@ -138,12 +136,6 @@ def tokenise(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None)
     )
 
 
-def _binary():
-    from pyspark.sql.types import BinaryType
-
-    return BinaryType()
-
-
 # ---------------------------------------------------------------- the plan
 
 Filling = tuple[int, ...]  # lengths, greatest first
@@ -406,14 +398,7 @@ def assign(pieces: DataFrame, capacity: int = CAPACITY, nodes: int = 2_000) -> D
                 names=[*names, "sequence_id", "offset"],
             )
 
-    fields = [StructField(n, t) for n, t in (("sequence_id", _long()), ("offset", _long()))]
-    return ranked.mapInArrow(place, StructType([*ranked.schema.fields, *fields])).drop("_rank")
-
-
-def _long():
-    from pyspark.sql.types import LongType
-
-    return LongType()
+    return ranked.mapInArrow(place, schema_of(ranked, "sequence_id long, offset long")).drop("_rank")
 
 
 REPORT = ("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
