@@ -44,27 +44,25 @@ def held_out(key: str = "doc_id") -> Column:
     return fold(key) == 1
 
 
-def bounded_broadcast(df: DataFrame, rows: int, limit: int = 400_000) -> DataFrame:
-    """A broadcast hint if the counted ``rows`` are few enough; else the join shuffles."""
-    return F.broadcast(df) if rows <= limit else df
-
-
-def spread_join(rows: DataFrame, keyed: DataFrame, key: str, weight: str, how: str = "inner",
-                share: int = 4096) -> DataFrame:
-    """Joins ``rows`` with ``keyed`` (one row per key; ``weight``: rows per key), hot keys apart.
-
-    A key that holds more than one ``share``-th of the total weight is hot. There are fewer than
-    ``share`` of those whatever the data, so their part of ``keyed`` is broadcast; all others are
-    shuffled on the key, where no key exceeds that share. Both inputs should be stored tables.
-    ``how``: inner, left_semi or left.
+def spread_join(rows: DataFrame, keyed: DataFrame, key: str, weight: str, by: str, how: str = "inner",
+                share: int = 4096, small: int = 400_000) -> DataFrame:
+    """Joins ``rows`` with the stored table ``keyed`` (one row per key; ``weight``: rows per key).
+
+    A ``keyed`` of at most ``small`` rows is broadcast. Otherwise both sides are shuffled on the key, and a
+    key with more than one ``share``-th of all rows is cut into parts by a hash of the column ``by``. There
+    are fewer than ``share`` such keys whatever the data, so their list is broadcast. ``how``: inner, left or
+    left_semi.
     """
-    total = keyed.agg(F.sum(weight)).first()[0] or 0
-    hot = keyed.filter(F.col(weight) * share > F.lit(total))
-    cold = keyed.filter(F.col(weight) * share <= F.lit(total))
-    flags = F.broadcast(hot.select(F.col(key).alias("_hot")))
-    in_hot = rows.join(F.broadcast(hot), key, "left_semi" if how == "left_semi" else "inner")
-    rest = rows.join(flags, rows[key] == flags["_hot"], "left_anti").join(cold, key, how)
-    return in_hot.unionByName(rest)
+    size = keyed.agg(F.count("*").alias("n"), F.sum(weight).alias("total")).first()
+    if size["n"] <= small:
+        return rows.join(F.broadcast(keyed), key, how)
+    parts = F.ceil(F.col(weight) * share / F.lit(size["total"])).cast("int")
+    hot = keyed.select(F.col(key).alias("_hot"), parts.alias("_parts")).filter("_parts > 1")
+    salted = rows.join(F.broadcast(hot), rows[key] == hot["_hot"], "left").withColumn(
+        "_salt", F.coalesce(F.pmod(F.xxhash64(by), F.col("_parts")), F.lit(0)).cast("int")
+    )
+    copies = keyed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.greatest(parts, F.lit(1)) - 1)))
+    return salted.drop("_hot", "_parts").join(copies, [key, "_salt"], how).drop("_salt")
 
 
 def texts_of(column: pa.Array) -> pa.Array:

@@ -209,7 +209,7 @@ def judge(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
         F.when((F.col(m) < F.col("limits")[m]["low"]) | (F.col(m) > F.col("limits")[m]["high"]), F.lit(m)) for m in METRICS
     ]
     # Groups without a document that passes the base rules have no fences, and need none.
-    judged = spread_join(measured, limits, "key", "docs", "left").withColumn("reasons", F.concat_ws(",", *outside))
+    judged = spread_join(measured, limits, "key", "docs", "doc_id", "left").withColumn("reasons", F.concat_ws(",", *outside))
     return judged.withColumn("kept", ~F.col("base_failed") & (F.col("reasons") == ""))
 
 

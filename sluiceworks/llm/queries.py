@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluiceworks.llm import language, packing, quality
+from sluiceworks.llm import language, lines, packing, quality
 from sluiceworks.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,12 +24,17 @@ def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(table(spark, folder, "documents"))
 
 
+def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return lines.report(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_best_fit_packing,
         op2_quality_rules,
         op5_language_id,
+        op9_line_dedup,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op9_line_dedup": lines.SQL}
