@@ -189,15 +189,18 @@ def thresholds(sketches: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     by_lang = _wide(fences(merge(sketches, "lang"), "lang"), "lang").select(
         F.col("lang").alias("_lang"), F.col("docs").alias("lang_docs"), F.col("limits").alias("lang_limits")
     )
-    overall = _wide(fences(merge(sketches).withColumn("_all", F.lit(0)), "_all"), "_all").select(
-        F.col("_all"), F.col("limits").alias("all_limits")
-    )
-    joined = own.withColumn("_all", F.lit(0)).join(by_lang, F.col("lang").eqNullSafe(F.col("_lang"))).join(F.broadcast(overall), "_all")
+    # The fences of all documents together are one row per metric, so they become a literal.
+    overall = {r["metric"]: (r["low"], r["high"]) for r in fences(merge(sketches)).collect()}
+    fallback = F.create_map(
+        *(x for m in METRICS for low, high in [overall.get(m, (float("-inf"), float("inf")))]
+          for x in (F.lit(m), F.struct(F.lit(low).alias("low"), F.lit(high).alias("high"))))
+    )
+    joined = own.join(by_lang, F.col("lang").eqNullSafe(F.col("_lang")))
     return joined.select(
         group_key("lang", "source").alias("key"), "docs",
         F.when(F.col("docs") >= min_docs, F.col("limits"))
         .when(F.col("lang_docs") >= min_docs, F.col("lang_limits"))
-        .otherwise(F.col("all_limits")).alias("limits"),
+        .otherwise(fallback).alias("limits"),
     )
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluiceworks.llm import language, lines, packing, quality
+from sluiceworks.llm import chat, language, lines, packing, quality, secrets
 from sluiceworks.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,10 +20,18 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.report(table(spark, folder, "documents"))
 
 
+def op4_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.report(table(spark, folder, "documents"))
+
+
 def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(table(spark, folder, "documents"))
 
 
+def op6_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.report(table(spark, folder, "conversations"))
+
+
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.report(table(spark, folder, "documents"))
 
@@ -33,7 +41,9 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_best_fit_packing,
         op2_quality_rules,
+        op4_secret_scans,
         op5_language_id,
+        op6_chat_formatting,
         op9_line_dedup,
     )
 }
