@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluiceworks.llm import chat, language, lines, packing, quality, secrets
+from sluiceworks.llm import chat, html, language, lines, packing, quality, secrets
 from sluiceworks.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,10 @@ def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.report(table(spark, folder, "documents"))
 
 
+def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html.extract(table(spark, folder, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -45,6 +49,7 @@ QUERIES: dict[str, Query] = {
         op5_language_id,
         op6_chat_formatting,
         op9_line_dedup,
+        op10_html_extraction,
     )
 }
 ORACLES: dict[str, str] = {"op9_line_dedup": lines.SQL}
