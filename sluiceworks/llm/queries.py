@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluiceworks.llm import chat, html, language, lines, packing, quality, secrets
+from sluiceworks.llm import chat, decontaminate, html, language, lines, packing, quality, secrets
 from sluiceworks.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,10 @@ def op6_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat.report(table(spark, folder, "conversations"))
 
 
+def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.report(table(spark, folder, "documents"))
 
@@ -48,6 +52,7 @@ QUERIES: dict[str, Query] = {
         op4_secret_scans,
         op5_language_id,
         op6_chat_formatting,
+        op7_benchmark_decontamination,
         op9_line_dedup,
         op10_html_extraction,
     )

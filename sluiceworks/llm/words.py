@@ -22,9 +22,12 @@ LOWER[ord("A") : ord("Z") + 1] += 32
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 
 
+# Everything in ASCII but letters and digits.
+IS_BREAK = np.array([b < 0x80 and not chr(b).isalnum() for b in range(256)])
+
+
 def _weights(lower: bool) -> np.ndarray:
     out = fmix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-    out[IS_SPACE] = 0
     return out[LOWER] if lower else out
 
 
@@ -45,12 +48,12 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 class Words:
     """Words of a string array: ``starts``, ``ends`` (byte positions), ``doc`` and ``first``.
 
-    ``first[d] : first[d + 1]`` are the words of document ``d``.
+    ``first[d] : first[d + 1]`` are the words of document ``d``. ``separators``: which bytes part words.
     """
 
-    def __init__(self, texts: pa.Array):
+    def __init__(self, texts: pa.Array, separators: np.ndarray = IS_SPACE):
         self.data, self.offsets = buffers_of(texts)
-        space = IS_SPACE[self.data]
+        space = self.space = separators[self.data]
         before = np.empty(len(space) + 1, bool)
         before[0] = True
         before[1:] = space
@@ -74,7 +77,9 @@ class Words:
             return np.zeros(0, np.uint64)
         size = 1 << max(12, int(len(self.data) - 1).bit_length())
         power, inverse = _powers(size)
-        sums = np.add.reduceat(_WEIGHTS[lower][self.data] * power[: len(self.data)], self.starts)
+        terms = _WEIGHTS[lower][self.data] * power[: len(self.data)]
+        terms[self.space] = 0
+        sums = np.add.reduceat(terms, self.starts)
         return fmix(sums * inverse[self.starts])
 
 
