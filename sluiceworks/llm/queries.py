@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluiceworks.llm import chat, decontaminate, html, language, lines, packing, quality, secrets
+from sluiceworks.llm import chat, decontaminate, html, language, lines, neardup, packing, quality, secrets
 from sluiceworks.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,10 @@ def op7_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
     return decontaminate.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op8_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.cluster(table(spark, folder, "documents"))
+
+
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.report(table(spark, folder, "documents"))
 
@@ -53,6 +57,7 @@ QUERIES: dict[str, Query] = {
         op5_language_id,
         op6_chat_formatting,
         op7_benchmark_decontamination,
+        op8_minhash_near_dedup,
         op9_line_dedup,
         op10_html_extraction,
     )
