@@ -38,24 +38,25 @@ class Model:
     likelihood: np.ndarray  # log, languages x buckets, float32
 
 
-@functools.lru_cache(maxsize=1)
-def _letters() -> np.ndarray:
-    return np.array([chr(c).isalpha() for c in range(0x110000)])
+@functools.lru_cache(maxsize=2)
+def _letters(digits: bool) -> np.ndarray:
+    return np.array([chr(c).isalnum() if digits else chr(c).isalpha() for c in range(0x110000)])
 
 
-def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Code points (non-letters as spaces) and which are letters, two spaces round each text; ends."""
+def letter_codes(texts: list[str], digits: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points of the lower-cased texts, each between two spaces, with all but letters (and digits, if
+    asked for) as spaces; which are letters; where each text ends."""
     lowered = [f" {t.lower()} " for t in texts]
-    ends = np.cumsum([len(t) for t in lowered])
+    ends = np.cumsum([len(t) for t in lowered], dtype=np.int64)
     codes = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), "<u4").copy()
-    letter = _letters()[codes]
+    letter = _letters(digits)[codes]
     codes[~letter] = 0x20
     return codes, letter, ends
 
 
 def _grams(texts: list[str], bits: int):
     """For each n-gram size: bucket and starting place of the n-grams; and the ends of the texts."""
-    codes, letter, ends = _codes(texts)
+    codes, letter, ends = letter_codes(texts)
     for size in SIZES:
         n = len(codes) - size + 1
         if n <= 0:

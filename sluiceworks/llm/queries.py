@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluiceworks.llm import chat, decontaminate, html, language, lines, neardup, packing, quality, secrets
+from sluiceworks.llm import chat, decontaminate, html, language, lines, neardup, packing, quality, secrets, toxicity
 from sluiceworks.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.report(table(spark, folder, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op4_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.report(table(spark, folder, "documents"))
 
@@ -53,6 +57,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_best_fit_packing,
         op2_quality_rules,
+        op3_toxicity,
         op4_secret_scans,
         op5_language_id,
         op6_chat_formatting,
