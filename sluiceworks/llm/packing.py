@@ -16,7 +16,10 @@ from __future__ import annotations
 
 import functools
 import json
+import math
 import re
+import sys
+from array import array
 from bisect import bisect_left, insort
 from dataclasses import dataclass
 
@@ -36,6 +39,7 @@ CACHED_WORDS = 300_000
 # ---------------------------------------------------------------- tokens
 
 _BREAK = re.compile(r"(?<=\S)(?= )")
+_SPACES = re.compile(r"\s ")
 
 
 def _default_path() -> str:
@@ -74,20 +78,33 @@ class Tokens:
         self.encode = tiktoken.Encoding(
             "packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         ).encode_ordinary
-        self.cache: dict[str, bytes] = {}
-
-    def _of(self, run: str) -> bytes:
-        found = self.cache.get(run)
-        if found is None:
-            found = np.array(self.encode(run), "<u4").tobytes()
-            if len(run) <= 64:
-                if len(self.cache) >= CACHED_WORDS:
-                    self.cache.clear()
-                self.cache[run] = found
-        return found
+        self.after_space = _Cache(self.encode, " ")
+        self.plain = _Cache(self.encode, "")
 
     def ids(self, text: str) -> bytes:
-        return b"".join(map(self._of, _BREAK.split(text)))
+        if _SPACES.search(text):
+            return b"".join(map(self.plain.__getitem__, _BREAK.split(text)))
+        first, *rest = text.split(" ")
+        return self.plain[first] + b"".join(map(self.after_space.__getitem__, rest))
+
+
+def _little(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes() if sys.byteorder == "little" else np.array(ids, "<u4").tobytes()
+
+
+class _Cache(dict):
+    """Ids of runs of text, by the run without ``prefix``; of bounded size."""
+
+    def __init__(self, encode, prefix: str):
+        self.encode, self.prefix = encode, prefix
+
+    def __missing__(self, run: str) -> bytes:
+        found = _little(self.encode(self.prefix + run))
+        if len(run) <= 64:
+            if len(self) >= CACHED_WORDS:
+                self.clear()
+            self[run] = found
+        return found
 
 
 @functools.lru_cache(maxsize=2)
@@ -356,16 +373,14 @@ def slots(fillings: list[tuple[Filling, int]], capacity: int) -> Slots:
 
 # ---------------------------------------------------------------- placing the pieces
 
-ROWS_PER_CELL = 50_000
-
-
 def assign(pieces: DataFrame, capacity: int = CAPACITY, nodes: int = 2_000) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to stored pieces (columns ``length`` and ``_row``)."""
     spark = pieces.sparkSession
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     layout = spark.sparkContext.broadcast(slots(plan(counts, capacity, nodes), capacity))
-    # Pieces of one length are numbered in cells of bounded size: a length may hold a third of all rows.
-    cells = 1 + max(counts.values(), default=0) // ROWS_PER_CELL
+    # A length may hold a third of all rows, so its pieces are numbered in cells. With the square root of
+    # all rows to a cell, neither a cell nor the list of one length's cells grows faster than that root.
+    cells = 1 + max(counts.values(), default=0) // max(256, math.isqrt(sum(counts.values())))
     cell = F.pmod(F.xxhash64("_row"), F.lit(cells)).cast("int")
     celled = pieces.withColumn("_cell", cell)
     before = Window.partitionBy("length").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
