@@ -6,9 +6,9 @@ class. Each class has ``TOKENS`` minwise tokens; a tree sends it down paths chos
 compared exhaustively on tokens; larger ones branch again. Independent trees are repeated until a pair at the
 threshold is missed with a probability below ``MISS``.
 
-What meets is only a candidate. Candidates form groups; a group that fits a task is settled there on full
-sets, pair by pair. A larger one is settled node by node: small nodes exhaustively, nodes that would not
-shrink by linking all their classes to one pivot and comparing what is left over with everybody in
+What meets is only a candidate. Candidates form groups; a group of up to ``DIRECT`` classes is settled on full
+sets, in one task or in pairs of blocks. A larger one is settled node by node: small nodes whole, nodes that
+would not shrink by linking all their classes to one pivot and comparing what is left over with everybody in
 blocks. Tasks return a spanning forest of the links they confirm, never the pairs, and components join the
 forests. Nothing is capped: every pair that meets is either confirmed, refuted, or already connected.
 
@@ -38,8 +38,9 @@ TOKENS = 64
 LEVELS = 4  # of branching; each adds a pair of tokens to the path
 BRANCHES = 2  # pairs drawn at each node below the root
 LEAF = 128  # classes in a node that is compared exhaustively
-GROUP = 256  # classes, and
+GROUP = 1024  # classes, and
 GROUP_SHINGLES = 2_000_000  # shingles settled in one go
+DIRECT = 8192  # classes of a group whose pairs are compared once each; beyond it, node by node
 MISS = 1e-6
 
 _SEEDS = fmix(np.arange(1, 2 * TOKENS + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
@@ -64,14 +65,22 @@ class Threshold:
         p = self.percent / 100
         return max(1, math.floor(TOKENS * p - 5 * math.sqrt(TOKENS * p * (1 - p))))
 
-    def linked(self, a: np.ndarray, b: np.ndarray) -> bool:
-        if 100 * min(len(a), len(b)) < self.percent * max(len(a), len(b)):
-            return False
-        small, large = (a, b) if len(a) <= len(b) else (b, a)
-        place = np.searchsorted(large, small)
-        place[place == len(large)] = 0
-        both = int((large[place] == small).sum())
-        return 100 * both >= self.percent * (len(a) + len(b) - both)
+    def links(self, sets: list[np.ndarray]) -> np.ndarray:
+        """Which of the sets are linked, as a symmetric matrix: exact, from products of incidence matrices."""
+        sizes = np.array([len(x) for x in sets])
+        row = np.repeat(np.arange(len(sets)), sizes)
+        _, column, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        shared = often[column] > 1  # others add to no intersection
+        row, column = row[shared], (np.cumsum(often > 1) - 1)[column[shared]]
+        order = np.argsort(column, kind="stable")
+        row, column = row[order], column[order]
+        both = np.zeros((len(sets), len(sets)))
+        for start in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+            part = slice(*np.searchsorted(column, (start, start + 4096)))
+            incidence = np.zeros((len(sets), 4096), np.float32)
+            incidence[row[part], column[part] - start] = 1
+            both += incidence @ incidence.T
+        return 100 * both >= self.percent * (sizes[:, None] + sizes[None, :] - both)
 
 
 # ---------------------------------------------------------------- sets and tokens
@@ -134,7 +143,7 @@ def sketch(docs: DataFrame) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Stored ``cls, n, tokens, shingles`` of the ``wanted`` classes (columns ``cls``, ``rep``: one of their ids).
+    """Stored ``cls, n, shingles`` of the ``wanted`` classes (columns ``cls``, ``rep``: one of their ids).
 
     Texts of those ids alone are read again; the list is broadcast if it is short.
     """
@@ -153,13 +162,12 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     [
                         pa.array([c for c, _ in own], pa.int64()),
                         pa.array([len(s) for _, s in own], pa.int64()),
-                        pa.array([tokens_of(s).tobytes() for _, s in own], pa.binary()),
                         pa.array([s.tobytes() for _, s in own], pa.binary()),
                     ],
-                    names=["cls", "n", "tokens", "shingles"],
+                    names=["cls", "n", "shingles"],
                 )
 
-    return store(rows.mapInArrow(run, "cls long, n long, tokens binary, shingles binary"), "sets")
+    return store(rows.mapInArrow(run, "cls long, n long, shingles binary"), "sets")
 
 
 # ---------------------------------------------------------------- the trees
@@ -284,6 +292,23 @@ def _close(tokens: np.ndarray, agreeing: int) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def _spanning(links: np.ndarray) -> list[tuple[int, int]]:
+    """A star for each connected component of the matrix, from its first row."""
+    out = []
+    fresh = np.ones(len(links), bool)
+    for x in range(len(links)):
+        if not fresh[x]:
+            continue
+        fresh[x] = False
+        reached = links[x] & fresh
+        while reached.any():
+            found = np.flatnonzero(reached)
+            fresh[found] = False
+            out += [(x, int(y)) for y in found]
+            reached = links[found].any(axis=0) & fresh
+    return out
+
+
 def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array([a for a, _ in pairs], pa.int64()), pa.array([b for _, b in pairs], pa.int64())], names=["a", "b"]
@@ -317,18 +342,17 @@ def settle(units: DataFrame, sets: DataFrame, threshold: Threshold) -> DataFrame
 
     ``units``: ``unit, cls, every`` - pairs in which neither class has ``every`` are left to other units.
     """
-    rows = with_class(units.select("unit", "cls", "every"), sets, "tokens", "shingles").repartition("unit").sortWithinPartitions("unit", "cls")
+    rows = with_class(units.select("unit", "cls", "every"), sets, "shingles").repartition("unit").sortWithinPartitions("unit", "cls")
 
     def run(batches):
         found: list[tuple[int, int]] = []
         for unit in _runs(batches):
+            if unit.num_rows == 1:
+                continue
             cls, every = unit.column("cls").to_pylist(), unit.column("every").to_pylist()
-            shingles = [np.frombuffer(s, np.uint64) for s in unit.column("shingles").to_pylist()]
-            forest = _Forest(len(cls))
-            for _, x, y in _close(_matrix(unit.column("tokens")), threshold.agreeing):
-                if (every[x] or every[y]) and forest.find(x) != forest.find(y) and threshold.linked(shingles[x], shingles[y]):
-                    forest.join(x, y)
-                    found.append((cls[x], cls[y]))
+            links = threshold.links([np.frombuffer(s, np.uint64) for s in unit.column("shingles").to_pylist()])
+            links &= np.array(every)[:, None] | np.array(every)[None, :]
+            found += [(cls[x], cls[y]) for x, y in _spanning(links)]
             if len(found) > 10_000:
                 yield _edges(found)
                 found = []
@@ -433,12 +457,10 @@ def link_classes(docs: DataFrame, classes: DataFrame, threshold: Threshold) -> D
     named = groups.select(F.col("node").alias("cls"), F.col("root").alias("grp"))
     sets = full_sets(docs, named.join(classes.select("cls", "rep"), "cls").select("cls", "rep"))
     members = named.join(sets.select("cls", "n"), "cls").select("grp", "cls", "n")
-    fits = (F.col("size") <= GROUP) & (F.col("shingles") <= GROUP_SHINGLES)
-    sizes = store(_sized(members).withColumn("fits", fits), "sizes")
-    sized = store(spread_join(members, sizes, "grp", "size", "cls"), "sized")
-    small = sized.filter("fits").select(F.xxhash64("grp", F.lit(0), F.lit(0)).alias("unit"), "cls", F.lit(True).alias("every"))
-    big = sized.filter("not fits").select("cls", "n")
-    links = settle(small, sets, threshold)
+    sizes = store(_sized(members), "sizes")
+    sized = store(spread_join(members, sizes, "grp", "size", "cls").select("grp", "cls", "n", "size"), "sized")
+    links = settle(in_blocks(sized.filter(F.col("size") <= DIRECT).select("grp", "cls", "n")), sets, threshold)
+    big = sized.filter(F.col("size") > DIRECT).select("cls", "n")
     if not big.isEmpty():
         nodes = leaves.select("node", "cls").join(big, "cls").select(F.col("node").alias("grp"), "cls", "n")
         links = links.unionByName(settle(in_blocks(nodes), sets, threshold))
