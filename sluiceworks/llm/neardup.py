@@ -37,7 +37,7 @@ WORDS = 5
 TOKENS = 64
 LEVELS = 4  # of branching; each adds a pair of tokens to the path
 BRANCHES = 2  # pairs drawn at each node below the root
-LEAF = 128  # classes in a node that is compared exhaustively
+LEAF = 1024  # classes in a node that is compared exhaustively
 GROUP = 1024  # classes, and
 GROUP_SHINGLES = 2_000_000  # shingles settled in one go
 DIRECT = 8192  # classes of a group whose pairs are compared once each; beyond it, node by node
@@ -267,29 +267,12 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-class _Forest:
-    def __init__(self, n: int):
-        self.parent = list(range(n))
-
-    def find(self, x: int) -> int:
-        while self.parent[x] != x:
-            self.parent[x] = self.parent[self.parent[x]]
-            x = self.parent[x]
-        return x
-
-    def join(self, x: int, y: int) -> bool:
-        x, y = self.find(x), self.find(y)
-        self.parent[max(x, y)] = min(x, y)
-        return x != y
-
-
-def _close(tokens: np.ndarray, agreeing: int) -> list[tuple[int, int, int]]:
-    """Pairs of rows with enough tokens in common, the closest first."""
-    out = []
-    for x in range(len(tokens) - 1):
-        same = (tokens[x + 1 :] == tokens[x]).sum(axis=1)
-        out += [(-int(same[y]), x, int(x + 1 + y)) for y in np.flatnonzero(same >= agreeing)]
-    return sorted(out)
+def _close(tokens: np.ndarray, agreeing: int) -> np.ndarray:
+    """Which pairs of rows have enough tokens in common, as a symmetric matrix."""
+    same = np.zeros((len(tokens), len(tokens)), np.uint8)
+    for column in tokens.T:
+        same += column[:, None] == column[None, :]
+    return same >= agreeing
 
 
 def _spanning(links: np.ndarray) -> list[tuple[int, int]]:
@@ -324,11 +307,7 @@ def candidates(leaves: DataFrame, classes: DataFrame, threshold: Threshold) -> D
         found: list[tuple[int, int]] = []
         for unit in _runs(batches):
             cls = unit.column(1).to_pylist()
-            tokens = _matrix(unit.column(2))
-            forest = _Forest(len(cls))
-            for _, x, y in _close(tokens, agreeing):
-                if cls[x] != cls[y] and forest.join(x, y):
-                    found.append((cls[x], cls[y]))
+            found += [(cls[x], cls[y]) for x, y in _spanning(_close(_matrix(unit.column(2)), agreeing))]
             if len(found) > 10_000:
                 yield _edges(found)
                 found = []
