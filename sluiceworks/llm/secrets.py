@@ -4,7 +4,7 @@ The base patterns (``assign``, ``access``, ``hex``) are matched leftmost, non-ov
 candidates are runs of at least ``MIN_LENGTH`` characters of the base64 alphabets. For each the encoding is
 inferred (hexadecimal, base32, alphanumeric, base64), and three tests ask whether it could be a uniform random
 string in that encoding: chi-squared of the alphabet, Wald-Wolfowitz runs round the median symbol, serial
-correlation of neighbours. Fisher's method combines them. Ordinary strings fail the tests; which failures
+correlation of neighbours. Their p-values are combined by Cauchy's method. Ordinary strings fail the tests; which failures
 count is decided over all candidates at once by Benjamini and Hochberg's rule in each class of length, so
 that of the strings called ordinary at most a share ``RATE`` is expected to be random. What is left is random: kind
 ``random``. The rule needs only counts per (length class, p-value bucket), which partial aggregation adds up.
@@ -37,7 +37,7 @@ _DIGIT = re.compile(r"[0-9]")
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 MIN_LENGTH = 20
 
-RATE = 0.01
+RATE = 0.1
 BUCKET = 0.05  # width of a p-value bucket, in powers of ten
 LENGTHS = (20, 24, 32, 48, 64, 128)  # lower ends of the length classes
 
@@ -76,6 +76,18 @@ def _upper_normal(z: float) -> float:
     return 0.5 * math.erfc(z / math.sqrt(2))
 
 
+def _upper_chi(x: float, free: int) -> float:
+    """Upper tail of chi-squared with up to three degrees of freedom."""
+    if free == 0:
+        return 1.0
+    root = math.erfc(math.sqrt(x / 2))
+    return {1: root, 2: math.exp(-x / 2), 3: root + math.sqrt(2 * x / math.pi) * math.exp(-x / 2)}[free]
+
+
+def _class(c: str) -> str:
+    return "digit" if c.isdigit() else "capital" if c.isupper() else "small" if c.islower() else "sign"
+
+
 def _two_sided(z: float) -> float:
     return math.erfc(abs(z) / math.sqrt(2))
 
@@ -95,6 +107,11 @@ def battery(token: str) -> tuple[str, float] | None:
     free = k - 1
     spread = 2 / (9 * free) * (n - 1) / n
     uniform = _upper_normal(((max(chi, 0) / free) ** (1 / 3) - (1 - spread)) / math.sqrt(spread))
+    # The same for digits, capitals, small letters and signs, which short strings fill better than symbols.
+    wanted = Counter(map(_class, alphabet))
+    got = Counter(map(_class, token))
+    coarse = sum((got[c] - n * w / k) ** 2 / (n * w / k) for c, w in wanted.items())
+    uniform = min(1.0, 2 * min(uniform, _upper_chi(coarse, len(wanted) - 1)))
     values = np.array([place[c] for c in token], float)
     # Classes of characters alternate in random strings; words and counters keep to one.
     above = values >= k / 2
@@ -109,9 +126,9 @@ def battery(token: str) -> tuple[str, float] | None:
     centred = values - values.mean()
     energy = float((centred**2).sum())
     serial = _two_sided(float((centred[1:] * centred[:-1]).sum()) / energy * math.sqrt(n)) if energy else 0.0
-    # Fisher: minus twice the sum of logs is chi-squared with six degrees of freedom.
-    half = -sum(math.log(max(p, 1e-300)) for p in (uniform, alternating, serial))
-    return name, min(1.0, math.exp(-half) * (1 + half + half * half / 2))
+    # Cauchy's combination: right whether or not the tests depend on each other, and not diluted by those that pass.
+    mean = sum(math.tan((0.5 - min(max(p, 1e-15), 0.99)) * math.pi) for p in (uniform, alternating, serial)) / 3
+    return name, (0.5 - math.atan(mean) / math.pi) if mean < 1e6 else 1 / (mean * math.pi)
 
 
 def candidates(text: str, base: list[tuple[str, int, int]]) -> list[tuple[int, int, int, int]]:
