@@ -340,27 +340,17 @@ def nation_history(orders: DataFrame, customer: DataFrame, nation: DataFrame) ->
         count_where(F.col("order_priority") == "1-URGENT").alias("urgent"),
     )
     at = customer.select(F.col("c_custkey").alias("cust_key"), F.col("c_nationkey").alias("n_nationkey"))
-    per_nation = (
+    return (
         per_customer.join(at, "cust_key")
         .groupBy("n_nationkey")
         .agg(
             F.sum("orders").alias("orders"),
             F.min("first_year").alias("first_year"),
             F.max("last_year").alias("last_year"),
+            count_where(F.col("urgent") > 0).alias("urgent_customers"),
         )
-    )
-    urgent = (
-        orders.where(F.col("order_priority") == "1-URGENT")
-        .select("cust_key").distinct()
-        .join(at, "cust_key")
-        .groupBy("n_nationkey")
-        .agg(F.count("*").alias("urgent_customers"))
-    )
-    return (
-        nation.select("n_nationkey", F.col("n_name").alias("nation"))
-        .join(per_nation, "n_nationkey")
-        .join(urgent, "n_nationkey", "left")
-        .fillna(0, ["urgent_customers"])
+        .join(nation.select("n_nationkey", F.col("n_name").alias("nation")), "n_nationkey")
+        .select("n_nationkey", "nation", "orders", "first_year", "last_year", "urgent_customers")
     )
 
 

@@ -473,13 +473,14 @@ def mart_audit(spark, folder):
 # --- serving -----------------------------------------------------------------------------------
 
 
-def _served(text: str, *marts: str):
-    def query(spark, folder):
+def _served(query: Callable[..., DataFrame], *marts: str, twice: bool = False):
+    """A serving query over the named marts; with ``twice`` they are stored first, as it reads them twice."""
+
+    def run(spark, folder):
         made = _marts(spark, folder, *marts)
-        used = {n: at_rest(m, n) if text.count("{" + n + "}") > 1 else m for n, m in made.items()}
-        return serving.serve(spark, text, **used)
+        return query(*(at_rest(made[n], n) if twice else made[n] for n in marts))
 
-    return query
+    return run
 
 
 def leaders_of_segments(spark, folder):
@@ -632,10 +633,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         range_filter, distinct_customers, spend_again, column_coverage,
     )
 } | {
-    "kpi_row": _served(serving.KPI_ROW, "customer_year", "nation_history", "event_evolution"),
-    "top_customers_by_year": _served(serving.TOP_CUSTOMERS_BY_YEAR, "customer_year"),
-    "top_brands_by_year": _served(serving.TOP_BRANDS_BY_YEAR, "brand_year"),
-    "evolution_series": _served(serving.EVOLUTION_SERIES, "event_evolution"),
-    "leaderboard": _served(serving.LEADERBOARD, "customer_year"),
-    "busiest_nations": _served(serving.BUSIEST_NATIONS, "nation_history"),
+    "kpi_row": _served(serving.kpi_row, "customer_year", "nation_history", "event_evolution"),
+    "top_customers_by_year": _served(serving.top_customers_by_year, "customer_year", twice=True),
+    "top_brands_by_year": _served(serving.top_brands_by_year, "brand_year", twice=True),
+    "evolution_series": _served(serving.evolution_series, "event_evolution"),
+    "leaderboard": _served(serving.leaderboard, "customer_year"),
+    "busiest_nations": _served(serving.busiest_nations, "nation_history"),
 }

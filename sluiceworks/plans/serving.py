@@ -1,61 +1,65 @@
-"""Serving queries: SQL over marts, ordered, ties broken by the key.
+"""Serving queries over marts: one-row figures, leaders and their history, ordered lists.
 
-``{name}`` stands for a mart DataFrame given to ``spark.sql``. Only marts are read, so the work is
-that of a few thousand rows whatever the size of the facts.
+Only marts are read. Ties are broken by the key. Marts that are read twice should be at rest.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-KPI_ROW = """
-SELECT
-  (SELECT count(DISTINCT year) FROM {customer_year}) AS years_covered,
-  (SELECT sum(orders) FROM {nation_history}) AS orders_placed,
-  (SELECT count(DISTINCT cust_key) FROM {customer_year}) AS customers_ever,
-  (SELECT sum(urgent) FROM {customer_year}) AS urgent_orders,
-  (SELECT sum(events) FROM {event_evolution}) AS events_recorded
-"""
+from sluiceworks.functions import decimal_sum
+from sluiceworks.operators.ranking import history_of_leaders, top
 
-TOP_CUSTOMERS_BY_YEAR = """
-WITH ever AS (
-  SELECT cust_key, sum(CAST(spend AS DECIMAL(28,1))) AS total
-  FROM {customer_year} GROUP BY cust_key ORDER BY total DESC, cust_key LIMIT 5
-)
-SELECT year, cust_key, customer, spend, urgent
-FROM {customer_year} JOIN ever USING (cust_key)
-ORDER BY year, customer, cust_key
-"""
 
-TOP_BRANDS_BY_YEAR = """
-WITH ever AS (
-  SELECT brand, sum(CAST(revenue AS DECIMAL(28,1))) AS total
-  FROM {brand_year} GROUP BY brand ORDER BY total DESC, brand LIMIT 5
-)
-SELECT year, brand, revenue, lines
-FROM {brand_year} JOIN ever USING (brand)
-ORDER BY year, brand
-"""
+def one_row(*figures: DataFrame) -> DataFrame:
+    """One-row aggregates side by side: a tagged union and a maximum, no cross join."""
+    tagged = figures[0]
+    for more in figures[1:]:
+        tagged = tagged.unionByName(more, allowMissingColumns=True)
+    return tagged.agg(*[F.max(c).alias(c) for c in tagged.columns])
 
-EVOLUTION_SERIES = """
-SELECT day, event_type, events, avg_value, median_value, least_value
-FROM {event_evolution} ORDER BY day, event_type
-"""
 
-# Grouped by name on purpose: two customers of the same name share a line.
-LEADERBOARD = """
-SELECT customer, sum(urgent) AS urgent, sum(urgent_or_high) AS urgent_or_high,
-       CAST(round(sum(CAST(spend AS DECIMAL(28,1))), 1) AS DOUBLE) AS spend
-FROM {customer_year} GROUP BY customer
-ORDER BY urgent DESC, customer LIMIT 10
-"""
+def kpi_row(customer_year: DataFrame, nation_history: DataFrame, event_evolution: DataFrame) -> DataFrame:
+    """Headline figures, each mart aggregated once."""
+    return one_row(
+        customer_year.agg(
+            F.count_distinct("year").alias("years_covered"),
+            F.count_distinct("cust_key").alias("customers_ever"),
+            F.sum("urgent").alias("urgent_orders"),
+        ),
+        nation_history.agg(F.sum("orders").alias("orders_placed")),
+        event_evolution.agg(F.sum("events").alias("events_recorded")),
+    )
 
-BUSIEST_NATIONS = """
-SELECT nation, orders, first_year, last_year, urgent_customers
-FROM {nation_history} ORDER BY orders DESC, nation LIMIT 15
-"""
+
+def top_customers_by_year(customer_year: DataFrame) -> DataFrame:
+    """Every year of the five customers who spent most."""
+    rows = history_of_leaders(customer_year, "cust_key", decimal_sum("spend", 1), 5)
+    return rows.select("year", "cust_key", "customer", "spend", "urgent").orderBy("year", "customer", "cust_key")
+
+
+def top_brands_by_year(brand_year: DataFrame) -> DataFrame:
+    """Every year of the five brands with most revenue."""
+    rows = history_of_leaders(brand_year, "brand", decimal_sum("revenue", 1), 5)
+    return rows.select("year", "brand", "revenue", "lines").orderBy("year", "brand")
+
+
+def evolution_series(event_evolution: DataFrame) -> DataFrame:
+    columns = ("day", "event_type", "events", "avg_value", "median_value", "least_value")
+    return event_evolution.select(*columns).orderBy("day", "event_type")
+
+
+def leaderboard(customer_year: DataFrame) -> DataFrame:
+    """Ten names by urgent orders; customers of one name share a line on purpose."""
+    by_name = customer_year.groupBy("customer").agg(
+        F.sum("urgent").alias("urgent"),
+        F.sum("urgent_or_high").alias("urgent_or_high"),
+        decimal_sum("spend", 1).alias("spend"),
+    )
+    return top(by_name, 10, "urgent", "customer")
 
 
-def serve(spark: SparkSession, text: str, **marts: DataFrame) -> DataFrame:
-    """Runs one of the texts above over the marts it names."""
-    return spark.sql(text, **{k: v for k, v in marts.items() if "{" + k + "}" in text})
+def busiest_nations(nation_history: DataFrame) -> DataFrame:
+    columns = ("nation", "orders", "first_year", "last_year", "urgent_customers")
+    return top(nation_history.select(*columns), 15, "orders", "nation")
