@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from sluiceworks.sources.raw import MALFORMED
+
 LAYERS = ("bronze", "silver", "quarantine")
 
 
@@ -47,17 +49,25 @@ def with_prediction(accounting: DataFrame, predicted: DataFrame) -> DataFrame:
 
 
 def observed_counts(raw: Mapping[str, DataFrame]) -> DataFrame:
-    """``(dataset, actual_rows, header_leaks)``: a leak is a row that repeats its column's name."""
+    """``(dataset, actual_rows, header_leaks, malformed_lines)``: a leak is a row that repeats its column's name."""
     tagged = []
     for dataset, frame in raw.items():
         first = frame.columns[0]
         tagged.append(
-            frame.select(F.lit(dataset).alias("dataset"), (F.col(first) == first).alias("leak"))
+            frame.select(
+                F.lit(dataset).alias("dataset"),
+                (F.col(first) == first).alias("leak"),
+                (F.col(MALFORMED).isNotNull() if MALFORMED in frame.columns else F.lit(False)).alias("malformed"),
+            )
         )
     return (
         union_all(tagged)
         .groupBy("dataset")
-        .agg(F.count("*").alias("actual_rows"), F.count_if("leak").alias("header_leaks"))
+        .agg(
+            F.count("*").alias("actual_rows"),
+            F.count_if("leak").alias("header_leaks"),
+            F.count_if("malformed").alias("malformed_lines"),
+        )
     )
 
 
@@ -65,9 +75,10 @@ def completeness(counts: DataFrame, manifest: DataFrame) -> DataFrame:
     """Manifest against observation: every expected dataset has one line, present or not."""
     return (
         manifest.join(counts, "dataset", "left")
-        .fillna(0, ["actual_rows", "header_leaks"])
+        .fillna(0, ["actual_rows", "header_leaks", "malformed_lines"])
         .withColumn("rows_ok", F.col("actual_rows") == F.col("expected_rows"))
         .withColumn("header_ok", F.col("header_leaks") == 0)
+        .withColumn("lines_ok", F.col("malformed_lines") == 0)
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from sluiceworks.contract import Column, Contract
 from sluiceworks.functions import NULL_MARKER
-from sluiceworks.sources.raw import PROVENANCE, ROW_ID
+from sluiceworks.sources.raw import MALFORMED, PROVENANCE, ROW_ID
 
 FOUND = "_found"
 
@@ -23,7 +23,7 @@ def typed(raw: DataFrame, contract: Contract) -> DataFrame:
     Doubles get ``+ 0.0`` so that negative zero equals zero. Originals stay separate columns: a
     struct of them would make every scan read all of them.
     """
-    kept = [c for c in (*PROVENANCE, ROW_ID) if c in raw.columns]
+    kept = [c for c in (*PROVENANCE, MALFORMED, ROW_ID) if c in raw.columns]
     originals = [f"{unmarked(c)} AS `{original(c.source)}`" for c in contract.columns]
     values = [f"{value_of(c, f'`{original(c.source)}`')} AS `{c.name}`" for c in contract.columns]
     return raw.selectExpr(*originals, *kept).selectExpr("*", *values)
@@ -69,4 +69,7 @@ def with_row_findings(rows: DataFrame, contract: Contract) -> DataFrame:
     ``concat_ws`` skips NULLs and, unlike array functions that take a lambda, is compiled together
     with the casts and comparisons around it.
     """
-    return rows.selectExpr("*", f"concat_ws(',', {', '.join(row_findings(contract))}) AS {FOUND}")
+    found = row_findings(contract)
+    if MALFORMED in rows.columns:
+        found.insert(0, f"CASE WHEN {MALFORMED} IS NOT NULL THEN 'malformed_line' END")
+    return rows.selectExpr("*", f"concat_ws(',', {', '.join(found)}) AS {FOUND}")

@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 from sluiceworks.contract import Contract
 from sluiceworks.operators.checks import FOUND, typed, with_key_values, with_row_findings
 from sluiceworks.operators.keyed import LIMITS, Findings, Limits, attach, settle
-from sluiceworks.sources.raw import ROW_ID
+from sluiceworks.sources.raw import ROW_ID, well_formed
+
+
+KEEPER_BYTES = 512
 
 
 def repeated_keys(raw: DataFrame, contract: Contract, limits: Limits = LIMITS) -> Findings:
     """Keys on more than one row, with their number of copies. Only the key columns are read, and
-    counting starts before the shuffle."""
-    counted = typed(raw, contract).groupBy(*contract.key).agg(F.count("*").alias("_copies"))
+    counting starts before the shuffle. Malformed lines are nobody's copies."""
+    counted = typed(well_formed(raw), contract).groupBy(*contract.key).agg(F.count("*").alias("_copies"))
     return settle(counted.where("_copies > 1"), list(contract.key), "_copies", limits)
 
 
@@ -48,7 +51,7 @@ def suspect_rows(raw: DataFrame, contract: Contract, sizes: Findings) -> DataFra
     """The rows of repeated keys, typed and checked. Only their keys are cast before they are found."""
     prefix = "_key_"
     hits = sizes.prefixed(prefix)
-    found = attach(with_key_values(raw, contract, prefix), hits.frame, hits)
+    found = attach(with_key_values(well_formed(raw), contract, prefix), hits.frame, hits)
     return with_row_findings(typed(found.where(F.col("_copies").isNotNull()), contract), contract)
 
 
@@ -64,7 +67,8 @@ def with_duplicate_findings(
         return rows, []
     verdicts = key_verdicts(suspect_rows(raw, contract, repeated), contract)
     several = F.col("_copies") > 1
-    return attach(rows, verdicts, repeated), [
+    # A verdict names the row to keep by file and place.
+    return attach(rows, verdicts, repeated, KEEPER_BYTES), [
         F.when(several & F.col("_alike") & (F.col(ROW_ID) != F.col("_keeper")), "exact_duplicate"),
         F.when(several & ~F.col("_alike"), "key_conflict"),
     ]

@@ -14,7 +14,7 @@ from sluiceworks.operators.checks import FOUND, original, typed, with_row_findin
 from sluiceworks.operators.duplicates import repeated_keys, with_duplicate_findings
 from sluiceworks.operators.keyed import LIMITS, Findings, Limits
 from sluiceworks.operators.references import Parent, with_reference_findings
-from sluiceworks.sources.raw import PROVENANCE, ROW_ID
+from sluiceworks.sources.raw import MALFORMED, PROVENANCE, ROW_ID
 
 REASONS = "_reasons"
 QUARANTINED_AT = "_quarantined_at"
@@ -46,7 +46,7 @@ class Staged:
         """The exact complement: original strings, provenance, reasons joined by commas."""
         return self.rows.where(~self.is_clean).select(
             *self.originals,
-            *[c for c in PROVENANCE if c in self.rows.columns],
+            *[c for c in (*PROVENANCE, MALFORMED) if c in self.rows.columns],
             REASONS,
         )
 
@@ -67,7 +67,7 @@ def gate(
 ) -> Staged:
     """Checks ``raw`` (all strings, with ``_row_id``) against its contract.
 
-    Reasons come in a fixed order: per column ``bad_``/``missing_``, rules, references, duplicates.
+    Reasons come in a fixed order: ``malformed_line``, per column ``bad_``/``missing_``, rules, references, duplicates.
     ``repeated`` are the repeated keys if they are known already.
     """
     if ROW_ID not in raw.columns:

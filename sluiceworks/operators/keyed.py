@@ -102,13 +102,14 @@ def renamed(frame: DataFrame, keys: list[str], prefix: str) -> DataFrame:
     return frame.withColumnsRenamed({k: prefix + k for k in keys})
 
 
-def attach(rows: DataFrame, found: DataFrame, sizes: Findings) -> DataFrame:
+def attach(rows: DataFrame, found: DataFrame, sizes: Findings, payload: int = 16) -> DataFrame:
     """Left join of ``found`` (one row per key of ``sizes``) to ``rows``; NULL keys match NULL keys.
 
-    ``found`` holds no keys beyond those of ``sizes``. ``rows`` must carry ``_row_id``.
+    ``found`` holds no keys beyond those of ``sizes`` and about ``payload`` bytes beside each, which count
+    where it is to be broadcast. ``rows`` must carry ``_row_id``.
     """
     keys, prefix = list(sizes.keys), "_found_"
-    if sizes.small:
+    if sizes.small and sizes.key_bytes + payload * sizes.rows <= sizes.limits.broadcast_bytes:
         other = F.broadcast(renamed(found, keys, prefix))
         return rows.join(other, same_key(keys, prefix), "left").drop(*[prefix + k for k in keys])
     heavy = sizes.frame.where(F.col(sizes.weight) > sizes.rows_per_task)

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sluiceworks.operators.keyed import renamed, same_key, settle
+from sluiceworks.operators.keyed import Findings, renamed, same_key, settle
 from sluiceworks.sources.store import at_rest
 
 TASK_VALUES = 2_000_000
@@ -29,16 +29,18 @@ def exact_median(
 
     A group with more distinct values than one task should hold is first narrowed: a histogram
     shows which of its values can be in the middle, and all others are moved to the edge of that
-    range, which leaves the middle where it was. Values must be finite.
+    range, which leaves the middle where it was. Infinities and NaN (the greatest value) take part by
+    rank. Every round drops an end of each wide group's values; one that does not is an error.
     """
     present = counts.where(F.col(value).isNotNull()).select(*groups, value, "copies")
+    before = None
     while True:
         wide = (
             present.groupBy(*groups)
             .agg(
                 F.count("*").alias("_values"),
-                F.min(value).alias("_low"),
-                F.max(value).alias("_high"),
+                F.min(F.when(_finite(value), F.col(value))).alias("_low"),
+                F.max(F.when(_finite(value), F.col(value))).alias("_high"),
                 F.sum("copies").alias("_n"),
             )
             .where(F.col("_values") > task_values)
@@ -46,15 +48,26 @@ def exact_median(
         sizes = settle(wide, groups, "_values")
         if sizes.rows == 0:
             break
-        present = at_rest(_narrowed(present, sizes.frame, groups, value, buckets), "narrowed")
+        if before is not None and sizes.total_weight >= before:
+            raise RuntimeError(f"the values of {value} cannot be narrowed any further")
+        before = sizes.total_weight
+        present = at_rest(_narrowed(present, sizes, groups, value, buckets), "narrowed")
     return present.groupBy(*groups).agg(F.percentile(value, F.lit(0.5), F.col("copies")).alias("median"))
 
 
-def _narrowed(present: DataFrame, wide: DataFrame, groups: list[str], value: str, buckets: int) -> DataFrame:
-    # Wide groups are at most (distinct values / task_values) many: their list is broadcast.
-    listed = F.broadcast(renamed(wide, groups, "_wide_"))
-    spot = (F.col(value) - F.col("_low")).cast("double") / (F.col("_high") - F.col("_low"))
-    bucket = F.least(F.floor(spot * buckets), F.lit(buckets - 1))
+def _finite(value: str) -> Column:
+    """Whether a value is neither infinite nor NaN (which is greater than infinity)."""
+    return F.abs(F.col(value).cast("double")) < float("inf")
+
+
+def _narrowed(present: DataFrame, wide: Findings, groups: list[str], value: str, buckets: int) -> DataFrame:
+    # Wide groups are at most (distinct values / task_values) many; their list is broadcast if that is few.
+    hint = F.broadcast if wide.small else (lambda frame: frame)
+    listed = hint(renamed(wide.frame, groups, "_wide_"))
+    # Halves, so that the range of very large values does not overflow.
+    spot = (F.col(value).cast("double") / 2 - F.col("_low") / 2) / (F.col("_high") / 2 - F.col("_low") / 2)
+    inside = F.greatest(F.least(F.floor(spot * buckets), F.lit(buckets - 1)), F.lit(0))
+    bucket = F.when(_finite(value), inside).when(F.col(value) < 0, -1).otherwise(buckets).cast("int")
     histogram = (
         present.join(listed, same_key(groups, "_wide_"))
         .groupBy(*groups, bucket.alias("_bucket"))
@@ -78,7 +91,7 @@ def _narrowed(present: DataFrame, wide: DataFrame, groups: list[str], value: str
     )
     moved = F.least(F.greatest(F.col(value), F.col("_from")), F.col("_to"))
     return (
-        present.join(F.broadcast(renamed(middle, groups, "_mid_")), same_key(groups, "_mid_"), "left")
+        present.join(hint(renamed(middle, groups, "_mid_")), same_key(groups, "_mid_"), "left")
         .select(*groups, F.when(F.col("_from").isNull(), F.col(value)).otherwise(moved).alias(value), "copies")
         .groupBy(*groups, value)
         .agg(F.sum("copies").alias("copies"))

@@ -52,10 +52,12 @@ def _by_parent_values(rows: DataFrame, ref: Reference, parent: Parent) -> DataFr
     )
 
 
-def _by_used_values(rows: DataFrame, ref: Reference, parent: Parent, limits: Limits) -> DataFrame:
-    """The values in use are counted first (a hot value shrinks to one row per task), compared with
+def _by_used_values(
+    rows: DataFrame, base: DataFrame, ref: Reference, parent: Parent, limits: Limits
+) -> DataFrame:
+    """The values in use are counted first, on ``base``, the rows before any reference was looked at (a hot value shrinks to one row per task), compared with
     the parent key by key, and only the orphans are carried back to the rows."""
-    used = rows.groupBy(ref.column).agg(F.count("*").alias("_uses"))
+    used = base.groupBy(ref.column).agg(F.count("*").alias("_uses"))
     known = parent.values(ref.parent_column).select(
         F.col(ref.parent_column).alias("_known"), F.lit(True).alias("_exists")
     )
@@ -75,12 +77,12 @@ def with_reference_findings(
     rows: DataFrame, contract: Contract, parents: dict[str, Parent], limits: Limits = LIMITS
 ) -> tuple[DataFrame, list]:
     """Adds one flag per reference and returns the matching ``orphan_`` expressions, in order."""
-    found = []
+    found, base = [], rows
     for ref in contract.references:
         parent = parents[ref.parent]
         if parent.fits_broadcast(ref.parent_column, limits):
             rows = _by_parent_values(rows, ref, parent)
         else:
-            rows = _by_used_values(rows, ref, parent, limits)
+            rows = _by_used_values(rows, base, ref, parent, limits)
         found.append(F.when(F.col(_flag(ref.column)), f"orphan_{ref.column}"))
     return rows, found

@@ -13,12 +13,10 @@ from sluiceworks.operators.describe import Describer
 from sluiceworks.operators.joins import lookup
 from sluiceworks.operators.medians import exact_median, value_counts
 from sluiceworks.sources import at_rest
-from sluiceworks.sources.raw import ROW_ID, as_text, read_parquet, spread_out, stamped
+from sluiceworks.sources.raw import ROW_ID, as_text, read_parquet, stamped
 
 RUN_TS = datetime(2024, 2, 1)
 SNAPSHOT_DATE = "2001-01-01"
-FACTS = ("orders", "lineitem", "events", "documents", "conversations")
-
 CONTRACTS = {
     c.dataset: c
     for c in (
@@ -40,7 +38,7 @@ CONTRACTS = {
             "customer",
             "c_custkey BIGINT NOT NULL, c_name STRING NOT NULL COMMENT 'Customer name.', "
             "c_nationkey INT NOT NULL, "
-            "c_acctbal DECIMAL(18,2) COMMENT 'Account balance; negative when in debt.', "
+            "c_acctbal DOUBLE COMMENT 'Account balance; negative when in debt.', "
             "c_mktsegment STRING COMMENT 'Market segment.'",
             ("c_custkey",),
             references=(Reference("c_nationkey", "nation", "n_nationkey"),),
@@ -49,7 +47,7 @@ CONTRACTS = {
         Contract(
             "supplier",
             "s_suppkey BIGINT NOT NULL, s_name STRING NOT NULL COMMENT 'Supplier name.', "
-            "s_nationkey INT NOT NULL, s_acctbal DECIMAL(18,2) COMMENT 'Account balance.'",
+            "s_nationkey INT NOT NULL, s_acctbal DOUBLE COMMENT 'Account balance.'",
             ("s_suppkey",),
             references=(Reference("s_nationkey", "nation", "n_nationkey"),),
             about="Suppliers.",
@@ -59,7 +57,7 @@ CONTRACTS = {
             "p_partkey BIGINT NOT NULL, p_name STRING NOT NULL COMMENT 'Part name.', "
             "p_brand STRING NOT NULL COMMENT 'Brand.', p_type STRING COMMENT 'Kind of part.', "
             "p_size INT COMMENT 'Size in units (at least 1).', "
-            "p_retailprice DECIMAL(18,2) COMMENT 'List price.'",
+            "p_retailprice DOUBLE COMMENT 'List price.'",
             ("p_partkey",),
             rules={"size_ge_1": "p_size IS NULL OR p_size >= 1", "price_ge_0": "p_retailprice >= 0"},
             about="Parts on sale.",
@@ -79,10 +77,10 @@ CONTRACTS = {
             "lineitem",
             "l_orderkey BIGINT NOT NULL, l_partkey BIGINT NOT NULL, l_suppkey BIGINT NOT NULL, "
             "l_linenumber INT NOT NULL COMMENT 'Line within the order (at least 1).', "
-            "l_quantity DECIMAL(18,2) NOT NULL COMMENT 'Quantity.', "
-            "l_extendedprice DECIMAL(18,2) NOT NULL COMMENT 'Price before discount and tax.', "
-            "l_discount DECIMAL(18,2) COMMENT 'Discount as a fraction.', "
-            "l_tax DECIMAL(18,2) COMMENT 'Tax as a fraction.', "
+            "l_quantity DOUBLE NOT NULL COMMENT 'Quantity.', "
+            "l_extendedprice DOUBLE NOT NULL COMMENT 'Price before discount and tax.', "
+            "l_discount DOUBLE COMMENT 'Discount as a fraction.', "
+            "l_tax DOUBLE COMMENT 'Tax as a fraction.', "
             "l_returnflag STRING COMMENT 'Return flag.', l_linestatus STRING COMMENT 'Line status.', "
             "l_shipdate DATE COMMENT 'Day of shipping.'",
             ("l_orderkey", "l_linenumber"),
@@ -103,7 +101,7 @@ CONTRACTS = {
             "events",
             "event_id BIGINT NOT NULL, ts TIMESTAMP_NTZ NOT NULL COMMENT 'When it happened.', "
             "user_id BIGINT NOT NULL, event_type STRING NOT NULL COMMENT 'Kind of event.', "
-            "value DECIMAL(18,2) COMMENT 'Measured value; NULL if not recorded.', "
+            "value DOUBLE COMMENT 'Measured value; NULL if not recorded.', "
             "props STRING COMMENT 'Further properties as text.'",
             ("event_id",),
             references=(Reference("user_id", "customer", "c_custkey"),),
@@ -191,7 +189,7 @@ def raw_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
         return dirty_orders(spark, folder)
     wanted = [c.source for c in CONTRACTS[name].columns]
     scan = read_parquet(spark, f"{folder}/{name}.parquet")
-    rows = as_text(spread_out(scan) if name in FACTS else scan, wanted)
+    rows = as_text(scan, wanted)
     return stamped(rows, f"{name}.parquet", RUN_TS)
 
 
@@ -204,7 +202,7 @@ def dirty_orders(spark: SparkSession, folder: str) -> DataFrame:
     every = lambda n: key % n == 0
     price = F.floor("o_totalprice").cast("bigint").cast("string")
     copies = F.array_compact(F.array(F.lit(0), F.when(every(113), 1), F.when(every(127), 2)))
-    rows = spread_out(read_parquet(spark, f"{folder}/orders.parquet")).select(
+    rows = read_parquet(spark, f"{folder}/orders.parquet").select(
         key.cast("string").alias("orderKey"),
         F.when(every(101), NULL_MARKER)
         .when(every(103), "999999999")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime
@@ -19,7 +20,7 @@ from sluiceworks.operators.keyed import LIMITS, Limits
 from sluiceworks.operators.references import Parent
 from sluiceworks.session import workspace
 from sluiceworks.sources.landing import landed_files, manifest_frame, presence, read_csv, require_present
-from sluiceworks.sources.raw import PROVENANCE, read_parquet
+from sluiceworks.sources.raw import MALFORMED, PROVENANCE, read_parquet
 
 VERDICT = "verdict"
 ORIGINAL = "_original"
@@ -41,7 +42,7 @@ class Stored:
     @property
     def rejected(self) -> DataFrame:
         return self.table.where(F.col(VERDICT) == "quarantine").select(
-            f"{ORIGINAL}.*", *[c for c in PROVENANCE if c in self.table.columns], REASONS
+            f"{ORIGINAL}.*", *[c for c in (*PROVENANCE, MALFORMED) if c in self.table.columns], REASONS
         )
 
     def quarantine(self, run_ts: datetime) -> DataFrame:
@@ -55,8 +56,10 @@ def store(staged: Staged, path: str) -> Stored:
     """Both outputs from one evaluation of the gate: one write, partitioned by verdict.
 
     Trusted rows keep typed values only and quarantined rows original text only, so nothing is
-    stored twice. The counts are taken by the write itself.
+    stored twice. The counts are taken by the write itself. Every call writes a version of its own below
+    ``path``, so a build can be repeated in the same place and a failed one leaves the last as it was.
     """
+    path = f"{path}/version-{uuid.uuid4().hex}"
     clean = staged.is_clean
     names = staged.contract.names
     seen = Observation()
@@ -66,7 +69,7 @@ def store(staged: Staged, path: str) -> Stored:
         F.when(clean, F.lit("trusted")).otherwise(F.lit("quarantine")).alias(VERDICT),
         *[F.when(clean, F.col(n)).alias(n) for n in names],
         F.when(~clean, F.struct(*staged.originals)).alias(ORIGINAL),
-        *[F.when(~clean, F.col(c)).alias(c) for c in PROVENANCE if c in staged.rows.columns],
+        *[F.when(~clean, F.col(c)).alias(c) for c in (*PROVENANCE, MALFORMED) if c in staged.rows.columns],
         REASONS,
     )
     split.write.partitionBy(VERDICT).parquet(path)
@@ -88,7 +91,7 @@ def land(
     """Copies one CSV file (or folder) per dataset into stored raw tables and returns those.
 
     Fails before copying anything if a dataset's file is missing. The copies hold every value as it
-    was; only the file name and the time of the run are added.
+    was, and a malformed line's whole text; only the file name and the time of the run are added.
     """
     folder = folder or workspace(spark, "raw")
     require_present(
@@ -96,10 +99,9 @@ def land(
     )
 
     def copy(name: str) -> tuple[str, DataFrame]:
-        read_csv(spark, f"{landing}/{name}.csv", contracts[name], run_ts).write.mode("overwrite").parquet(
-            f"{folder}/{name}"
-        )
-        return name, read_parquet(spark, f"{folder}/{name}")
+        path = f"{folder}/{name}/version-{uuid.uuid4().hex}"
+        read_csv(spark, f"{landing}/{name}.csv", contracts[name], run_ts).write.parquet(path)
+        return name, read_parquet(spark, path)
 
     with ThreadPool(parallel) as pool:
         return dict(pool.map(inheritable_thread_target(spark)(copy), contracts, chunksize=1))

@@ -126,34 +126,33 @@ _TABLES = (
 
 _LINE_TEXT = """CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber,
   CAST(l_partkey AS VARCHAR) AS l_partkey, CAST(l_suppkey AS VARCHAR) AS l_suppkey,
-  CAST(CAST(l_quantity AS DECIMAL(18,2)) AS VARCHAR) AS l_quantity,
-  CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS l_extendedprice"""
+  CAST(l_quantity AS VARCHAR) AS l_quantity,
+  CAST(l_extendedprice AS VARCHAR) AS l_extendedprice"""
+
+_ORDER_LINE = """concat_ws(',', o_orderkey, o_custkey, CAST(floor(o_totalprice) AS BIGINT),
+  strftime(o_orderdate, '%Y-%m-%d'), o_orderpriority)"""
 
 ORACLES: dict[str, str] = {
     "raw_provenance": """
 SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
-  CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS c_acctbal, c_mktsegment,
+  CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment,
   'customer.parquet' AS _source_file FROM customer""",
     "csv_scan": f"WITH {_DIRTY} SELECT * FROM dirty",
-    "manifest_verdict": """
-WITH found AS (
-  SELECT 'region' AS dataset, count(*) AS actual_rows FROM region
-  UNION ALL SELECT 'nation', count(*) FROM nation
-  UNION ALL SELECT 'customer', count(*) FROM customer
-  UNION ALL SELECT 'part', count(*) FROM part
-  UNION ALL SELECT 'orders', count(*) FROM orders
-  UNION ALL SELECT 'lineitem', count(*) FROM lineitem
-  UNION ALL SELECT 'events', count(*) FROM events
-  UNION ALL SELECT 'deliveries', 0),
-n AS (SELECT count(*) AS orders FROM orders),
-expected AS (
-  SELECT dataset, actual_rows, CAST(CASE dataset WHEN 'region' THEN 5 WHEN 'nation' THEN 25
-    WHEN 'customer' THEN orders // 10 WHEN 'part' THEN orders * 4 // 30 WHEN 'orders' THEN orders
-    WHEN 'lineitem' THEN orders * 4 WHEN 'events' THEN orders * 2 // 3 ELSE orders END AS BIGINT)
-    AS expected_rows
-  FROM found, n)
-SELECT dataset, expected_rows, actual_rows, CAST(0 AS BIGINT) AS header_leaks,
-  actual_rows = expected_rows AS rows_ok, true AS header_ok FROM expected""",
+    "malformed_lines": f"""
+SELECT CASE WHEN o_orderkey % 97 = 0 THEN CAST(o_orderkey AS VARCHAR) ELSE {_ORDER_LINE} || ',more' END AS line
+FROM orders WHERE o_orderkey % 97 = 0 OR o_orderkey % 83 = 0""",
+    "malformed_accounting": """
+WITH n AS (SELECT count(*) AS n, count(CASE WHEN o_orderkey % 97 = 0 OR o_orderkey % 83 = 0 THEN 1 END) AS bad FROM orders)
+SELECT 'orders' AS dataset, n AS bronze, n - bad AS silver, bad AS quarantine, true AS closes, bad AS malformed_lines FROM n""",
+    "manifest_verdict": "WITH found AS ("
+    + " UNION ALL ".join(
+        f"SELECT '{t}' AS dataset, count(*) + {int(t == 'events')} AS n, {int(t == 'events')} AS leaks FROM {t}"
+        for t in (*_TABLES, "orders", "lineitem")
+    )
+    + """)
+SELECT dataset, n AS expected_rows, n AS actual_rows, CAST(leaks AS BIGINT) AS header_leaks, CAST(0 AS BIGINT) AS malformed_lines,
+  true AS rows_ok, leaks = 0 AS header_ok, true AS lines_ok FROM found
+UNION ALL SELECT 'deliveries', count(*), 0, 0, 0, count(*) = 0, true, true FROM orders""",
     "landing_presence": "".join(
         f"SELECT '{t}' AS dataset, 'present' AS status, count(*) AS rows FROM {t} UNION ALL "
         for t in "region nation customer supplier part orders lineitem events".split()

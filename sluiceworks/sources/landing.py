@@ -10,23 +10,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluiceworks.contract import Contract
-from sluiceworks.sources.raw import INGESTED_AT, SOURCE_FILE
+from sluiceworks.sources.raw import INGESTED_AT, MALFORMED, SOURCE_FILE
 
-CORRUPT = "_corrupt_record"
 
-
-def read_csv(
-    spark: SparkSession, path: str, contract: Contract, run_ts: datetime, check: bool = False
-) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, contract: Contract, run_ts: datetime) -> DataFrame:
     """A headed CSV file (or folder of them) as an all-string raw table with provenance.
 
     The schema is given, so no inference job runs; a header that differs from it is an error.
-    ``\\N`` stays literal. Doubled quotes are read as quotes. With ``check`` a ``_corrupt_record``
-    column holds lines with too few or too many fields (otherwise padded or cut by the reader).
+    ``\\N`` stays literal. Doubled quotes are read as quotes. ``_malformed`` holds the whole text of a
+    line with too few or too many fields, which the reader pads or cuts; the gate quarantines it.
     """
-    schema = contract.raw_schema
-    if check:
-        schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    schema = T.StructType([*contract.raw_schema.fields, T.StructField(MALFORMED, T.StringType())])
     lines = (
         spark.read.schema(schema)
         .option("header", True)
@@ -34,7 +28,7 @@ def read_csv(
         .option("escape", '"')
         .option("multiLine", False)
         .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("columnNameOfCorruptRecord", MALFORMED)
         .csv(path)
     )
     return lines.select(

@@ -6,12 +6,13 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 SOURCE_FILE = "_source_file"
 INGESTED_AT = "_ingested_at"
 PROVENANCE = (SOURCE_FILE, INGESTED_AT)
 ROW_ID = "_row_id"
+# The whole text of a landed line with too few or too many fields; NULL for a good one.
+MALFORMED = "_malformed"
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -33,36 +34,18 @@ def with_row_id(scan: DataFrame) -> DataFrame:
     )
 
 
-FEW_PIECES = 4
-
-
-def spread_out(scan: DataFrame) -> DataFrame:
-    """Deals the rows out to all cores if the scan has only a few pieces.
-
-    A file that cannot be split would leave all work to one task. A few pieces are a few hundred
-    megabytes at most, so this shuffle is small; scans of large tables are left as they are.
-    """
-    spark = scan.sparkSession
-    if scan.select(ROW_ID).rdd.getNumPartitions() > FEW_PIECES:
-        return scan
-    return scan.repartition(spark.sparkContext.defaultParallelism, F.col(f"{ROW_ID}.row"))
-
-
-def _text(field: T.StructField) -> Column:
-    value = F.col(f"`{field.name}`")
-    if isinstance(field.dataType, T.DoubleType | T.FloatType):
-        # Fractions as fixed-point text: no exponent, the same on every engine.
-        return value.cast("decimal(18,2)").cast("string")
-    return value.cast("string")
-
-
 def as_text(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """The table as a landing file would hold it: strings only. ``_row_id`` is kept."""
+    """The table as a landing file would hold it: strings only, nothing rounded. ``_row_id`` is kept."""
     wanted = columns or [c for c in df.columns if c != ROW_ID]
-    texts = [_text(df.schema[c]).alias(c) for c in wanted]
+    texts = [F.col(f"`{c}`").cast("string").alias(c) for c in wanted]
     return df.select(*texts, *[c for c in (ROW_ID,) if c in df.columns])
 
 
+def well_formed(raw: DataFrame) -> DataFrame:
+    """The rows that do not come from a malformed line."""
+    return raw.where(F.col(MALFORMED).isNull()) if MALFORMED in raw.columns else raw
+
+
 def stamped(raw: DataFrame, source_file: str | Column, run_ts: datetime) -> DataFrame:
     """Provenance columns: the file, and one time stamp for the whole run."""
     origin = F.lit(source_file) if isinstance(source_file, str) else source_file

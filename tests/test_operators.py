@@ -99,3 +99,16 @@ def test_fingerprints_ignore_order(spark):
     a, b = audit.fingerprint(df, "t"), audit.fingerprint(df.orderBy(F.desc("id")), "t")
     assert audit.reproducible(a, b).first().identical
     assert not audit.reproducible(a, audit.fingerprint(spark.range(1, 101), "t")).first().identical
+
+
+def test_median_with_infinities_and_nan(spark):
+    """Non-finite values take part by rank, also where groups are narrowed."""
+    from sluiceworks.operators.medians import exact_median
+
+    inf, nan = float("inf"), float("nan")
+    rows = [("a", float(v), 1) for v in range(101)] + [("a", inf, 3), ("a", nan, 2), ("a", -inf, 1)]
+    rows += [("b", float(v) * 1e300, 1) for v in range(-50, 51)] + [("c", v, 1) for v in (nan, inf, 1.0)]
+    counts = spark.createDataFrame(rows, "g string, v double, copies bigint")
+    for task_values in (10, 2_000_000):
+        got = {r.g: r["median"] for r in exact_median(counts, ["g"], "v", task_values, 8).collect()}
+        assert got == {"a": 52.0, "b": 0.0, "c": inf}

