@@ -308,13 +308,14 @@ def events_with_gaps(events: DataFrame) -> DataFrame:
 def event_value_evolution(events: DataFrame) -> DataFrame:
     """Per day and type: all events, and average, exact median and minimum of the recorded values."""
     groups = ["day", "event_type"]
-    rows = events.select(F.to_date("ts").alias("day"), "event_type", money("value").alias("value"))
+    exact = F.col("value").cast("decimal(28,10)")
+    rows = events.select(F.to_date("ts").alias("day"), "event_type", exact.alias("value"))
     counts = at_rest(value_counts(rows, groups, "value"), "event-values")
     recorded = F.when(F.col("value").isNotNull(), F.col("copies"))
     basics = counts.groupBy(*groups).agg(
         F.sum("copies").alias("events"),
         F.round(
-            F.sum(F.col("value") * F.col("copies")).cast("double") / F.sum(recorded), 3
+            F.sum(F.col("value") * F.col("copies").cast("decimal(10,0)")).cast("double") / F.sum(recorded), 3
         ).alias("avg_value"),
         F.min("value").cast("double").alias("least_value"),
     )
@@ -326,6 +327,19 @@ def event_value_evolution(events: DataFrame) -> DataFrame:
     )
 
 
+def lines_by_order_year(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+    """One row per year of ordering: lines, and how many days after the order they were shipped."""
+    dated = orders.select(F.col("order_key").alias("l_orderkey"), "order_date")
+    lines = lineitem.select("l_orderkey", "l_linenumber", "l_shipdate")
+    days = F.datediff("l_shipdate", "order_date").cast("bigint")
+    return lookup(lines, dated, "l_orderkey", ["l_linenumber"]).groupBy(F.year("order_date").alias("year")).agg(
+        F.count("*").alias("lines"),
+        F.sum(days).alias("days_to_ship"),
+        F.min(days).alias("fewest_days"),
+        F.max(days).alias("most_days"),
+    )
+
+
 def nation_history(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
     """Per nation that ever ordered: orders, first and last year, customers with an urgent order.
 

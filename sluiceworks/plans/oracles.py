@@ -260,6 +260,11 @@ JOIN region ON n_regionkey = r_regionkey""",
     "brand_year_summary": f"WITH {_LINES}{_BRAND_YEAR} SELECT * FROM brand_year",
     "event_value_evolution": f"WITH {_EVOLUTION} SELECT * FROM event_evolution",
     "nation_history": f"WITH {_STAGED}{_NATION_HISTORY} SELECT * FROM nation_history",
+    "lines_by_order_year": f"""WITH {_LINES}, d AS (
+  SELECT year(order_date) AS y, date_diff('day', order_date, CAST(l_shipdate AS DATE)) AS days
+  FROM trusted_lines JOIN trusted_orders ON l_orderkey = order_key)
+SELECT CAST(y AS INTEGER) AS year, count(*) AS lines, CAST(sum(days) AS BIGINT) AS days_to_ship, min(days) AS fewest_days,
+  max(days) AS most_days FROM d GROUP BY 1""",
     "mart_reconciliation": f"""WITH {_STAGED},
 t AS (
   SELECT CAST(count(*) AS DOUBLE) AS n, CAST(sum(total_price) AS DOUBLE) AS s,

@@ -392,10 +392,16 @@ def brand_year_summary(spark, folder):
 
 
 def event_value_evolution(spark, folder):
-    events = commerce.events_with_gaps(commerce.table(spark, folder, "events"))
+    events = commerce.events_with_gaps(stored(spark, folder, "events")["events"].trusted)
     return commerce.event_value_evolution(events)
 
 
+def lines_by_order_year(spark, folder):
+    """The two large tables joined: trusted lines with the dates of their trusted orders."""
+    b = stored(spark, folder, "lineitem")
+    return commerce.lines_by_order_year(b["lineitem"].trusted, b["orders"].trusted)
+
+
 def nation_history(spark, folder):
     b = stored(spark, folder, "orders")
     return commerce.nation_history(b["orders"].trusted, b["customer"].trusted, b["nation"].trusted)
@@ -656,7 +662,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         row_accounting, expectation_metrics, expectation_gate, key_uniqueness, future_rows, scheduled_verdict,
         lossless_join_check, reproducible_build, reported_vs_summed, enriched_orders,
         customer_year_summary, segment_year_summary, brand_year_summary, event_value_evolution,
-        nation_history, mart_reconciliation, triangle_check, mart_audit, leaders_of_segments,
+        nation_history, lines_by_order_year, mart_reconciliation, triangle_check, mart_audit, leaders_of_segments,
         urgent_chart, named_series, lowest_day, row_trace, conflict_evidence, scalar_functions,
         range_filter, distinct_customers, spend_again, column_coverage,
     )

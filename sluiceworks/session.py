@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -34,13 +36,15 @@ def session(app: str = "sluiceworks", master: str | None = None, **settings: str
 def checkpoint_folder(spark: SparkSession) -> str:
     """The shared folder: what ``spark.checkpoint.dir`` names.
 
-    Executors must all see it, so a temporary folder stands in only for a local master without one.
+    Executors must all see it, so a temporary folder, removed at exit, stands in only for a local master
+    without one.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
         folder = tempfile.mkdtemp(prefix="sluiceworks-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", folder)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
@@ -48,5 +52,5 @@ def checkpoint_folder(spark: SparkSession) -> str:
 
 
 def workspace(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{checkpoint_folder(spark)}/sluiceworks/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder; all those of one application are in one folder."""
+    return f"{checkpoint_folder(spark)}/sluiceworks/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
