@@ -283,12 +283,18 @@ t AS (
 SELECT 'orders' AS check_name, n AS expected, CAST(0 AS DOUBLE) AS tolerance, n AS actual, true AS ok FROM t
 UNION ALL SELECT 'urgent', u, 0, u, true FROM t
 UNION ALL SELECT 'spend', s, 0.5, s, true FROM t""",
-    "mart_audit": f"""WITH {_STAGED}{_SEGMENT_YEAR}{_NATION_HISTORY}, t AS (SELECT count(*) AS n FROM trusted_orders)
-SELECT 'segment_year_summary' AS mart, count(*) AS rows, CAST(35 AS BIGINT) AS rows_expected,
-  CAST(sum(orders) AS BIGINT) AS key_sum, min(n) AS key_sum_expected,
-  count(*) = 35 AND sum(orders) = min(n) AS ok FROM segment_year, t
-UNION ALL SELECT 'nation_history', count(*), 25, CAST(sum(orders) AS BIGINT), min(n),
-  count(*) = 25 AND sum(orders) = min(n) FROM nation_history, t""",
+    "mart_audit": f"WITH {_LINES}{_CUSTOMER_YEAR[len(_STAGED):]}{_SEGMENT_YEAR}{_NATION_HISTORY}{_BRAND_YEAR},{_EVOLUTION} "
+    + " UNION ALL ".join(
+        f"SELECT '{mart}' AS mart, count(*) AS rows, count(*) AS rows_expected, CAST(sum({column}) AS BIGINT) AS key_sum, "
+        f"(SELECT count(*) FROM {facts}) AS key_sum_expected, sum({column}) = (SELECT count(*) FROM {facts}) AS ok FROM {mart}"
+        for mart, column, facts in (
+            ("customer_year", "orders", "trusted_orders"),
+            ("segment_year", "orders", "trusted_orders"),
+            ("nation_history", "orders", "trusted_orders"),
+            ("brand_year", "lines", "trusted_lines"),
+            ("event_evolution", "events", "events"),
+        )
+    ),
     "leaders_of_segments": f"""WITH {_CUSTOMER_YEAR},
 ever AS (
   SELECT cust_key FROM customer_year GROUP BY cust_key ORDER BY sum(orders) DESC, cust_key LIMIT 3)

@@ -492,16 +492,34 @@ def triangle_check(spark, folder):
 
 
 def mart_audit(spark, folder):
-    """Rows and one key sum per mart; expected are years x segments and the trusted orders."""
-    b = stored(spark, folder, "orders")
-    orders, customer, nation = (b[n].trusted for n in ("orders", "customer", "nation"))
-    return audit.mart_audit(
-        {
-            "segment_year_summary": (commerce.segment_year_summary(orders, customer), "orders"),
-            "nation_history": (commerce.nation_history(orders, customer, nation), "orders"),
-        },
-        {"segment_year_summary": (35, b["orders"].clean), "nation_history": (25, b["orders"].clean)},
-    )
+    """Rows and one key sum of all five marts against groups and rows counted in the trusted facts."""
+    b = stored(spark, folder, "lineitem", "events")
+    t = {n: b[n].trusted for n in b}
+    marts = {
+        "customer_year": (commerce.customer_year_summary(t["orders"], t["customer"]), "orders"),
+        "segment_year": (commerce.segment_year_summary(t["orders"], t["customer"]), "orders"),
+        "nation_history": (commerce.nation_history(t["orders"], t["customer"], t["nation"]), "orders"),
+        "brand_year": (commerce.brand_year_summary(t["lineitem"], t["part"]), "lines"),
+        "event_evolution": (commerce.event_value_evolution(commerce.events_with_gaps(t["events"])), "events"),
+    }
+    year = F.year("order_date").alias("year")
+    who = t["customer"].select(F.col("c_custkey").alias("cust_key"), "c_mktsegment", "c_nationkey")
+    ordered = t["orders"].groupBy(year, "cust_key").agg(F.count("*").alias("n")).join(who, "cust_key")
+    shipped = t["lineitem"].groupBy(F.year("l_shipdate").alias("year"), F.col("l_partkey").alias("p_partkey")).agg(F.count("*").alias("n"))
+    facts = {
+        "customer_year": (ordered, ["year", "cust_key"]),
+        "segment_year": (ordered, ["year", "c_mktsegment"]),
+        "nation_history": (ordered, ["c_nationkey"]),
+        "brand_year": (shipped.join(t["part"].select("p_partkey", "p_brand"), "p_partkey"), ["year", "p_brand"]),
+        "event_evolution": (t["events"].select(F.to_date("ts").alias("day"), "event_type", F.lit(1).alias("n")), ["day", "event_type"]),
+    }
+    expected = [
+        frame.groupBy(*keys).agg(F.sum("n").alias("n")).agg(
+            F.count("*").alias("rows_expected"), F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("key_sum_expected")
+        ).select(F.lit(name).alias("mart"), "rows_expected", "key_sum_expected")
+        for name, (frame, keys) in facts.items()
+    ]
+    return audit.mart_audit(marts, audit.union_all(expected))
 
 
 # --- serving -----------------------------------------------------------------------------------

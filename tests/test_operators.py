@@ -76,7 +76,8 @@ def test_reconcile_with_tolerance(spark):
 
 def test_mart_audit_on_an_empty_mart_is_false(spark):
     empty = spark.range(0)
-    row = audit.mart_audit({"m": (empty, "id")}, {"m": (0, 0)}).first()
+    expected = spark.createDataFrame([("m", 0, 0)], "mart string, rows_expected bigint, key_sum_expected bigint")
+    row = audit.mart_audit({"m": (empty, "id")}, expected).first()
     assert row.ok is False and row.rows == 0
 
 

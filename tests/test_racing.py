@@ -185,14 +185,15 @@ def test_other_marts(marts):
     assert tracks == {"Alba": (2, 1954, 2008, 2), 'The "Boa", new': (1, 2008, 2008, 1), "Cima": (1, 2026, 2026, 0)}
 
 
-def test_audits_notice_wrong_numbers(marts):
-    right = {"driver_season_summary": (4, 6), "constructor_season_summary": (3, 6),
-             "pit_stop_evolution": (1, 4), "circuit_stats": (3, 4)}
+def test_audits_notice_wrong_numbers(spark, marts):
+    right = [("driver_season_summary", 4, 6), ("constructor_season_summary", 3, 6), ("pit_stop_evolution", 1, 4), ("circuit_stats", 3, 4)]
     columns = ("races_entered", "entries", "stops", "races_held")
-    watched = {n: (marts[n], c) for n, c in zip(right, columns, strict=True)}
-    audit.require(audit.mart_audit(watched, right), "ok", "marts")
-    wrong = {n: (rows, total + 1) for n, (rows, total) in right.items()}
-    assert {r.ok for r in audit.mart_audit(watched, wrong).collect()} == {False}
+    watched = {r[0]: (marts[r[0]], c) for r, c in zip(right, columns, strict=True)}
+    schema = "mart string, rows_expected bigint, key_sum_expected bigint"
+    audit.require(audit.mart_audit(watched, spark.createDataFrame(right, schema)), "ok", "marts")
+    wrong = [(n, rows, total + 1) for n, rows, total in right] + [("absent", 1, 1)]
+    lines = audit.mart_audit(watched, spark.createDataFrame(wrong, schema)).collect()
+    assert len(lines) == 5 and {r.ok for r in lines} == {False}
 
 
 def test_rebuild_is_identical(spark, raw, built):
