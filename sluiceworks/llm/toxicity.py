@@ -182,10 +182,16 @@ class Table:
 
     @staticmethod
     def of(rows: DataFrame) -> Table:
-        found = rows.select("gram", "ratio").toArrow()
-        keys = gram_hash(found.column("gram").to_pylist())
+        def hashed(batches):
+            for batch in batches:
+                keys = gram_hash(batch.column(0).to_pylist()).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), batch.column(1).cast(pa.float32())], names=["key", "ratio"])
+
+        found = rows.select("gram", "ratio").mapInArrow(hashed, "key long, ratio float").toArrow()
+        keys, values = (np.asarray(found.column(c).combine_chunks()) for c in ("key", "ratio"))
+        keys = keys.view(np.uint64)
         order = np.argsort(keys)
-        return Table(keys[order], np.asarray(found.column("ratio"), np.float32)[order])
+        return Table(keys[order], values[order])
 
     def evidence(self, texts: list[str]) -> np.ndarray:
         """Mean over the words of each text of what their log-likelihood differences exceed the margin by."""
