@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -119,10 +120,10 @@ def fit(docs: DataFrame, bits: int = BITS, train_docs: int = TRAIN_DOCS) -> Mode
     drawn = F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(1 << 20)) / F.lit(float(1 << 20))
     sample = labelled.join(F.broadcast(shares), "lang").filter(drawn < F.col("share")).select("lang", "text")
     counted = sample.mapInArrow(_counter(bits), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    found = counted.toPandas()
+    found = counted.toArrow()
     counts = np.full((len(languages), 1 << bits), ALPHA)
-    place = {lang: i for i, lang in enumerate(languages)}
-    np.add.at(counts, (found["lang"].map(place).to_numpy(int), found["bucket"].to_numpy(int)), found["n"].to_numpy(float))
+    place = pc.index_in(found.column("lang"), pa.array(languages, pa.string()))
+    np.add.at(counts, tuple(np.asarray(c.combine_chunks()) for c in (place, found.column("bucket"))), np.asarray(found.column("n")))
     prior = np.log(np.array([sizes[lang] for lang in languages], float) / sum(sizes.values()))
     return Model(languages, prior, np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32))
 
