@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 from sluiceworks.session import workspace
 
 # Text handed to numpy at once; temporaries are some thirty times as large.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -111,14 +111,11 @@ def class_of(shingles: np.ndarray) -> int | None:
 
 
 def tokens_of(shingles: np.ndarray) -> np.ndarray:
-    out = np.empty(TOKENS, np.uint64)
-    for start in range(0, TOKENS, 16):
-        part = slice(start, start + 16)
-        mixed = (shingles[:, None] ^ _XOR[part]) * _ODD[part]
-        out[part] = (mixed ^ (mixed >> np.uint64(29))).min(axis=0) if len(shingles) < 50_000 else np.min(
-            [(m ^ (m >> np.uint64(29))).min(axis=0) for m in np.array_split(mixed, len(shingles) // 25_000)], axis=0
-        )
-    return (fmix(out) >> np.uint64(32)).astype(np.uint32)
+    least = np.full(TOKENS, np.iinfo(np.uint64).max, np.uint64)
+    for start in range(0, len(shingles), 2048):  # so that long texts need no more memory
+        mixed = (shingles[start : start + 2048, None] ^ _XOR) * _ODD
+        np.minimum(least, (mixed ^ (mixed >> np.uint64(29))).min(axis=0), out=least)
+    return (fmix(least) >> np.uint64(32)).astype(np.uint32)
 
 
 def sketch(docs: DataFrame) -> DataFrame:

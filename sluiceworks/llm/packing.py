@@ -34,7 +34,7 @@ from sluiceworks.llm.common import chunks, schema_of, store
 CAPACITY = 2048
 END = 0  # closes every document
 VOCABULARY = "byte_bpe_50k.json"
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
 
 # ---------------------------------------------------------------- tokens
 
@@ -81,6 +81,10 @@ class Tokens:
         self.after_space = _Cache(self.encode, " ")
         self.plain = _Cache(self.encode, "")
 
+    def forget(self) -> None:
+        self.after_space.clear()
+        self.plain.clear()
+
     def ids(self, text: str) -> bytes:
         if _SPACES.search(text):
             return b"".join(map(self.plain.__getitem__, _BREAK.split(text)))
@@ -138,6 +142,7 @@ def tokenise(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None)
                     [part.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(ids, pa.binary())],
                     names=["doc_id", "piece", "start", "ids"],
                 )
+        tokens.forget()  # the process goes on to other tasks
 
     rows = docs.select("doc_id", "text")
     cut = rows.mapInArrow(run, schema_of(rows, "piece int, start long, ids binary", "doc_id"))
