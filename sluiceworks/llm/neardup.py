@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sluiceworks.llm.common import chunks, fmix, schema_of, spread_join, store
 from sluiceworks.llm.components import components
@@ -118,9 +119,9 @@ def tokens_of(shingles: np.ndarray) -> np.ndarray:
     return (fmix(least) >> np.uint64(32)).astype(np.uint32)
 
 
-def sketch(docs: DataFrame) -> DataFrame:
-    """Stored: doc_id, n_shingles, cls (NULL for the empty set), tokens."""
-    rows = docs.select("doc_id", "text")
+def sketch(docs: DataFrame, *more: str) -> DataFrame:
+    """Stored: doc_id, n_shingles, cls (NULL for the empty set), tokens, and the columns ``more`` of ``docs``."""
+    rows = docs.select("doc_id", "text", *more)
 
     def run(batches):
         for batch in batches:
@@ -132,11 +133,13 @@ def sketch(docs: DataFrame) -> DataFrame:
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([class_of(s) for s in sets], pa.int64()),
                         pa.array([tokens_of(s).tobytes() if len(s) else None for s in sets], pa.binary()),
+                        *part.columns[2:],
                     ],
-                    names=["doc_id", "n_shingles", "cls", "tokens"],
+                    names=["doc_id", "n_shingles", "cls", "tokens", *more],
                 )
 
-    return store(rows.mapInArrow(run, schema_of(rows, "n_shingles long, cls long, tokens binary", "doc_id")), "sketch")
+    schema = schema_of(rows, "n_shingles long, cls long, tokens binary", "doc_id")
+    return store(rows.mapInArrow(run, StructType([*schema.fields, *(docs.schema[c] for c in more)])), "sketch")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -447,10 +450,10 @@ def link_classes(docs: DataFrame, classes: DataFrame, threshold: Threshold) -> D
     return components(links)
 
 
-def cluster(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of every row."""
+def cluster(docs: DataFrame, percent: int = 85, *more: str) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept of every row, and its columns ``more``."""
     threshold = Threshold(percent)
-    rows = sketch(docs)
+    rows = sketch(docs, *more)
     classes = store(
         rows.filter(F.col("cls").isNotNull()).groupBy("cls")
         .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("tokens").alias("tokens")),
@@ -463,16 +466,20 @@ def cluster(docs: DataFrame, percent: int = 85) -> DataFrame:
     resolved = spread_join(linked, store(firsts, "firsts"), "root", "n", "cls").select("cls", "copies", "first")
     alone = rooted.filter(F.col("root").isNull()).select("cls", "copies", F.col("rep").alias("first"))
     named = store(resolved.unionByName(alone), "resolved")
-    out = spread_join(rows.select("doc_id", "n_shingles", "cls"), named, "cls", "copies", "doc_id", "left")
+    out = spread_join(rows.select("doc_id", "n_shingles", "cls", *more), named, "cls", "copies", "doc_id", "left")
     first = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("first"))
-    return out.select("doc_id", "n_shingles", first.alias("component_id"), F.col("doc_id").eqNullSafe(first).alias("kept"))
+    return out.select("doc_id", "n_shingles", first.alias("component_id"), F.col("doc_id").eqNullSafe(first).alias("kept"), *more)
 
 
 def keep_one(docs: DataFrame, percent: int = 80) -> DataFrame:
     """The documents without those that are near-duplicates of one with a smaller id.
 
-    Of repeated rows with the kept id all stay: they cannot be told apart by it.
+    Rows are told apart by id and text, so others that share the id of one that goes (NULL included) stay. Of
+    near-duplicates that all have the kept id every one stays.
     """
-    gone = store(cluster(docs, percent).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct(), "near-duplicates")
+    text = F.xxhash64("text")
+    found = cluster(docs.select("doc_id", "text", text.alias("_text")), percent, "_text")
+    gone = store(found.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone"), "_text").distinct(), "near-duplicates")
     hinted = F.broadcast(gone) if gone.count() <= 400_000 else gone.hint("shuffle_hash")
-    return docs.join(hinted, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti").select(*docs.columns)
+    same = F.col("doc_id").eqNullSafe(F.col("_gone")) & (text == F.col("_text"))
+    return docs.join(hinted, same, "left_anti").select(*docs.columns)

@@ -119,6 +119,14 @@ def test_keep_one(documents):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(r[0] for r in brute(rows_of(documents), 80) if r[3])
 
 
+def test_keep_one_with_null_and_repeated_ids(docs_of):
+    text = " ".join(f"w{i}" for i in range(200))
+    other, third = (" ".join(f"{c}{i}" for i in range(50)) for c in "xy")
+    docs = docs_of((1, text), (None, text + " end"), (None, other), (None, None), (3, third), (3, "start " + text), (4, text), (4, text), (4, ""))
+    kept = [(r["doc_id"], r["text"]) for r in neardup.keep_one(docs).collect()]
+    assert sorted(kept, key=repr) == sorted([(1, text), (None, other), (None, None), (3, third), (4, "")], key=repr)
+
+
 def test_recall_of_the_trees(spark):
     """Pairs at the threshold meet in some leaf."""
     draw = np.random.default_rng(4)
