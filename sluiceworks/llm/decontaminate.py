@@ -3,8 +3,10 @@ r"""Benchmark decontamination: BM25 with block-max bounds over an inverted index
 The test items are the collection, every training passage is a query. Impacts are BM25 weights divided by
 the score an item gives itself, so one threshold fits items of any length. A document is cut into segments as
 long as the longest item; a passage is two neighbouring segments, so whatever is copied lies whole in one of
-them. Items are kept in blocks with the greatest impact per term; as in block-max WAND, only the blocks
-whose summed maxima reach the threshold are opened and scored exactly, which loses nothing. What is
+them. Items are kept in blocks with the greatest impact per term, as sparse postings; as in block-max WAND, only
+the blocks whose summed maxima reach the threshold are opened and scored exactly, which loses nothing. Document
+frequencies, mean length and longest item are counted by Spark over all items; a large benchmark is dealt into
+several indexes, built in tasks, and neither scores nor passages depend on how many there are. What is
 retrieved is verified on the words in order: the runs of ``GRAM`` words of the question part of the item and
 of its answer part (the last fifth) that stand in the passage.
 
@@ -15,6 +17,7 @@ passage. An empty benchmark matches nothing. Other columns pass through ``clean`
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,7 +27,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluiceworks.llm.common import chunks, schema_of, texts_of
+from sluiceworks.llm.common import chunks, schema_of, store, texts_of
 from sluiceworks.llm.words import IS_BREAK, Words, windows
 
 K1, B = 1.2, 0.75
@@ -35,7 +38,18 @@ MIN_QUESTION, MIN_ANSWER = 0.5, 0.5
 BLOCK = 8
 # Characters of test items in one broadcast index; a larger benchmark is queried in several rounds.
 INDEX_CHARS = 8_000_000
-GROUP = 64  # blocks whose bounds are added up at a time
+CELLS = 1 << 20  # bounds (segments x blocks) and postings that are added up at a time, about
+
+
+@dataclass
+class Totals:
+    """Figures of all test items with words, whatever index they are in."""
+
+    items: int
+    mean: float
+    span: int  # words of the longest item
+    terms: np.ndarray | None = None  # sorted hashes, of one index's words at least; None: the items at hand are all
+    frequency: np.ndarray | None = None
 
 
 @dataclass
@@ -50,7 +64,9 @@ class Item:
 @dataclass
 class Index:
     terms: np.ndarray  # sorted hashes of the index's words
-    maxima: np.ndarray  # terms x blocks, float32
+    starts: np.ndarray  # postings of each term: starts[t] : starts[t + 1]
+    blocks: np.ndarray  # block of each posting
+    maxima: np.ndarray  # greatest impact of the term in that block
     items: list[Item]
     span: int  # words of the longest item
 
@@ -60,27 +76,40 @@ def _grams(words: np.ndarray) -> np.ndarray:
     return np.unique(windows(words, np.zeros(len(words), int), width)[0]) if width else words
 
 
-def build(ids: list, texts: list[str | None]) -> Index:
-    """The index of one block of test items."""
-    split = Words(pc.utf8_lower(texts_of(pa.array(texts, pa.string()))), IS_BREAK)
-    hashes = split.hashes()
+def _words(texts: pa.Array) -> tuple[Words, np.ndarray]:
+    split = Words(pc.utf8_lower(texts), IS_BREAK)
+    return split, split.hashes()
+
+
+def build(ids: list, texts: list[str | None], totals: Totals | None = None) -> Index:
+    """The index of some test items; ``totals`` (default: of these alone) are those of all."""
+    split, hashes = _words(texts_of(pa.array(texts, pa.string())))
     rows = [(ids[d], hashes[split.first[d] : split.first[d + 1]]) for d in range(len(ids)) if split.counts[d]]
     terms, frequency = np.unique(np.concatenate([np.unique(w) for _, w in rows] or [hashes[:0]]), return_counts=True)
-    idf = np.log1p((len(rows) - frequency + 0.5) / (frequency + 0.5))
-    mean = np.mean([len(w) for _, w in rows]) if rows else 1.0
+    if totals is None:
+        lengths = [len(w) for _, w in rows]
+        totals = Totals(len(rows), sum(lengths) / max(1, len(rows)), max(lengths, default=1))
+    elif totals.terms is not None:
+        frequency = totals.frequency[np.searchsorted(totals.terms, terms)]
+    idf = np.log1p((totals.items - frequency + 0.5) / (frequency + 0.5))
     items = []
     for item_id, words in rows:
         own, count = np.unique(words, return_counts=True)
         at = np.searchsorted(terms, own)
-        impact = idf[at] * count * (K1 + 1) / (count + K1 * (1 - B + B * len(words) / mean))
+        impact = idf[at] * count * (K1 + 1) / (count + K1 * (1 - B + B * len(words) / totals.mean))
         cut = len(words) - max(1, round(ANSWER_SHARE * len(words)))
         items.append(Item(item_id, at, impact / impact.sum(), _grams(words[:cut]), _grams(words[cut:])))
     # Items with many words in common get neighbouring places, which tightens the bounds of a block.
     items.sort(key=lambda i: (int(i.terms[np.argmin(idf[i.terms])]), str(i.item_id)))
-    maxima = np.zeros((len(terms), -(-len(items) // BLOCK)), np.float32)
-    for k, item in enumerate(items):
-        np.maximum.at(maxima, (item.terms, k // BLOCK), item.impacts)
-    return Index(terms, maxima, items, max((len(w) for _, w in rows), default=1))
+    term = np.concatenate([i.terms for i in items] or [np.zeros(0, np.int64)])
+    block = np.repeat(np.arange(len(items)) // BLOCK, [len(i.terms) for i in items])
+    impacts = np.concatenate([i.impacts for i in items] or [np.zeros(0)])
+    order = np.lexsort((block, term))
+    term, block, impacts = term[order], block[order], impacts[order]
+    new = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (block[1:] != block[:-1])][: len(term)])
+    maxima = np.maximum.reduceat(impacts, new) if len(new) else impacts
+    starts = np.searchsorted(term[new], np.arange(len(terms) + 1))
+    return Index(terms, starts, block[new], maxima, items, totals.span)
 
 
 def _share(of: np.ndarray, among: np.ndarray) -> float:
@@ -90,10 +119,9 @@ def _share(of: np.ndarray, among: np.ndarray) -> float:
 def search(index: Index, texts: pa.Array) -> list[list[dict]]:
     """For each text the verified items: item_id, score, overlaps, first and last word of the passage."""
     out: list[list[dict]] = [[] for _ in range(len(texts))]
-    split = Words(pc.utf8_lower(texts), IS_BREAK)
+    split, hashes = _words(texts)
     if not len(split.starts) or not index.items:
         return out
-    hashes = split.hashes()
     place = np.minimum(np.searchsorted(index.terms, hashes), len(index.terms) - 1)
     hit = np.flatnonzero(index.terms[place] == hashes)
     segments = -(-split.counts // index.span)
@@ -106,21 +134,32 @@ def search(index: Index, texts: pa.Array) -> list[list[dict]]:
     doc_of = np.repeat(np.arange(len(segments)), segments)
     joined = np.r_[doc_of[1:] == doc_of[:-1], False]  # whether the next segment belongs to the same text
     best: dict[tuple[int, int], dict] = {}
-    filled = np.flatnonzero(np.diff(cuts))
-    for start in range(0, index.maxima.shape[1], GROUP):
-        maxima = index.maxima[:, start : start + GROUP]
-        bounds = np.zeros((base[-1] + 1, maxima.shape[1]), np.float32)
-        if len(filled):
-            bounds[filled] = np.add.reduceat(maxima[term], cuts[filled], axis=0)
-        upper = bounds[:-1] + np.where(joined[:, None], bounds[1:], 0)
-        for at, block in zip(*np.nonzero(upper >= THRESHOLD - 1e-4), strict=True):
-            end = at + 1 + joined[at]
-            present = np.zeros(len(index.terms), bool)
-            present[term[cuts[at] : cuts[end]]] = True
+    present = np.zeros(len(index.terms), bool)
+    width_of = -(-len(index.items) // BLOCK)
+    postings = np.diff(index.starts)[term]
+    before = np.r_[0, np.cumsum(postings)]
+    start, total = 0, int(base[-1])
+    while start < total:
+        # Segments whose bounds, and those of the segment after them, are added up together.
+        room = max(1, CELLS // width_of)
+        end = max(start + 1, min(start + room, total, int(np.searchsorted(before[cuts], before[cuts[start]] + CELLS, "right")) - 1))
+        until = min(end + 1, total)
+        pair = np.arange(cuts[start], cuts[until])
+        owner = np.repeat(pair, postings[pair])
+        posting = np.arange(len(owner)) - np.repeat(before[pair] - before[cuts[start]], postings[pair]) + index.starts[term[owner]]
+        cell = (segment[owner] - start) * width_of + index.blocks[posting]
+        bounds = np.bincount(cell, index.maxima[posting], (end + 1 - start) * width_of).reshape(-1, width_of)
+        upper = bounds[:-1] + np.where(joined[start:end, None], bounds[1:], 0)
+        for row, block in zip(*np.nonzero(upper >= THRESHOLD - 1e-4), strict=True):
+            at = start + row
+            after = at + 1 + joined[at]
+            have = term[cuts[at] : cuts[after]]
+            present[:] = False
+            present[have] = True
             doc = doc_of[at]
             first = split.first[doc] + (at - base[doc]) * index.span
-            last = min(first + (end - at) * index.span, split.first[doc + 1])
-            for k in range((start + block) * BLOCK, min((start + block + 1) * BLOCK, len(index.items))):
+            last = min(first + (after - at) * index.span, split.first[doc + 1])
+            for k in range(block * BLOCK, min((block + 1) * BLOCK, len(index.items))):
                 item = index.items[k]
                 score = float(item.impacts[present[item.terms]].sum())
                 if score < THRESHOLD:
@@ -137,21 +176,68 @@ def search(index: Index, texts: pa.Array) -> list[list[dict]]:
                         "item_id": item.item_id, "score": score, "question_overlap": question, "answer_overlap": answer,
                         "first_word": int(first - split.first[doc]), "last_word": int(last - split.first[doc] - 1),
                     }
+        start = end
     for (doc, _), found in sorted(best.items()):
         out[doc].append(found)
     return out
 
 
+def _counted(items: DataFrame) -> DataFrame:
+    """``part, term, n`` of the items: in how many of a part's items each word stands. Term NULL: ``n`` words, one row an item."""
+
+    def run(batches):
+        for batch in batches:
+            part = batch.column(0).to_numpy()
+            split, hashes = _words(texts_of(batch.column(1)))
+            # Each word once an item, then counted within its part.
+            own = np.unique(np.stack([split.doc.astype(np.int64), hashes.view(np.int64)], 1), axis=0)
+            pairs, n = np.unique(np.stack([part[own[:, 0]], own[:, 1]], 1), axis=0, return_counts=True)
+            long = split.counts > 0
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.r_[pairs[:, 0], part[long]]),
+                    pa.array(np.r_[pairs[:, 1], np.zeros(long.sum(), np.int64)], mask=np.r_[np.zeros(len(n), bool), np.ones(long.sum(), bool)]),
+                    pa.array(np.r_[n, split.counts[long]]),
+                ],
+                names=["part", "term", "n"],
+            )
+
+    return items.select("part", "text").mapInArrow(run, "part long, term long, n long")
+
+
 def indexes(benchmark: DataFrame, chars: int = INDEX_CHARS) -> list[Broadcast]:
-    """Broadcast indexes of the test items, as many as keep each below ``chars`` characters."""
+    """Broadcast indexes of the test items, as many as keep each below ``chars`` characters.
+
+    The driver holds one index at a time.
+    """
     spark = benchmark.sparkSession
     items = benchmark.select("item_id", "text")
     rounds = 1 + (items.agg(F.sum(F.length("text"))).first()[0] or 0) // chars
+    dealt = items.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(rounds)).cast("long"))
+    counted = store(_counted(dealt), "item-words")
+    lengths = counted.filter("term IS NULL").agg(F.count("*").alias("n"), F.sum("n").alias("words"), F.max("n").alias("span")).first()
+    totals = Totals(lengths["n"], (lengths["words"] or 0) / max(1, lengths["n"]), lengths["span"] or 1)
+    if rounds == 1:  # the items at hand are all
+        rows = items.orderBy("item_id", "text").collect()
+        return [spark.sparkContext.broadcast(build([r["item_id"] for r in rows], [r["text"] for r in rows], totals))]
+    # The frequency of a word over all parts, for each part that has it.
+    each = counted.filter("term IS NOT NULL").groupBy("term", "part").agg(F.sum("n").alias("n"))
+    everywhere = each.groupBy("term").agg(F.sum("n").alias("frequency"))
+    known = each.select("term", "part").join(everywhere, "term")
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        rows = left.sort_by([("item_id", "ascending"), ("text", "ascending")])
+        terms, frequency = right["term"].to_numpy().view(np.uint64), right["frequency"].to_numpy()
+        order = np.argsort(terms)
+        own = Totals(totals.items, totals.mean, totals.span, terms[order], frequency[order])
+        index = build(rows["item_id"].to_pylist(), rows["text"].to_pylist(), own)
+        return pa.table({"part": left["part"][:1], "index": pa.array([pickle.dumps(index)], pa.binary())})
+
+    built = store(dealt.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(run, "part long, index binary"), "item-indexes")
     out = []
-    for k in range(rounds):
-        part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(rounds)) == k) if rounds > 1 else items
-        rows = part.orderBy("item_id", "text").collect()
-        out.append(spark.sparkContext.broadcast(build([r["item_id"] for r in rows], [r["text"] for r in rows])))
+    for r in built.select("part").orderBy("part").collect():
+        blob = built.filter(F.col("part") == r["part"]).first()["index"]
+        out.append(spark.sparkContext.broadcast(pickle.loads(blob)))
     return out
 
 

@@ -82,6 +82,17 @@ def test_rounds_of_a_large_benchmark(documents, benchmark_items):
     assert found(documents, benchmark_items, chars=1000) == found(documents, benchmark_items)
 
 
+def test_scores_do_not_depend_on_the_rounds(documents, benchmark_items):
+    """Same scores and passages from one index and from many, and one index like plain numpy."""
+    one, many = (sorted(map(tuple, d.matches(documents, benchmark_items, chars=c).collect())) for c in (d.INDEX_CHARS, 1000))
+    assert one and one == many
+    assert len(d.indexes(benchmark_items, 1000)) > 1
+    rows = benchmark_items.orderBy("item_id", "text").collect()
+    alone = d.build([r["item_id"] for r in rows], [r["text"] for r in rows])
+    given = d.indexes(benchmark_items)[0].value
+    assert alone.span == given.span and all(np.array_equal(a.impacts, b.impacts) for a, b in zip(alone.items, given.items, strict=True))
+
+
 def test_clean(documents, benchmark_items):
     hit = {a for a, _ in found(documents, benchmark_items)}
     more = documents.selectExpr("*", "1 AS score", "2 AS item_id")
