@@ -32,7 +32,7 @@ from sluiceworks.llm.common import chunks, schema_of
 TRAIN_PAGES = 5_000
 
 # Elements by what they do to the text.
-UNSEEN = frozenset("script style noscript template svg math iframe object canvas audio video head title select datalist textarea".split())
+UNSEEN = frozenset("script style noscript template svg annotation annotation-xml iframe object canvas audio video head title select datalist textarea".split())
 RAW = frozenset("script style textarea title noscript iframe template".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BREAKS = frozenset(
@@ -55,20 +55,28 @@ _CHROME_NAME = re.compile(
     r"recommend\w*|trending|popular|comments?|disqus|replies|reply|respond|widget|toolbar|pagination|pager|copyright|legal|search)(?:$|[\s_-])",
     re.I,
 )
+# A name with one of these in it tells of the page round it: no-sidebar, with-header.
+_ABOUT = re.compile(r"(?:^|[_-])(?:no|not|non|has|have|with|without|hide|hides|show|shows)(?=$|[_-])", re.I)
 _CONTENT_NAME = re.compile(r"(?:^|[\s_-])(?:article|content|main|post|entry|story|body|text)(?:$|[\s_-])", re.I)
 _TAG = re.compile(r"<(?:!--.*?(?:-->|$)|[!?][^>]*(?:>|$)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$))", re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|aria-hidden|hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _SPACE = re.compile(r"\s+")
 
 
+ARTICLE, MAIN = 2, 3
+# What speaks for boilerplate, by how much an article inside may take it back.
+FORM, NAMED, FIRM = -1, -2, -3
+
+
 @dataclass
 class Element:
     tag: str
     container: int  # the innermost container: this element or one round it; 0 for none
     around: int  # the container round that container
-    says: int  # with all elements round it, of its text: 1 content, -1 boilerplate, 0 nothing
+    says: int  # with all elements round it, of its text: 1 content, 0 nothing, less boilerplate (FORM, NAMED, FIRM)
     hidden: bool = False
     inner: str = ""  # tag of the innermost element that breaks text
+    main: bool = False  # an article or main, or inside one
 
 
 @dataclass
@@ -91,7 +99,7 @@ def _leaning(tag: str, attributes: str, inside_content: bool) -> tuple[int, bool
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or "").strip("\"'")
         if name in ("class", "id"):
-            names.append(value)
+            names += [n for n in value.split() if not _ABOUT.search(n)]
         elif name == "role":
             role = value.lower()
         elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
@@ -100,18 +108,36 @@ def _leaning(tag: str, attributes: str, inside_content: bool) -> tuple[int, bool
             hidden = True
     # An article has a header of its own: its headline.
     if tag in CHROME and not (tag == "header" and inside_content):
-        return -1, hidden
+        return FORM if tag == "form" else FIRM, hidden
     if role in ("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "form"):
-        return -1, hidden
+        return FORM if role == "form" else FIRM, hidden
     if any(_CHROME_NAME.search(n) for n in names) and tag not in ("html", "body"):
-        return -1, hidden
+        return NAMED, hidden
     if tag in CONTENT or role in ("main", "article"):
-        return 1, hidden
+        return MAIN if "main" in (tag, role) else ARTICLE, hidden
     if any(_CONTENT_NAME.search(n) for n in names) and tag in ("div", "section", "td"):
         return 1, hidden
     return 0, hidden
 
 
+def _together(leaning: int, around: Element) -> int:
+    """What an element says with those round it.
+
+    A form may hold the whole page, and a name may mislead: the first article or main inside takes a form's word
+    back, a main also a name's; a name and an article leave it to the cut. Other chrome stays chrome.
+    """
+    if leaning < 0:
+        return min(leaning, around.says)
+    if around.says >= 0:
+        return 1 if leaning else around.says
+    if not around.main:
+        if around.says == FORM and leaning or around.says == NAMED and leaning == MAIN:
+            return 1
+        if around.says == NAMED and leaning == ARTICLE:
+            return 0
+    return around.says
+
+
 def read_page(source: str) -> Page:
     """Elements and text blocks of a page."""
     page = Page([Element("", 0, 0, 0)])
@@ -124,7 +150,7 @@ def read_page(source: str) -> Page:
         if pieces:
             text = _SPACE.sub(" ", "".join(p for p, _ in pieces)).strip()
             inside = page.elements[stack[-1]]
-            if text and not inside.hidden:
+            if text:
                 linked = sum(len(_SPACE.sub("", p)) for p, linked in pieces if linked)
                 page.blocks.append(Block(stack[-1], text, linked, inside.inner))
             pieces.clear()
@@ -141,13 +167,14 @@ def read_page(source: str) -> Page:
         start = source.find("<", at)
         if start < 0:
             start = len(source)
-        if start > at:
+        if start > at and not page.elements[stack[-1]].hidden:
             pieces.append((references.unescape(source[at:start]), links > 0))
         if start == len(source):
             break
         m = _TAG.match(source, start)
         if not m:  # a lone sign is text
-            pieces.append(("<", links > 0))
+            if not page.elements[stack[-1]].hidden:
+                pieces.append(("<", links > 0))
             at = start + 1
             continue
         at = m.end()
@@ -182,8 +209,11 @@ def read_page(source: str) -> Page:
         leaning, hidden = _leaning(tag, m[3], parent.says > 0)
         number = len(page.elements)
         scope = (number, parent.container) if tag in SCOPES else (parent.container, parent.around)
-        says = -1 if -1 in (leaning, parent.says) else leaning or parent.says
-        page.elements.append(Element(tag, *scope, says, hidden or parent.hidden or tag in UNSEEN, tag if tag in BREAKS else parent.inner))
+        says = _together(leaning, parent)
+        inner = tag if tag in BREAKS else parent.inner
+        page.elements.append(
+            Element(tag, *scope, says, hidden or parent.hidden or tag in UNSEEN, inner, parent.main or leaning in (ARTICLE, MAIN))
+        )
         stack.append(number)
         opened[tag] += 1
         links += tag == "a"
@@ -253,7 +283,7 @@ def fit(pages: DataFrame, train_pages: int = TRAIN_PAGES) -> np.ndarray:
 
 # ---------------------------------------------------------------- the cut
 
-TOLD = 12.0  # cost of going against what the elements say
+TOLD = 6.0  # cost of going against what the elements say; less than the classifier may say
 NEXT = 0.7  # smoothness between neighbouring blocks
 AROUND = 1.0  # between a block or container and the container round it
 CAP = 8.0  # most that the classifier may say
@@ -340,7 +370,7 @@ def label(page: Page, ratios: np.ndarray) -> list[bool]:
     content, chrome = [0.0] * n, [0.0] * n
     for i, (block, binned) in enumerate(zip(blocks, features(page), strict=True)):
         say = sum(ratios[f, b] for f, b in enumerate(binned))
-        say = max(-CAP, min(CAP, say)) + TOLD * elements[block.element].says
+        say = max(-CAP, min(CAP, say)) + TOLD * max(-1, elements[block.element].says)
         content[i], chrome[i] = max(say, 0.0), max(-say, 0.0)
     edges = [(i, used[e], AROUND) for i, e in enumerate(home) if e]
     edges += [(i - 1, i, NEXT if home[i] == home[i - 1] else NEXT / 4) for i in range(1, len(blocks))]

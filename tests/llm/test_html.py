@@ -60,6 +60,30 @@ def test_small_pages(source, text):
     assert html.extract_text(source, NOTHING) == text
 
 
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        ("<form><nav>n</nav><article><p>x</p><form>f</form></article><footer>f</footer></form>", "x"),
+        ("<form><div id=content><p>x</p></div></form>", "x"),
+        ("<div class=no-sidebar><article>x</article></div>", "x"),
+        ("<div class='page has-sidebar with-header'><div class=content>x</div><div class=left-sidebar>s</div></div>", "x"),
+        ("<div class=page-header-fixed><nav>n</nav><main>x</main></div>", "x"),
+        ("<article><p>x</p><div class=comments><article>c</article></div></article><aside><article>t</article></aside>", "x"),
+        ("<article><p>r <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math>.</p></article>", "r x=2."),
+        ("<article><p>a <span hidden>h</span><object>o</object> b</p></article>", "a b"),
+    ],
+)
+def test_articles_inside_what_looks_like_chrome(source, text):
+    assert html.extract_text(source, NOTHING) == text
+
+
+def test_the_classifier_may_overrule_elements():
+    ratios = NOTHING.copy()
+    ratios[2, 2:] = 9.0  # two sentences and more
+    page = "<form><p>One. Two. Three.</p><p>One. Two.</p></form><div class=sidebar><article><p>One. Two. Three.</p></article></div><nav>menu</nav>"
+    assert html.extract_text(page, ratios) == "One. Two. Three.\nOne. Two.\nOne. Two. Three."
+
+
 def test_untold_blocks_follow_the_classifier_and_their_neighbours(spark):
     rows = [
         (i, "u", "<nav><ul>" + "<li><a href=x>menu</a></li>" * 6 + "</ul></nav><article>"
