@@ -22,18 +22,26 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language.accepted(docs)
 
 
-def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines on many sites stay in their first document only; ``n_chars`` follows the text."""
-    cleaned = lines.dedup(docs)
+def _measured(cleaned: DataFrame, docs: DataFrame) -> DataFrame:
     if "n_chars" in docs.columns:
         length = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
         cleaned = cleaned.withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType))
     return cleaned.select(*docs.columns)
 
 
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines on many sites stay in their first document only; ``n_chars`` follows the text."""
+    return _measured(lines.dedup(docs), docs)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents connected by a similarity of 0.8 or more on five-word shingles, the one with the smallest id stays."""
-    return neardup.keep_one(docs, 80)
+    """Of documents connected by a similarity of 0.8 or more on five-word shingles, the one with the smallest id stays.
+
+    Then long lines that several of those left have stay in their first document only; earlier, near-duplicates
+    would lose what they are told by.
+    """
+    left = store(neardup.keep_one(docs, 80), "pipeline-left")
+    return _measured(lines.without_passages(left), docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

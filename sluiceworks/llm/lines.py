@@ -4,7 +4,8 @@ A line is boilerplate if it stands on ``min_sites`` or more distinct sites (``so
 sketch of sites per line hash is built beside the text and merged by aggregation; lines whose estimate is
 near the threshold are counted exactly, the others are as far from it as the sketch's error allows. A
 boilerplate line stays in the first document (smallest id) that has it, so a text that is mirrored on many
-sites keeps one full copy, and goes from all others.
+sites keeps one full copy, and goes from all others. ``without_passages`` does the same with every line of
+``PASSAGE_WORDS`` words or more that stands in two documents, whatever their sites.
 
 Lines are split at ``\n`` and compared without white space at their ends, by a 64-bit hash. Defined results:
 blank lines are never boilerplate; NULL and empty texts stay as they are; a text that loses all lines
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from sluiceworks.llm.common import spread_join, store
 
 MIN_SITES = 5
+PASSAGE_WORDS = 50
 LG_K = 10
 BLANK = " \t\n\x0b\x0c\r"
 # Drop lists of up to this many line hashes are broadcast (8 bytes each); longer ones are shuffled.
@@ -30,11 +32,15 @@ def _hash(line: Column) -> Column:
     return F.xxhash64(F.btrim(line, F.lit(BLANK)))
 
 
-def occurrences(docs: DataFrame) -> DataFrame:
-    """``doc, site, key`` of every line that is not blank."""
+def occurrences(docs: DataFrame, min_words: int = 1) -> DataFrame:
+    """``doc, site, key`` of every line of ``min_words`` words or more."""
     site = F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit(""))
     lines = docs.select(F.col("doc_id").alias("doc"), site.alias("site"), F.explode(F.split("text", "\n")).alias("line"))
-    return lines.filter(F.btrim("line", F.lit(BLANK)) != "").select("doc", "site", _hash(F.col("line")).alias("key"))
+    there = F.btrim("line", F.lit(BLANK)) != ""
+    if min_words > 1:  # as many words have as many characters and the white space between them
+        words = F.size(F.split(F.btrim("line", F.lit(BLANK)), f"[{BLANK}]+"))
+        there = F.when(F.length("line") >= 2 * min_words - 1, words >= min_words).otherwise(False)
+    return lines.filter(there).select("doc", "site", _hash(F.col("line")).alias("key"))
 
 
 def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K) -> DataFrame:
@@ -60,6 +66,15 @@ def boilerplate(lines: DataFrame, min_sites: int = MIN_SITES, lg_k: int = LG_K)
     return store(clear.unionByName(exact), "boilerplate")
 
 
+def repeated(lines: DataFrame) -> DataFrame:
+    """``key, first, n``: lines in two documents or more, counted exactly; stored."""
+    counted = lines.groupBy("key").agg(
+        F.min("doc").alias("first"), F.max("doc").alias("last"), F.count("doc").alias("named"), F.count("*").alias("n")
+    )
+    several = (F.col("first") != F.col("last")) | ((F.col("named") > 0) & (F.col("named") < F.col("n")))
+    return store(counted.filter(several).select("key", "first", "n"), "repeated")
+
+
 def drops(lines: DataFrame, removed: DataFrame) -> DataFrame:
     """``_doc, _drop``: hashes of the lines each document loses, stored.
 
@@ -80,7 +95,16 @@ def drops(lines: DataFrame, removed: DataFrame) -> DataFrame:
 def dedup(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     """``docs`` with boilerplate lines taken out of ``text``, and ``n_removed``, the lines taken."""
     lines = occurrences(docs)
-    lost = drops(lines, boilerplate(lines, min_sites))
+    return _without(docs, drops(lines, boilerplate(lines, min_sites)))
+
+
+def without_passages(docs: DataFrame, min_words: int = PASSAGE_WORDS) -> DataFrame:
+    """``docs`` with long lines left in their first document only, and ``n_removed``, the lines taken."""
+    lines = occurrences(docs, min_words)
+    return _without(docs, drops(lines, repeated(lines)))
+
+
+def _without(docs: DataFrame, lost: DataFrame) -> DataFrame:
     keys = lost.agg(F.sum(F.aggregate("_drop", F.lit(0), lambda n, b: n + F.size(b)))).first()[0] or 0
     hinted = F.broadcast(lost) if keys <= SMALL_DROPS else lost.hint("shuffle_hash")
     joined = docs.join(hinted, docs["doc_id"].eqNullSafe(lost["_doc"]), "left")

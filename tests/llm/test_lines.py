@@ -59,3 +59,22 @@ def test_shuffled_joins_give_the_same(documents, monkeypatch):
 def test_no_python_in_the_plan(documents):
     plan = lines.dedup(documents.selectExpr("*", "1 AS n_removed", "2 AS key"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_passages(documents, docs_of):
+    """Lines of 50 words or more go from all but the first document, on whatever sites."""
+    long, short = (" ".join(f"w{i}" for i in range(n)) for n in (50, 49))
+    docs = docs_of(
+        (1, f"{short}\n{long}\na", "", "s"), (2, f"{short}\n \t{long} \nb", "", "s"), (None, long, "", "t"),
+        (3, f"x {long}\nc\nx {long}", "", "s"), (3, None, "", "s"),
+    )
+    got = {(r["doc_id"], r["text"], r["n_removed"]) for r in lines.without_passages(docs).collect()}
+    assert got == {
+        (1, f"{short}\n{long}\na", 0), (2, f"{short}\nb", 1), (None, "", 1), (3, f"x {long}\nc\nx {long}", 0), (3, None, 0)
+    }
+    left, seen = lines.without_passages(documents).collect(), {}
+    for r in left:
+        for line in (r["text"] or "").split("\n"):
+            if len(line.split()) >= 50:
+                assert seen.setdefault(line.strip(BLANK), r["doc_id"]) == r["doc_id"]
+    assert sum(r["n_removed"] for r in left) > 0
