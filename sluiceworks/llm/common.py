@@ -35,13 +35,14 @@ def schema_of(df: DataFrame, more: str, *names: str) -> StructType:
     return StructType([*own, *StructType.fromDDL(more).fields])
 
 
-def fold(key: str = "doc_id") -> Column:
-    """crc32 of the key as text, modulo 3; 1 is held out. A NULL key counts as empty text."""
-    return F.pmod(F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")), F.lit(3))
+def fold(key: str = "doc_id", folds: int = 3) -> Column:
+    """crc32 of the key as text, modulo ``folds``. A NULL key counts as empty text."""
+    return F.pmod(F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")), F.lit(folds))
 
 
-def held_out(key: str = "doc_id") -> Column:
-    return fold(key) == 1
+def held_out(key: str = "doc_id", folds: int = 3, out: int = 1) -> Column:
+    """Whether the key's fold is the one that nothing is learned from."""
+    return fold(key, folds) == out
 
 
 def spread_join(rows: DataFrame, keyed: DataFrame, key: str, weight: str, by: str, how: str = "inner",
