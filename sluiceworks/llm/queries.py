@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluiceworks.llm import chat, decontaminate, html, language, lines, neardup, packing, quality, secrets, toxicity
+from sluiceworks.llm import (
+    chat,
+    compression,
+    decontaminate,
+    html,
+    language,
+    lines,
+    neardup,
+    packing,
+    quality,
+    ranked,
+    secrets,
+    spelling,
+    toxicity,
+)
 from sluiceworks.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +66,18 @@ def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return html.extract(table(spark, folder, "pages"))
 
 
+def op11_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return compression.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op12_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked.rank(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -65,6 +91,9 @@ QUERIES: dict[str, Query] = {
         op8_minhash_near_dedup,
         op9_line_dedup,
         op10_html_extraction,
+        op11_quality_classifier,
+        op12_spelling_variants,
+        op13_ranked_search,
     )
 }
-ORACLES: dict[str, str] = {"op9_line_dedup": lines.SQL}
+ORACLES: dict[str, str] = {"op9_line_dedup": lines.SQL, "op13_ranked_search": ranked.SQL}
