@@ -173,9 +173,24 @@ DESCRIBER = Describer(
         "first_year": "First year with an order.",
         "last_year": "Latest year with an order.",
         "urgent_customers": "Different customers with an urgent order.",
+        "brand": "Brand.",
+        "lines": "Trusted order lines.",
+        "returned": "Lines that were returned.",
+        "revenue": "Sum of prices before discount and tax.",
+        "least_quantity": "Smallest quantity of a line.",
+        "day": "Day.",
+        "event_type": "Kind of event.",
+        "events": "Trusted events.",
+        "avg_value": "Average of the recorded values.",
+        "median_value": "Exact median of the recorded values.",
+        "least_value": "Smallest recorded value.",
+        "_source_file": "File the row came from.",
+        "_ingested_at": "When the run that landed it began.",
+        "_original": "The row as landed, every value as text.",
+        "_reasons": "Why the row is not trusted, joined by commas.",
     },
     overrides={("customer", "c_nationkey"): "Nation the customer lives in (nation.n_nationkey)."},
-    patterns=((r"_mktsegment$", "Market segment as recorded."),),
+    patterns=((r"_mktsegment$", "Market segment as recorded."), (r"^l_linenumber$", "Line within the order (at least 1).")),
 )
 
 

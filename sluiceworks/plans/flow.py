@@ -21,6 +21,8 @@ from sluiceworks.operators.references import Parent
 from sluiceworks.session import workspace
 from sluiceworks.sources.landing import landed_files, manifest_frame, presence, read_csv, require_present
 from sluiceworks.sources.raw import MALFORMED, PROVENANCE, read_parquet
+from sluiceworks.sources.store import dataset_folder, publish
+from sluiceworks.sources.versions import Version
 
 VERDICT = "verdict"
 ORIGINAL = "_original"
@@ -59,7 +61,10 @@ def store(staged: Staged, path: str) -> Stored:
     stored twice. The counts are taken by the write itself. Every call writes a version of its own below
     ``path``, so a build can be repeated in the same place and a failed one leaves the last as it was.
     """
-    path = f"{path}/version-{uuid.uuid4().hex}"
+    return _write_split(staged, f"{path}/version-{uuid.uuid4().hex}")
+
+
+def _write_split(staged: Staged, path: str) -> Stored:
     clean = staged.is_clean
     names = staged.contract.names
     seen = Observation()
@@ -80,6 +85,34 @@ def store(staged: Staged, path: str) -> Stored:
     return Stored(staged.contract, table, seen.get["rows"], seen.get["clean"])
 
 
+QUARANTINE = "quarantine_{}"
+
+
+def publish_split(staged: Staged, schema: str, keep: int = 1) -> Stored:
+    """As ``store``, but committed under names: the trusted rows as ``<dataset>``, the others as ``quarantine_<dataset>``.
+
+    Both tables are the two parts of one version, so they change together; the pass count of the gate is kept
+    with it.
+    """
+    contract, spark = staged.contract, staged.rows.sparkSession
+    version = Version(spark, dataset_folder(spark, schema, contract.dataset))
+    try:
+        stored = _write_split(staged, version.path)
+    except Exception:
+        version.discard()
+        raise
+    for part in ("trusted", "quarantine"):
+        version.make_folder(f"{VERDICT}={part}")
+    kept_aside = [f for f in stored.table.schema if f.name in (ORIGINAL, *PROVENANCE, MALFORMED, REASONS)]
+    tables = {
+        contract.dataset: (f"{VERDICT}=trusted", contract.trusted_schema),
+        QUARANTINE.format(contract.dataset): (f"{VERDICT}=quarantine", T.StructType(kept_aside)),
+    }
+    gated = {"expectation": "quality_gate", "action": "drop", "passed": stored.clean, "failed": stored.rows - stored.clean}
+    publish(spark, schema, version, tables, [gated], keep)
+    return stored
+
+
 def land(
     spark: SparkSession,
     landing: str,

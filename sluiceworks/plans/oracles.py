@@ -129,6 +129,33 @@ _LINE_TEXT = """CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_linenumber AS
   CAST(l_quantity AS VARCHAR) AS l_quantity,
   CAST(l_extendedprice AS VARCHAR) AS l_extendedprice"""
 
+# Table, columns in the contract, SQL for its trusted and its quarantined rows.
+_GATED = [
+    ("orders", 5, "FROM trusted_orders", "FROM o_staged WHERE _reasons <> ''"),
+    ("lineitem", 11, "FROM trusted_lines", "FROM l_staged WHERE _reasons <> ''"),
+    *(
+        (t, n, f"FROM {t}", f"FROM {t} WHERE false")
+        for t, n in zip(_TABLES, (2, 3, 5, 4, 6, 6, 5, 3, 4, 3, 2, 2), strict=True)
+    ),
+]
+_MARTS = (
+    ("customer_year_summary", 10, "customer_year"), ("segment_year_summary", 6, "segment_year"), ("brand_year_summary", 6, "brand_year"),
+    ("nation_history", 6, "nation_history"), ("event_value_evolution", 6, "event_evolution"),
+)
+# Dirty orders and all marts, as one list of common table expressions.
+_ALL = f"WITH {_LINES}{_CUSTOMER_YEAR[len(_STAGED):]}{_SEGMENT_YEAR}{_NATION_HISTORY}{_BRAND_YEAR},{_EVOLUTION} "
+
+
+def _each_table(line):
+    """``line(table, columns, rows)`` for every table of the graph: columns, and the FROM that counts its rows."""
+    for t, n, trusted, rejected in _GATED:
+        yield line(f"raw_{t}", n + 2, {"orders": "FROM dirty"}.get(t, f"FROM {t}"))
+        yield line(t, n, trusted)
+        yield line(f"quarantine_{t}", 4, rejected)
+    for t, n, mart in _MARTS:
+        yield line(t, n, f"FROM {mart}")
+
+
 _ORDER_LINE = """concat_ws(',', o_orderkey, o_custkey, CAST(floor(o_totalprice) AS BIGINT),
   strftime(o_orderdate, '%Y-%m-%d'), o_orderpriority)"""
 
@@ -165,6 +192,36 @@ UNION ALL SELECT 'deliveries', count(*), 0, 0, 0, count(*) = 0, true, true FROM
     "snapshot_overwrite": """
 SELECT 'customer' AS table_name, count(*) AS rows,
   CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS balance FROM customer""",
+    "atomic_overwrite": """
+WITH c AS (SELECT count(*) AS n, CAST(sum(c_custkey) AS BIGINT) AS s FROM customer),
+p AS (SELECT count(*) AS n, CAST(sum(c_custkey) AS BIGINT) AS s FROM customer WHERE c_acctbal >= 0),
+e AS (SELECT count(*) AS n, CAST(sum(c_custkey) AS BIGINT) AS s FROM customer WHERE c_custkey % 2 = 0)
+SELECT '1 written' AS step, n AS rows, s AS keys, CAST(5 AS INTEGER) AS columns, CAST(1 AS BIGINT) AS versions FROM c
+UNION ALL SELECT '2 died on a row', n, s, 5, 1 FROM c
+UNION ALL SELECT '3 missed an expectation', n, s, 5, 1 FROM c
+UNION ALL SELECT '4 replaced, another overtaken', n, s, 5, 1 FROM p
+UNION ALL SELECT '5 died before the catalog', n, s, 1, 2 FROM c
+UNION ALL SELECT '6 replaced by a part of itself', n, s, 1, 1 FROM e""",
+    "dataset_graph": _ALL
+    + " UNION ALL ".join(_each_table(lambda t, n, rows: f"SELECT '{t}' AS table_name, count(*) AS rows {rows}")),
+    "expectation_rates": _ALL
+    + " UNION ALL ".join(
+        f"SELECT '{t}' AS dataset, 'quality_gate' AS expectation, 'drop' AS action, (SELECT count(*) {trusted}) AS passed, "
+        f"(SELECT count(*) {rejected}) AS failed"
+        for t, _, trusted, rejected in _GATED
+    )
+    + "".join(
+        f" UNION ALL SELECT '{t}', '{name}', '{action}', count(CASE WHEN {met} THEN 1 END), count(CASE WHEN NOT ({met}) THEN 1 END) FROM {mart}"
+        for t, mart, name, met, action in (
+            ("customer_year_summary", "customer_year", "has_orders", "orders > 0", "fail"),
+            ("customer_year_summary", "customer_year", "spends", "spend > 0", "warn"),
+            ("segment_year_summary", "segment_year", "has_orders", "orders > 0", "fail"),
+            ("brand_year_summary", "brand_year", "has_brand", "brand IS NOT NULL", "drop"),
+        )
+    ),
+    "incremental_gate": f"""WITH {_STAGED}
+SELECT r_key AS "orderKey", r_cust AS "custKey", r_total AS "totalPrice", r_date AS "orderDate",
+  order_priority AS "orderPriority", _reasons FROM o_staged""",
     "split_store": f"""WITH {_STAGED}
 SELECT CASE WHEN _reasons = '' THEN 'trusted' ELSE 'quarantine' END AS verdict, count(*) AS rows,
   count(CASE WHEN _reasons = '' THEN order_key END) AS typed_keys,
@@ -368,12 +425,11 @@ FROM customer_year GROUP BY customer ORDER BY urgent DESC, customer LIMIT 10""",
     "busiest_nations": f"""WITH {_STAGED}{_NATION_HISTORY}
 SELECT nation, orders, first_year, last_year, urgent_customers FROM nation_history
 ORDER BY orders DESC, nation LIMIT 15""",
-    "column_coverage": f"""WITH {_CUSTOMER_YEAR}{_NATION_HISTORY}
-SELECT 'region' AS table_name, CAST(2 AS INTEGER) AS columns, CAST(2 AS INTEGER) AS documented,
-  CAST(0 AS INTEGER) AS undocumented, true AS has_comment, CAST(2 AS INTEGER) AS tags, count(*) AS rows FROM region
-UNION ALL SELECT 'nation', 3, 3, 0, true, 2, count(*) FROM nation
-UNION ALL SELECT 'customer', 5, 5, 0, true, 2, count(*) FROM customer
-UNION ALL SELECT 'orders', 5, 5, 0, true, 2, count(*) FROM trusted_orders
-UNION ALL SELECT 'customer_year_summary', 10, 10, 0, true, 2, count(*) FROM customer_year
-UNION ALL SELECT 'nation_history', 6, 6, 0, true, 2, count(*) FROM nation_history""",
+    "column_coverage": _ALL
+    + " UNION ALL ".join(
+        _each_table(
+            lambda t, n, rows: f"SELECT '{t}' AS table_name, CAST({n} AS INTEGER) AS columns, CAST({n} AS INTEGER) AS documented, "
+            f"CAST(0 AS INTEGER) AS undocumented, true AS has_comment, CAST(2 AS INTEGER) AS tags, count(*) AS rows {rows}"
+        )
+    ),
 }

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import partial
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager, suppress
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,15 +15,18 @@ from sluiceworks.functions import full_name, money, seconds
 from sluiceworks.operators import audit, describe
 from sluiceworks.operators.checks import typed
 from sluiceworks.operators.duplicates import key_verdicts, repeated_keys, suspect_rows
+from sluiceworks.operators.expectations import Expectation, ExpectationFailedError
 from sluiceworks.operators.gate import REASONS, Staged, gate, reason_counts
 from sluiceworks.operators.joins import join_audit
 from sluiceworks.operators.ranking import history_of_leaders, series_minimum, top
 from sluiceworks.plans import commerce, serving
 from sluiceworks.plans.flow import Stored, build, land
+from sluiceworks.plans.warehouse import warehouse
 from sluiceworks.session import workspace
 from sluiceworks.sources import (
     at_rest,
     create_schema,
+    drop_schema,
     landed_files,
     manifest_frame,
     overwrite,
@@ -31,7 +35,11 @@ from sluiceworks.sources import (
     read_table,
     tables_in,
 )
+from sluiceworks.sources.files import Files
 from sluiceworks.sources.raw import INGESTED_AT, MALFORMED, ROW_ID, SOURCE_FILE
+from sluiceworks.sources.store import dataset_folder, publish, write_metrics
+from sluiceworks.sources.versions import OvertakenError, Version
+from sluiceworks.streaming.incremental import IncrementalFlow
 
 C = commerce.CONTRACTS
 STAR = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
@@ -138,18 +146,123 @@ def landing_presence(spark, folder):
     return presence(found, manifest_frame(spark, expected)).join(rows, "dataset", "left").fillna(0, ["rows"])
 
 
-def snapshot_overwrite(spark, folder):
-    """A table is replaced twice, the second time with another schema, and read by name."""
+@contextmanager
+def scratch_schema(spark: SparkSession) -> Iterator[str]:
+    """A schema of its own below the shared folder; nothing of it stays in the catalog."""
     schema = "sluice_" + workspace(spark, "s").rsplit("-", 1)[-1]
     create_schema(spark, schema, workspace(spark, schema))
+    try:
+        yield schema
+    finally:
+        drop_schema(spark, schema)
+
+
+def snapshot_overwrite(spark, folder):
+    """A table is replaced twice, the second time with another schema, and read by name."""
+    with scratch_schema(spark) as schema:
+        customers = commerce.table(spark, folder, "customer")
+        overwrite(customers, f"{schema}.customer")
+        overwrite(customers.select("c_custkey", money("c_acctbal").alias("c_balance")), f"{schema}.customer")
+        found = tables_in(spark, schema)
+        rows = read_table(spark, f"{schema}.customer").groupBy().agg(
+            F.count("*").alias("rows"), F.sum("c_balance").cast("double").alias("balance")
+        )
+        return at_rest(rows.select(F.lit(found.first().table_name).alias("table_name"), "rows", "balance"), "snapshot")
+
+
+def atomic_overwrite(spark, folder):
+    """What a table holds after each of six writes: two that replace it, two that die, two that must not be committed.
+
+    One write dies on a row, one between its commit and the catalog; one misses an expectation, one is overtaken.
+    """
     customers = commerce.table(spark, folder, "customer")
-    overwrite(customers, f"{schema}.customer")
-    overwrite(customers.select("c_custkey", money("c_acctbal").alias("c_balance")), f"{schema}.customer")
-    found = tables_in(spark, schema)
-    rows = read_table(spark, f"{schema}.customer").groupBy().agg(
-        F.count("*").alias("rows"), F.sum("c_balance").cast("double").alias("balance")
-    )
-    return rows.select(F.lit(found.first().table_name).alias("table_name"), "rows", "balance")
+    steps = []
+    with scratch_schema(spark) as schema:
+        name = f"{schema}.customer"
+
+        def state(step: str) -> None:
+            rows = read_table(spark, name)
+            versions = [n for n in Files(spark, dataset_folder(spark, schema, "customer")).names() if n.startswith("version-")]
+            steps.append(
+                at_rest(
+                    rows.agg(F.count("*").alias("rows"), F.sum("c_custkey").alias("keys")).select(
+                        F.lit(step).alias("step"), "rows", "keys", F.lit(len(rows.columns)).alias("columns"),
+                        F.lit(len(versions)).cast("bigint").alias("versions"),
+                    ),
+                    "step",
+                )
+            )
+
+        overwrite(customers, name)
+        state("1 written")
+        dying = F.when(F.col("c_custkey") % 149 == 7, F.raise_error(F.lit("lost"))).otherwise(F.col("c_custkey"))
+        with suppress(PySparkException):
+            overwrite(customers.withColumn("c_custkey", dying.cast("bigint")), name)
+        state("2 died on a row")
+        with suppress(ExpectationFailedError):
+            overwrite(customers, name, [Expectation("in_credit", "c_acctbal >= 0", "fail")])
+        state("3 missed an expectation")
+        late = Version(spark, dataset_folder(spark, schema, "customer"))
+        customers.limit(1).write.parquet(late.path)
+        overwrite(customers, name, [Expectation("in_credit", "c_acctbal >= 0", "drop")])
+        with suppress(OvertakenError):
+            publish(spark, schema, late, {"customer": ("", customers.schema)})
+        state("4 replaced, another overtaken")
+        unseen = Version(spark, dataset_folder(spark, schema, "customer"))
+        narrow = customers.select("c_custkey")
+        narrow.write.parquet(unseen.path)
+        unseen.commit({"tables": {"customer": {"folder": "", "columns": narrow.schema.jsonValue()}}, "metrics": []})
+        state("5 died before the catalog")
+        overwrite(read_table(spark, name).where("c_custkey % 2 = 0"), name)
+        state("6 replaced by a part of itself")
+    return audit.union_all(steps)
+
+
+def dataset_graph(spark, folder):
+    """Every named dataset of one run (raw, trusted, quarantine, five marts), listed and read back by name."""
+    with scratch_schema(spark) as schema:
+        warehouse(folder).run(spark, schema)
+        names = [r.table_name for r in tables_in(spark, schema).collect()]
+        rows = [read_table(spark, f"{schema}.{n}").select(F.lit(n).alias("table_name")) for n in names]
+        counted = audit.union_all(rows).groupBy("table_name").agg(F.count("*").alias("rows"))
+        listed = tables_in(spark, schema).select("table_name")
+        return at_rest(listed.join(counted, "table_name", "left").fillna(0, ["rows"]), "graph")
+
+
+def expectation_rates(spark, folder):
+    """What the writes of all datasets counted: rows that meet each expectation and rows that miss it."""
+    with scratch_schema(spark) as schema:
+        warehouse(folder).run(spark, schema)
+        # The raw tables expect nothing.
+        return at_rest(write_metrics(spark, schema), "rates")
+
+
+def incremental_gate(spark, folder):
+    """Orders as decided after three landings: first without their copies, and while half of the customers are missing.
+
+    Late copies turn trusted orders into conflicts, late customers turn orphans into trusted orders. The landings of
+    the orders come as a stream.
+    """
+    names = ("region", "nation", "customer", "orders")
+    raw = {n: commerce.raw_table(spark, folder, n) for n in names}
+    early = F.pmod(F.xxhash64("c_custkey"), F.lit(2)) == 0
+    customers = [raw["customer"].where(early), None, raw["customer"].where(~early)]
+    flow = IncrementalFlow(spark, {n: C[n] for n in names}, workspace(spark, "incremental"))
+    landing = workspace(spark, "landing")
+    columns = raw["orders"].drop(ROW_ID).columns
+    flow.land({n: raw[n] for n in ("region", "nation")})
+    for landed in range(3):
+        if customers[landed] is not None:
+            flow.land({"customer": customers[landed]})
+        raw["orders"].where(F.col(f"{ROW_ID}.copy") == landed).select(*columns).write.mode("append").parquet(landing)
+        flow.stream({"orders": spark.readStream.schema(raw["orders"].select(*columns).schema).parquet(landing)})
+    orders = flow.gates["orders"]
+    text = lambda c: F.col(c).cast("string")
+    trusted = orders.trusted.select(
+        text("order_key").alias("orderKey"), text("cust_key").alias("custKey"), text("total_price").alias("totalPrice"),
+        text("order_date").alias("orderDate"), F.col("order_priority").alias("orderPriority"), F.lit("").alias(REASONS),
+    )
+    return trusted.unionByName(orders.rejected.select(*trusted.columns))
 
 
 def split_store(spark, folder):
@@ -594,26 +707,16 @@ def conflict_evidence(spark, folder):
 
 
 def column_coverage(spark, folder):
-    """Trusted tables and marts stored with comments and tags; what the catalog then knows of them."""
-    b = stored(spark, folder, "orders")
-    t = {n: b[n].trusted for n in b}
-    tables = {n: t[n] for n in ("region", "nation", "customer", "orders")} | {
-        "customer_year_summary": commerce.customer_year_summary(t["orders"], t["customer"]),
-        "nation_history": commerce.nation_history(t["orders"], t["customer"], t["nation"]),
-    }
-    schema = "sluice_" + workspace(spark, "s").rsplit("-", 1)[-1]
-    create_schema(spark, schema, workspace(spark, schema))
-    describe.comment_schema(spark, schema, "Trusted tables and marts.", {"layer": "serving"})
-    counted = []
-    for name, rows in tables.items():
-        kept = overwrite(rows, f"{schema}.{name}")
-        about = commerce.DESCRIBER.table(name) or "Mart."
-        layer = "silver" if name in C else "gold"
-        describe.comment_table(spark, f"{schema}.{name}", about, {"layer": layer, "path": "commerce"})
-        describe.comment_columns(spark, f"{schema}.{name}", partial(commerce.DESCRIBER.column, name))
-        counted.append(kept.select(F.lit(name).alias("table_name")))
-    rows = audit.union_all(counted).groupBy("table_name").agg(F.count("*").alias("rows"))
-    return describe.coverage(spark, schema).join(rows, "table_name", "left")
+    """All layers stored with comments and tags, twice over; what the catalog then knows of every table."""
+    with scratch_schema(spark) as schema:
+        graph = warehouse(folder)
+        graph.run(spark, schema)
+        for _ in range(2):
+            graph.document(spark, schema, commerce.DESCRIBER, "Commerce tables in all layers.")
+        rows = [read_table(spark, f"{schema}.{n}").select(F.lit(n).alias("table_name")) for n in graph.tables()]
+        counted = audit.union_all(rows).groupBy("table_name").agg(F.count("*").alias("rows"))
+        known = describe.coverage(spark, schema).join(counted, "table_name", "left").fillna(0, ["rows"])
+        return at_rest(known, "coverage")
 
 
 # --- functions ---------------------------------------------------------------------------------
@@ -674,7 +777,8 @@ def spend_again(spark, folder):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        raw_provenance, csv_scan, malformed_lines, malformed_accounting, manifest_verdict, landing_presence, snapshot_overwrite, split_store,
+        raw_provenance, csv_scan, malformed_lines, malformed_accounting, manifest_verdict, landing_presence, snapshot_overwrite,
+        atomic_overwrite, dataset_graph, expectation_rates, incremental_gate, split_store,
         schema_profile, preview_orders, conform_names, gate_clean_orders, gate_rejected_orders,
         gate_lineitem_conflicts, duplicate_verdicts, gate_cascade_lineitem, reason_breakdown,
         row_accounting, expectation_metrics, expectation_gate, key_uniqueness, future_rows, scheduled_verdict,

@@ -3,6 +3,7 @@ from sluiceworks.sources.raw import as_text, read_parquet, stamped, with_row_id
 from sluiceworks.sources.store import (
     at_rest,
     create_schema,
+    drop_schema,
     overwrite,
     read_table,
     tables_in,
@@ -12,6 +13,7 @@ __all__ = [
     "as_text",
     "at_rest",
     "create_schema",
+    "drop_schema",
     "landed_files",
     "manifest_frame",
     "overwrite",
