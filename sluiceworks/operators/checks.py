@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from sluiceworks.contract import Column, Contract
 from sluiceworks.functions import NULL_MARKER
-from sluiceworks.sources.raw import MALFORMED, PROVENANCE, ROW_ID
+from sluiceworks.sources.raw import MALFORMED, PROVENANCE, ROW_ID, native
 
 FOUND = "_found"
 
 
 def original(source: str) -> str:
-    """Where the unmarked original of a source column is kept."""
+    """Where the unmarked original of a source column is kept: its text, or the value the text is printed from."""
     return f"_raw_{source}"
 
 
@@ -24,11 +25,24 @@ def typed(raw: DataFrame, contract: Contract) -> DataFrame:
     struct of them would make every scan read all of them.
     """
     kept = [c for c in (*PROVENANCE, MALFORMED, ROW_ID) if c in raw.columns]
-    originals = [f"{unmarked(c)} AS `{original(c.source)}`" for c in contract.columns]
+    originals = [f"{read_from(raw, c)} AS `{original(c.source)}`" for c in contract.columns]
     values = [f"{value_of(c, f'`{original(c.source)}`')} AS `{c.name}`" for c in contract.columns]
     return raw.selectExpr(*originals, *kept).selectExpr("*", *values)
 
 
+def read_from(raw: DataFrame, column: Column) -> str:
+    """The value a raw text was printed from if its cast is the same as that of the text, else the unmarked text."""
+    if native(column.source) in raw.columns:
+        have = raw.schema[native(column.source)].dataType
+        if have == column.type or (type(have), type(column.type)) in _SAME_AS_TEXT:
+            return f"`{native(column.source)}`"
+    return unmarked(column)
+
+
+# Casts that give what casting the printed value gives, beside those to the same type.
+_SAME_AS_TEXT = {(T.IntegerType, T.LongType), (T.TimestampNTZType, T.DateType), (T.TimestampType, T.DateType)}
+
+
 def unmarked(column: Column) -> str:
     return f"nullif(`{column.source}`, r'{NULL_MARKER}')"
 
@@ -43,7 +57,7 @@ def value_of(column: Column, text: str) -> str:
 def with_key_values(raw: DataFrame, contract: Contract, prefix: str) -> DataFrame:
     """The raw rows with only the key columns typed, under prefixed names."""
     keys = [c for c in contract.columns if c.name in contract.key]
-    return raw.selectExpr("*", *[f"{value_of(c, unmarked(c))} AS `{prefix}{c.name}`" for c in keys])
+    return raw.selectExpr("*", *[f"{value_of(c, read_from(raw, c))} AS `{prefix}{c.name}`" for c in keys])
 
 
 def row_findings(contract: Contract) -> list[str]:

@@ -21,11 +21,35 @@ def repeated_keys(raw: DataFrame, contract: Contract, limits: Limits = LIMITS) -
     return settle(counted.where("_copies > 1"), list(contract.key), "_copies", limits)
 
 
-def key_verdicts(suspects: DataFrame, contract: Contract) -> DataFrame:
+def key_verdicts(suspects: DataFrame, contract: Contract, limits: Limits = LIMITS) -> DataFrame:
     """Per repeated key: are all copies the same values, and which row is the one to keep.
 
-    The smallest and the greatest copy are equal only if all are; that needs two rows of state per
-    key, however many copies there are. The row with the fewest reasons is kept, then the first.
+    The smallest and the greatest hash of the values tell most conflicts, with three numbers of state per key. Only
+    keys whose copies have one hash are looked at again, value by value.
+    """
+    key = list(contract.key)
+    prints = suspects.select(*key, F.xxhash64(*contract.names).alias("_print")).groupBy(*key).agg(
+        F.count("*").alias("_copies"), F.min("_print").alias("_first"), F.max("_print").alias("_last")
+    )
+    sizes = settle(prints.select(*key, "_copies", (F.col("_first") == F.col("_last")).alias("_equal")), key, "_copies", limits)
+    equal = sizes.frame.where("_equal")
+    keeper = suspects.schema[ROW_ID].dataType
+    told = sizes.frame.where("NOT _equal").select(
+        *key, "_copies", F.lit(False).alias("_alike"), F.lit(None).cast(keeper).alias("_keeper")
+    )
+    if equal.isEmpty():
+        return told
+    # A part of the keys measured above, so their size bounds it.
+    again = attach(suspects.drop("_copies"), equal.select(*key, "_copies"), sizes)
+    again = again.where(F.col("_copies").isNotNull()).drop("_copies")
+    return told.unionByName(exact_verdicts(again, contract))
+
+
+def exact_verdicts(suspects: DataFrame, contract: Contract) -> DataFrame:
+    """The same, value by value: the smallest and the greatest copy are equal only if all are.
+
+    That needs two rows of state per key, however many copies there are. The row with the fewest reasons is kept, then
+    the first.
     """
     values = F.struct(*contract.names)
     reasons = F.when(F.col(FOUND) == "", 0).otherwise(F.size(F.split(FOUND, ",")))
@@ -65,7 +89,7 @@ def with_duplicate_findings(
     """
     if repeated.rows == 0:
         return rows, []
-    verdicts = key_verdicts(suspect_rows(raw, contract, repeated), contract)
+    verdicts = key_verdicts(suspect_rows(raw, contract, repeated), contract, repeated.limits)
     several = F.col("_copies") > 1
     # A verdict names the row to keep by file and place.
     return attach(rows, verdicts, repeated, KEEPER_BYTES), [

@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from sluiceworks.contract import Contract
 from sluiceworks.operators.checks import FOUND, original, typed, with_row_findings
-from sluiceworks.operators.duplicates import repeated_keys, with_duplicate_findings
+from sluiceworks.operators.census import census
+from sluiceworks.operators.duplicates import with_duplicate_findings
 from sluiceworks.operators.keyed import LIMITS, Findings, Limits
-from sluiceworks.operators.references import Parent, with_reference_findings
+from sluiceworks.operators.references import Parent, large_references, with_reference_findings
 from sluiceworks.sources.raw import MALFORMED, PROVENANCE, ROW_ID
 
 REASONS = "_reasons"
@@ -33,8 +34,8 @@ class Staged:
 
     @property
     def originals(self):
-        """The original columns under their source names."""
-        return [F.col(f"`{original(c.source)}`").alias(c.source) for c in self.contract.columns]
+        """The original columns under their source names, as text."""
+        return [F.col(f"`{original(c.source)}`").cast("string").alias(c.source) for c in self.contract.columns]
 
     @property
     def trusted(self) -> DataFrame:
@@ -73,8 +74,12 @@ def gate(
     if ROW_ID not in raw.columns:
         raise ValueError(f"{contract.dataset}: raw rows need {ROW_ID}; see sources.with_row_id")
     base = with_row_findings(typed(raw, contract), contract)
-    rows, orphans = with_reference_findings(base, contract, dict(parents or {}), limits)
-    repeated = repeated or repeated_keys(raw, contract, limits)
+    large = large_references(contract, dict(parents or {}), limits)
+    if repeated is None:
+        repeated, used = census(raw, contract, large, limits)
+    else:
+        _, used = census(raw, contract, large, limits, keys=False)
+    rows, orphans = with_reference_findings(base, contract, dict(parents or {}), used, limits)
     rows, copies = with_duplicate_findings(rows, contract, raw, repeated)
     reasons = F.col(FOUND)
     if orphans or copies:

@@ -24,9 +24,12 @@ def exact_median(
     value: str,
     task_values: int = TASK_VALUES,
     buckets: int = BUCKETS,
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """``groups…, median`` from value counts: exact, interpolated between the two middle values.
 
+    ``known`` are the ``group_sizes`` if they are stored already.
+
     A group with more distinct values than one task should hold is first narrowed: a histogram
     shows which of its values can be in the middle, and all others are moved to the edge of that
     range, which leaves the middle where it was. Infinities and NaN (the greatest value) take part by
@@ -35,16 +38,9 @@ def exact_median(
     present = counts.where(F.col(value).isNotNull()).select(*groups, value, "copies")
     before = None
     while True:
-        wide = (
-            present.groupBy(*groups)
-            .agg(
-                F.count("*").alias("_values"),
-                F.min(F.when(_finite(value), F.col(value))).alias("_low"),
-                F.max(F.when(_finite(value), F.col(value))).alias("_high"),
-                F.sum("copies").alias("_n"),
-            )
-            .where(F.col("_values") > task_values)
-        )
+        measured = known if known is not None else present.groupBy(*groups).agg(*group_sizes(value))
+        known = None
+        wide = measured.where(F.col("_values") > task_values).select(*groups, "_values", "_low", "_high", "_n")
         sizes = settle(wide, groups, "_values")
         if sizes.rows == 0:
             break
@@ -55,6 +51,17 @@ def exact_median(
     return present.groupBy(*groups).agg(F.percentile(value, F.lit(0.5), F.col("copies")).alias("median"))
 
 
+def group_sizes(value: str) -> list[Column]:
+    """Distinct values, finite range and rows of a group of value counts; NULL does not count."""
+    filled = F.col(value).isNotNull()
+    return [
+        F.count_if(filled).alias("_values"),
+        F.min(F.when(_finite(value), F.col(value))).alias("_low"),
+        F.max(F.when(_finite(value), F.col(value))).alias("_high"),
+        F.sum(F.when(filled, F.col("copies")).otherwise(0)).alias("_n"),
+    ]
+
+
 def _finite(value: str) -> Column:
     """Whether a value is neither infinite nor NaN (which is greater than infinity)."""
     return F.abs(F.col(value).cast("double")) < float("inf")

@@ -52,12 +52,9 @@ def _by_parent_values(rows: DataFrame, ref: Reference, parent: Parent) -> DataFr
     )
 
 
-def _by_used_values(
-    rows: DataFrame, base: DataFrame, ref: Reference, parent: Parent, limits: Limits
-) -> DataFrame:
-    """The values in use are counted first, on ``base``, the rows before any reference was looked at (a hot value shrinks to one row per task), compared with
-    the parent key by key, and only the orphans are carried back to the rows."""
-    used = base.groupBy(ref.column).agg(F.count("*").alias("_uses"))
+def _by_used_values(rows: DataFrame, used: DataFrame, ref: Reference, parent: Parent, limits: Limits) -> DataFrame:
+    """The values in use, counted before (a hot value has shrunk to one row), are compared with the parent key by key,
+    and only the orphans are carried back to the rows."""
     known = parent.values(ref.parent_column).select(
         F.col(ref.parent_column).alias("_known"), F.lit(True).alias("_exists")
     )
@@ -73,16 +70,24 @@ def _by_used_values(
     return marked.withColumn(_flag(ref.column), F.coalesce(_flag(ref.column), F.lit(False)))
 
 
+def large_references(contract: Contract, parents: dict[str, Parent], limits: Limits = LIMITS) -> list[str]:
+    """Columns whose parent is too large to be broadcast."""
+    return [r.column for r in contract.references if not parents[r.parent].fits_broadcast(r.parent_column, limits)]
+
+
 def with_reference_findings(
-    rows: DataFrame, contract: Contract, parents: dict[str, Parent], limits: Limits = LIMITS
+    rows: DataFrame, contract: Contract, parents: dict[str, Parent], used: dict[str, DataFrame], limits: Limits = LIMITS
 ) -> tuple[DataFrame, list]:
-    """Adds one flag per reference and returns the matching ``orphan_`` expressions, in order."""
-    found, base = [], rows
+    """Adds one flag per reference and returns the matching ``orphan_`` expressions, in order.
+
+    ``used`` has the counted values (``_uses``) of the columns with a large parent.
+    """
+    found = []
     for ref in contract.references:
         parent = parents[ref.parent]
-        if parent.fits_broadcast(ref.parent_column, limits):
-            rows = _by_parent_values(rows, ref, parent)
+        if ref.column in used:
+            rows = _by_used_values(rows, used[ref.column], ref, parent, limits)
         else:
-            rows = _by_used_values(rows, base, ref, parent, limits)
+            rows = _by_parent_values(rows, ref, parent)
         found.append(F.when(F.col(_flag(ref.column)), f"orphan_{ref.column}"))
     return rows, found

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluiceworks.contract import Contract, Reference
-from sluiceworks.functions import NULL_MARKER, count_where, decimal_sum, money
+from sluiceworks.functions import NULL_MARKER, count_where, decimal_sum, exact_sum, money
 from sluiceworks.operators.describe import Describer
 from sluiceworks.operators.joins import lookup
-from sluiceworks.operators.medians import exact_median, value_counts
+from sluiceworks.operators.medians import exact_median, group_sizes, value_counts
 from sluiceworks.sources import at_rest
 from sluiceworks.sources.raw import ROW_ID, as_text, read_parquet, stamped
 
@@ -198,14 +198,19 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def raw_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def raw_table(spark: SparkSession, folder: str, name: str, keep_native: bool = False) -> DataFrame:
     """A stored table in raw form: the contract's columns as strings, provenance, row id."""
     if name == "orders":
         return dirty_orders(spark, folder)
     wanted = [c.source for c in CONTRACTS[name].columns]
     scan = read_parquet(spark, f"{folder}/{name}.parquet")
-    rows = as_text(scan, wanted)
-    return stamped(rows, f"{name}.parquet", RUN_TS)
+    rows = as_text(scan, wanted, keep_native)
+    return stamped(rows, _file_name(), RUN_TS)
+
+
+def _file_name() -> Column:
+    """The name of the file a row was read from, by its row id."""
+    return F.element_at(F.split(F.col(f"{ROW_ID}.file"), "/"), -1)
 
 
 def dirty_orders(spark: SparkSession, folder: str) -> DataFrame:
@@ -235,7 +240,7 @@ def dirty_orders(spark: SparkSession, folder: str) -> DataFrame:
         "orderKey", "custKey", "totalPrice", "orderDate", priority.alias("orderPriority"),
         row_id.alias(ROW_ID),
     )
-    return stamped(rows, "orders.parquet", RUN_TS)
+    return stamped(rows, _file_name(), RUN_TS)
 
 
 def camel_orders(spark: SparkSession, folder: str) -> DataFrame:
@@ -248,7 +253,7 @@ def camel_orders(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_orderpriority").alias("orderPriority"),
         ROW_ID,
     )
-    return stamped(rows, "orders.parquet", RUN_TS)
+    return stamped(rows, _file_name(), RUN_TS)
 
 
 # --- marts -----------------------------------------------------------------------------------
@@ -299,8 +304,8 @@ def brand_year_summary(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     per_part = lineitem.groupBy(F.year("l_shipdate").alias("year"), "l_partkey").agg(
         F.count("*").alias("lines"),
         count_where(F.col("l_returnflag") == "R").alias("returned"),
-        F.sum(money("l_extendedprice")).alias("revenue"),
-        F.min(money("l_quantity")).alias("least_quantity"),
+        F.sum(F.col("l_extendedprice").cast("decimal(28,10)")).alias("revenue"),
+        F.min("l_quantity").alias("least_quantity"),
     )
     brands = part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("brand"))
     return (
@@ -310,7 +315,7 @@ def brand_year_summary(lineitem: DataFrame, part: DataFrame) -> DataFrame:
             F.sum("lines").alias("lines"),
             F.sum("returned").alias("returned"),
             F.round(F.sum("revenue"), 1).cast("double").alias("revenue"),
-            F.min("least_quantity").cast("double").alias("least_quantity"),
+            F.min("least_quantity").alias("least_quantity"),
         )
     )
 
@@ -321,20 +326,23 @@ def events_with_gaps(events: DataFrame) -> DataFrame:
 
 
 def event_value_evolution(events: DataFrame) -> DataFrame:
-    """Per day and type: all events, and average, exact median and minimum of the recorded values."""
+    """Per day and type: all events, and average, exact median and minimum of the recorded values.
+
+    Values are counted as the doubles they are. NaN is the greatest value; an average with it is NaN, one with
+    infinities infinite, or NaN if both are there.
+    """
     groups = ["day", "event_type"]
-    exact = F.col("value").cast("decimal(28,10)")
-    rows = events.select(F.to_date("ts").alias("day"), "event_type", exact.alias("value"))
+    rows = events.select(F.to_date("ts").alias("day"), "event_type", F.col("value").cast("double").alias("value"))
     counts = at_rest(value_counts(rows, groups, "value"), "event-values")
-    recorded = F.when(F.col("value").isNotNull(), F.col("copies"))
+    recorded = F.sum(F.when(F.col("value").isNotNull(), F.col("copies")))
     basics = counts.groupBy(*groups).agg(
         F.sum("copies").alias("events"),
-        F.round(
-            F.sum(F.col("value") * F.col("copies").cast("decimal(10,0)")).cast("double") / F.sum(recorded), 3
-        ).alias("avg_value"),
-        F.min("value").cast("double").alias("least_value"),
+        F.round(exact_sum(F.col("value"), F.col("copies")) / recorded, 3).alias("avg_value"),
+        F.min("value").alias("least_value"),
+        *group_sizes("value"),
     )
-    medians = exact_median(counts, groups, "value").select(
+    basics = at_rest(basics, "event-groups")
+    medians = exact_median(counts, groups, "value", known=basics).select(
         *groups, F.round("median", 3).alias("median_value")
     )
     return basics.join(medians, groups, "left").select(
@@ -386,7 +394,7 @@ def segment_year_summary(orders: DataFrame, customer: DataFrame) -> DataFrame:
     per_key = orders.groupBy(F.year("order_date").alias("year"), "cust_key").agg(
         F.count("*").alias("orders"),
         count_where(F.col("order_priority") == "1-URGENT").alias("urgent"),
-        F.sum(money("total_price")).alias("spend"),
+        F.sum(F.col("total_price").cast("decimal(28,10)")).alias("spend"),
         F.min("total_price").alias("smallest"),
     )
     segments = customer.select(F.col("c_custkey").alias("cust_key"), F.col("c_mktsegment").alias("segment"))

@@ -140,6 +140,11 @@ def land(
         return dict(pool.map(inheritable_thread_target(spark)(copy), contracts, chunksize=1))
 
 
+def _may_be_large(raw: DataFrame, limits: Limits) -> bool:
+    """Whether the trusted part of ``raw`` may have too many rows to be broadcast; reads no column."""
+    return raw.select(F.lit(1)).limit(limits.broadcast_rows + 1).count() > limits.broadcast_rows
+
+
 def build(
     spark: SparkSession,
     raw: Mapping[str, DataFrame],
@@ -159,16 +164,17 @@ def build(
     def look(name: str):
         return name, repeated_keys(raw[name], contracts[name], limits)
 
+    # Without large parents, keys can be looked at before the parents are there.
+    alone = [n for n, c in contracts.items() if not any(_may_be_large(raw[r.parent], limits) for r in c.references)]
     def one(name: str) -> tuple[str, Stored]:
         contract = contracts[name]
         parents = {r.parent: done[r.parent].as_parent() for r in contract.references}
-        staged = gate(raw[name], contract, parents, limits, repeated[name])
+        staged = gate(raw[name], contract, parents, limits, repeated.get(name))
         return name, store(staged, f"{folder}/{name}")
 
     waves = build_order(contracts)
     with ThreadPool(parallel) as pool:
-        # Repeated keys do not depend on parents: they are looked for everywhere at once.
-        repeated = dict(pool.map(inheritable_thread_target(spark)(look), contracts, chunksize=1))
+        repeated = dict(pool.map(inheritable_thread_target(spark)(look), alone, chunksize=1))
         for wave in waves:
             done.update(pool.map(inheritable_thread_target(spark)(one), wave, chunksize=1))
     return done

@@ -298,9 +298,46 @@ UNION ALL SELECT 'lineitem-part', count(*), count(*), 0, 0, true FROM trusted_li
 UNION ALL SELECT 'raw lineitem-orders', count(*), count(t.order_key), count(*) - count(t.order_key), 0,
   count(*) = count(t.order_key)
 FROM lineitem LEFT JOIN trusted_orders AS t ON l_orderkey = t.order_key""",
-    "reproducible_build": f"""WITH {_STAGED}
-SELECT 'trusted' AS dataset, count(*) AS rows, count(*) AS rows_again, true AS identical FROM trusted_orders
-UNION ALL SELECT 'quarantine', count(*), count(*), true FROM o_staged WHERE _reasons <> ''""",
+    "reproducible_build": _ALL
+    + " UNION ALL ".join(
+        f"SELECT '{layer} {t}' AS dataset, count(*) AS rows, count(*) AS rows_again, true AS identical, CAST(0 AS BIGINT) AS buckets_apart {rows}"
+        for t, _, trusted, rejected in _GATED
+        for layer, rows in (("trusted", trusted), ("quarantine", rejected))
+    )
+    + "".join(f" UNION ALL SELECT 'mart {mart}', count(*), count(*), true, 0 FROM {mart}" for _, _, mart in _MARTS),
+    "located_change": f"""WITH {_LINES},
+b AS (SELECT min(l_orderkey) AS a, max(l_orderkey) AS z FROM trusted_lines)
+SELECT l_orderkey, l_linenumber, l_tax, CAST(1 AS BIGINT) AS copies, CAST(0 AS BIGINT) AS copies_again
+FROM trusted_lines, b WHERE l_orderkey = a OR l_orderkey = z
+UNION ALL SELECT l_orderkey, l_linenumber, l_tax + 1, 0, 1 FROM trusted_lines, b WHERE l_orderkey = z
+UNION ALL SELECT l_orderkey, l_linenumber, l_tax, 1, 2 FROM trusted_lines, b WHERE l_orderkey = z - 1""",
+    "running_totals": """
+WITH l AS (SELECT l_orderkey, sum(CAST(l_extendedprice AS DECIMAL(28,10))) AS s FROM lineitem GROUP BY 1),
+j AS (
+  SELECT coalesce(o_orderkey, l_orderkey) AS order_key, o_custkey AS cust_key, o_orderdate,
+    coalesce(CAST(o_totalprice AS DECIMAL(28,10)), 0) AS p, coalesce(s, 0) AS s
+  FROM l FULL JOIN orders ON l_orderkey = o_orderkey),
+r AS (
+  SELECT order_key, cust_key, sum(p) OVER w AS p, sum(s) OVER w AS s FROM j
+  WINDOW w AS (PARTITION BY cust_key ORDER BY o_orderdate, order_key ROWS UNBOUNDED PRECEDING))
+SELECT order_key, cust_key, CAST(round(p, 2) AS DOUBLE) AS reported, CAST(round(s, 2) AS DOUBLE) AS summed,
+  abs(p - s) < 0.005 AS agrees FROM r""",
+    "event_extremes": """
+WITH e AS (
+  SELECT CAST(ts AS DATE) AS day, event_type,
+    CASE WHEN event_id % 307 = 0 THEN 'nan'::DOUBLE WHEN event_id % 211 = 0 THEN 'inf'::DOUBLE
+         WHEN event_id % 401 = 0 THEN '-inf'::DOUBLE WHEN event_id % 101 = 0 THEN 1e19 ELSE value END AS v FROM events),
+g AS (
+  SELECT day, event_type, count(*) AS events, count(v) AS n, count(CASE WHEN isnan(v) THEN 1 END) AS nans,
+    count(CASE WHEN v = 'inf'::DOUBLE THEN 1 END) AS above, count(CASE WHEN v = '-inf'::DOUBLE THEN 1 END) AS below,
+    coalesce(CAST(sum(CASE WHEN abs(v) < 1e15 THEN CAST(v AS DECIMAL(18,2)) END) AS DOUBLE), 0)
+      + coalesce(sum(CASE WHEN abs(v) >= 1e15 AND isfinite(v) THEN v END), 0) AS s, median(v) AS m, min(v) AS least_value
+  FROM e GROUP BY 1, 2)
+SELECT day, event_type, events,
+  CASE WHEN nans > 0 OR (above > 0 AND below > 0) THEN 'nan'::DOUBLE WHEN above > 0 THEN 'inf'::DOUBLE
+       WHEN below > 0 THEN '-inf'::DOUBLE WHEN abs(s / n) > 1e12 THEN s / n
+       ELSE CAST(round(CAST(CAST(s / n AS VARCHAR) AS DECIMAL(38,20)), 3) AS DOUBLE) END AS avg_value,
+  round(m, 3) AS median_value, least_value FROM g""",
     "reported_vs_summed": """
 SELECT coalesce(o_orderkey, l_orderkey) AS order_key, CAST(r AS DOUBLE) AS reported,
   CAST(s AS DOUBLE) AS summed, coalesce(r = s, false) AS agrees
@@ -322,17 +359,29 @@ JOIN region ON n_regionkey = r_regionkey""",
   FROM trusted_lines JOIN trusted_orders ON l_orderkey = order_key)
 SELECT CAST(y AS INTEGER) AS year, count(*) AS lines, CAST(sum(days) AS BIGINT) AS days_to_ship, min(days) AS fewest_days,
   max(days) AS most_days FROM d GROUP BY 1""",
-    "mart_reconciliation": f"""WITH {_STAGED},
+    "mart_reconciliation": f"""WITH {_LINES}, {_EVOLUTION},
 t AS (
   SELECT CAST(count(*) AS DOUBLE) AS n, CAST(sum(total_price) AS DOUBLE) AS s,
-    CAST(count(CASE WHEN order_priority = '1-URGENT' THEN 1 END) AS DOUBLE) AS u FROM trusted_orders)
+    CAST(count(CASE WHEN order_priority = '1-URGENT' THEN 1 END) AS DOUBLE) AS u FROM trusted_orders),
+i AS (
+  SELECT CAST(count(*) AS DOUBLE) AS n, CAST(count(CASE WHEN l_returnflag = 'R' THEN 1 END) AS DOUBLE) AS r,
+    CAST(sum(CAST(l_extendedprice AS DECIMAL(28,10))) AS DOUBLE) AS s FROM trusted_lines),
+{_BRAND_YEAR.strip().lstrip(',')},
+b AS (SELECT CAST(sum(CAST(revenue AS DECIMAL(28,1))) AS DOUBLE) AS s FROM brand_year),
+e AS (SELECT CAST(count(*) AS DOUBLE) AS n, CAST(min(v) AS DOUBLE) AS least FROM gaps)
 SELECT 'orders by customer' AS check_name, n AS expected, CAST(0 AS DOUBLE) AS tolerance, n AS actual,
   true AS ok FROM t
 UNION ALL SELECT 'orders by nation', n, 0, n, true FROM t
 UNION ALL SELECT 'orders by segment', n, 0, n, true FROM t
 UNION ALL SELECT 'urgent by customer', u, 0, u, true FROM t
+UNION ALL SELECT 'urgent by segment', u, 0, u, true FROM t
 UNION ALL SELECT 'spend by customer', s, 0.5, s, true FROM t
-UNION ALL SELECT 'spend by segment', s, 0.5, s, true FROM t""",
+UNION ALL SELECT 'spend by segment', s, 0.5, s, true FROM t
+UNION ALL SELECT 'lines by brand', n, 0, n, true FROM i
+UNION ALL SELECT 'returned by brand', r, 0, r, true FROM i
+UNION ALL SELECT 'revenue by brand', i.s, 20, b.s, abs(i.s - b.s) <= 20 FROM i, b
+UNION ALL SELECT 'events by day', n, 0, n, true FROM e
+UNION ALL SELECT 'least value by day', least, 0, least, true FROM e""",
     "triangle_check": f"""WITH {_STAGED},
 t AS (
   SELECT CAST(count(*) AS DOUBLE) AS n, CAST(sum(total_price) AS DOUBLE) AS s,

@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SOURCE_FILE = "_source_file"
 INGESTED_AT = "_ingested_at"
@@ -34,11 +35,21 @@ def with_row_id(scan: DataFrame) -> DataFrame:
     )
 
 
-def as_text(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """The table as a landing file would hold it: strings only, nothing rounded. ``_row_id`` is kept."""
+def native(column: str) -> str:
+    """Where a raw table keeps the value that a text was made of, if it has one."""
+    return f"_native_{column}"
+
+
+def as_text(df: DataFrame, columns: list[str] | None = None, keep_native: bool = False) -> DataFrame:
+    """The table as a landing file would hold it: strings only, nothing rounded. ``_row_id`` is kept.
+
+    With ``keep_native`` the values themselves go along for the gate, which then need not parse what was printed a
+    moment ago; texts are made only where they are asked for.
+    """
     wanted = columns or [c for c in df.columns if c != ROW_ID]
     texts = [F.col(f"`{c}`").cast("string").alias(c) for c in wanted]
-    return df.select(*texts, *[c for c in (ROW_ID,) if c in df.columns])
+    kept = [F.col(f"`{c}`").alias(native(c)) for c in wanted if keep_native and df.schema[c].dataType != T.StringType()]
+    return df.select(*texts, *kept, *[c for c in (ROW_ID,) if c in df.columns])
 
 
 def well_formed(raw: DataFrame) -> DataFrame:

@@ -154,3 +154,62 @@ def test_nothing_is_lost_or_invented(spark, rows):
         assert sorted(map(repr, marked)) == sorted(repr(tuple(r)) for r in back)
         left = [tuple(r)[:5] for r in rejected.select(*names).collect()]
         assert all(marked.count(r) >= left.count(r) for r in left)
+
+
+def test_hashed_verdicts_are_the_exact_ones(spark, limits):
+    """Copies that agree, differ, or differ in NULLs only: the same whether told by hashes or value by value."""
+    from sluiceworks.operators.duplicates import exact_verdicts, key_verdicts, repeated_keys, suspect_rows
+
+    rows = [
+        ("1", "1", "5", "a", "1"), ("1", "1", "5", "a", "1.0"), ("1", "2", "5", "a", "1"), ("1", "2", None, "5", "1"),
+        ("1", "3", None, "x", None), ("1", "3", None, "x", None), ("\\N", "3", None, "x", None), (None, "3", None, "x", None),
+        ("1", "4", None, "a", "0.0"), ("1", "4", None, "a", "-0.0"), ("1", "5", "5", None, "2"), ("1", "5", None, None, "2"),
+    ]
+    raw = raw_rows(spark, LAPS, rows)
+    suspects = suspect_rows(raw, LAPS, repeated_keys(raw, LAPS, limits))
+    columns = ["race_id", "lap", "_copies", "_alike"]
+    told, exact = (sorted(map(str, f.select(*columns).collect())) for f in (key_verdicts(suspects, LAPS, limits), exact_verdicts(suspects, LAPS)))
+    assert told == exact and len(told) == 6
+
+
+def test_large_references_and_keys_take_one_scan(spark, folder, tmp_path):
+    """With limits forced low: keys and all referring values in one scan, suspects in one, the output in one."""
+    from dataclasses import replace
+
+    from sluiceworks.plans import commerce
+    from sluiceworks.plans.flow import build
+
+    names = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+    contracts = {n: commerce.CONTRACTS[n] for n in names}
+    raw = {n: commerce.raw_table(spark, folder, n, keep_native=True) for n in names}
+    done = build(spark, {n: raw[n] for n in names[:-1]}, {n: contracts[n] for n in names[:-1]})
+    parents = {n: done[n].as_parent() for n in ("orders", "part", "supplier")}
+    line, low = contracts["lineitem"], replace(TINY, task_rows=5_000_000)
+    rows = raw["lineitem"].count()
+    sc = spark._jsc.sc()
+
+    def read():
+        sc.listenerBus().waitUntilEmpty()
+        jobs = sc.statusStore().jobsList(None)
+        ids = {jobs.apply(i).stageIds().apply(k) for i in range(jobs.size()) for k in range(jobs.apply(i).stageIds().size())}
+        return sum(sc.statusStore().lastStageAttempt(i).inputRecords() for i in ids)
+
+    before = read()
+    gate(raw["lineitem"], line, parents, low).rows.write.format("noop").mode("overwrite").save()
+    # Checkpoints and parents are read as well; they are smaller than one more scan.
+    others = sum(done[n].rows for n in ("orders", "part", "supplier"))
+    assert read() - before <= 3 * rows + 4 * others
+
+
+def test_values_kept_beside_their_texts_change_nothing(spark, folder):
+    from sluiceworks.operators import audit
+    from sluiceworks.plans import commerce
+
+    for name in ("lineitem", "events", "part"):
+        c = commerce.CONTRACTS[name]
+        alone = Contract(c.dataset, c.ddl, c.key, c.rules)
+        staged = [gate(commerce.raw_table(spark, folder, name, keep_native=k), alone) for k in (False, True)]
+        prints = [
+            audit.union_all([audit.fingerprint(s.trusted, "trusted"), audit.fingerprint(s.rejected, "quarantine")]) for s in staged
+        ]
+        audit.require(audit.reproducible(*prints), "identical", name)
