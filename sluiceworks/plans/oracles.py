@@ -422,6 +422,24 @@ UNION ALL SELECT '2 trusted', CAST(cust_key AS VARCHAR), CAST(total_price AS VAR
 UNION ALL SELECT '3 mart', CAST(m.cust_key AS VARCHAR), CAST(CAST(spend AS BIGINT) AS VARCHAR),
   CAST(m.year AS VARCHAR)
 FROM customer_year AS m JOIN one ON m.cust_key = one.cust_key AND m.year = year(one.order_date)""",
+    "key_trace": f"""WITH {_CUSTOMER_YEAR},
+hit AS (SELECT * FROM o_staged WHERE order_key % 113 = 0 OR order_key % 127 = 0)
+SELECT CAST(orderKey AS BIGINT) AS order_key, '1 raw' AS layer, 'orders.parquet' AS place,
+  concat_ws(',', orderKey, custKey, totalPrice, orderDate, orderPriority) AS detail
+FROM dirty WHERE CAST(orderKey AS BIGINT) % 113 = 0 OR CAST(orderKey AS BIGINT) % 127 = 0
+UNION ALL SELECT order_key, '2 trusted', '', concat_ws(',', order_key, cust_key, total_price, order_date, order_priority)
+FROM hit WHERE _reasons = ''
+UNION ALL SELECT order_key, '2 quarantine', _reasons, concat_ws(',', r_key, r_cust, r_total, r_date, order_priority)
+FROM hit WHERE _reasons <> ''
+UNION ALL SELECT order_key, '3 mart', 'customer_year', concat_ws(',', m.year, m.cust_key, m.orders, m.urgent)
+FROM hit JOIN customer_year AS m ON m.cust_key = hit.cust_key AND m.year = year(hit.order_date) WHERE _reasons = ''""",
+    "file_ledger_check": f"""WITH {_DIRTY},
+k AS (SELECT *, CAST(orderKey AS BIGINT) AS k FROM dirty),
+z AS (SELECT max(k) - (max(k) + 1) % 4 AS z FROM k)
+SELECT 'orders' AS dataset, k % 4 AS remainder, count(*) AS rows, count(CASE WHEN k <> z THEN 1 END) AS rows_now,
+  CAST(0 AS BIGINT) AS header_leaks, CAST(0 AS BIGINT) AS malformed_lines,
+  CASE WHEN k % 4 IN (2, 3) THEN 'changed' ELSE 'unchanged' END AS state
+FROM k, z GROUP BY k % 4""",
     "conflict_evidence": f"""WITH {_DIRTY}
 SELECT * FROM dirty WHERE "orderKey" IN ('127', '254')""",
     "scalar_functions": """

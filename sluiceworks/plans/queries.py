@@ -19,6 +19,7 @@ from sluiceworks.operators.difference import bucket_totals, comparison, differin
 from sluiceworks.operators.expectations import Expectation, ExpectationFailedError
 from sluiceworks.operators.gate import REASONS, Staged, gate, reason_counts
 from sluiceworks.operators.joins import join_audit
+from sluiceworks.operators.lineage import Trail, trace
 from sluiceworks.operators.ranking import history_of_leaders, series_minimum, top
 from sluiceworks.operators.running import running_sums
 from sluiceworks.plans import commerce, serving
@@ -38,6 +39,7 @@ from sluiceworks.sources import (
     tables_in,
 )
 from sluiceworks.sources.files import Files
+from sluiceworks.sources.ledger import file_ledger, ledger_check
 from sluiceworks.sources.raw import INGESTED_AT, MALFORMED, ROW_ID, SOURCE_FILE
 from sluiceworks.sources.store import dataset_folder, publish, write_metrics
 from sluiceworks.sources.versions import OvertakenError, Version
@@ -744,6 +746,45 @@ def row_trace(spark, folder):
     )
 
 
+def key_trace(spark, folder):
+    """All orders with copies through the layers: as landed, the verdict on each copy, the marts that count them."""
+    b = stored(spark, folder, "orders")
+    t = {n: b[n].trusted for n in ("orders", "customer", "nation")}
+    raw = commerce.raw_table(spark, folder, "orders")
+    copied = (F.col("o_orderkey") % 113 == 0) | (F.col("o_orderkey") % 127 == 0)
+    keys = commerce.table(spark, folder, "orders").where(copied).select(F.col("o_orderkey").alias("order_key"))
+    year = F.year("order_date")
+    trails = {
+        "customer_year": Trail(
+            commerce.customer_year_summary(t["orders"], t["customer"]), {"year": year, "cust_key": F.col("cust_key")},
+            ("year", "cust_key", "orders", "urgent"),
+        ),
+    }
+    return trace(C["orders"], raw, t["orders"], b["orders"].rejected, keys, trails)
+
+
+def file_ledger_check(spark, folder):
+    """Orders landed as four files; afterwards one of them lost a row, and one had a price altered.
+
+    ``remainder`` tells the files apart: each holds the keys with one remainder by four.
+    """
+    landing = f"{workspace(spark, 'landing')}/orders.csv"
+    names = C["orders"].raw_schema.names
+    rows = commerce.dirty_orders(spark, folder).select(*names)
+    key = F.col("orderKey").cast("bigint")
+    for part in range(4):
+        some = rows.where(key % 4 == part).coalesce(1)
+        some.write.mode("append").option("header", True).option("escape", '"').csv(landing)
+    raw = at_rest(read_csv(spark, landing, C["orders"], commerce.RUN_TS), "raw")
+    landed = at_rest(file_ledger({"orders": raw}, C), "ledger")
+    greatest = raw.agg(F.max(key)).first()[0]
+    greatest -= (greatest + 1) % 4  # the last key with remainder three
+    altered = F.when(key == greatest - 1, F.lit("1")).otherwise(F.col("totalPrice"))
+    now = raw.where(key != greatest).withColumn("totalPrice", altered)
+    held = raw.select(F.col(SOURCE_FILE).alias("file"), (key % 4).alias("remainder")).distinct()
+    return ledger_check(landed, file_ledger({"orders": now}, C)).join(held, "file").drop("file")
+
+
 def conflict_evidence(spark, folder):
     """The copies behind two conflicts, as landed."""
     raw = commerce.raw_table(spark, folder, "orders")
@@ -834,7 +875,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         lossless_join_check, reproducible_build, located_change, reported_vs_summed, running_totals, event_extremes, enriched_orders,
         customer_year_summary, segment_year_summary, brand_year_summary, event_value_evolution,
         nation_history, lines_by_order_year, mart_reconciliation, triangle_check, mart_audit, leaders_of_segments,
-        urgent_chart, named_series, lowest_day, row_trace, conflict_evidence, scalar_functions,
+        urgent_chart, named_series, lowest_day, row_trace, key_trace, file_ledger_check, conflict_evidence, scalar_functions,
         range_filter, distinct_customers, spend_again, column_coverage,
     )
 } | {
