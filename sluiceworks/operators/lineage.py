@@ -65,8 +65,12 @@ def trace(
         text(originals(rejected, REASONS), LAYERS[2], F.col(REASONS), [f"_text_{c}" for c in sources]),
     ]
     for name, trail in trails.items():
-        groups = hits.select(*key, *[c.alias(f"_group_{g}") for g, c in trail.groups.items()]).distinct()
+        # A mart may be grouped by columns that are named like the key.
+        groups = hits.select(
+            *[F.col(k).alias(prefix + k) for k in key], *[c.alias(f"_group_{g}") for g, c in trail.groups.items()]
+        ).distinct()
         rows = trail.mart.select(*trail.groups, _shown(trail.shown).alias("detail"))
         joined = rows.join(hint(groups), same_key(list(trail.groups), "_group_"))
-        found.append(joined.select(*key, F.lit(LAYERS[3]).alias("layer"), F.lit(name).alias("place"), "detail"))
+        named = [F.col(prefix + k).alias(k) for k in key]
+        found.append(joined.select(*named, F.lit(LAYERS[3]).alias("layer"), F.lit(name).alias("place"), "detail"))
     return union_all(found)
