@@ -55,17 +55,30 @@ _CHROME_NAME = re.compile(
     r"recommend\w*|trending|popular|comments?|disqus|replies|reply|respond|widget|toolbar|pagination|pager|copyright|legal|search)(?:$|[\s_-])",
     re.I,
 )
-# A name with one of these in it tells of the page round it: no-sidebar, with-header.
-_ABOUT = re.compile(r"(?:^|[_-])(?:no|not|non|has|have|with|without|hide|hides|show|shows)(?=$|[_-])", re.I)
+# What an article must be called to be anything but the article: a reader's comment, an advert, a teaser.
+_OTHER_ARTICLE = re.compile(
+    r"(?:comments?|repl(?:y|ies)|ads?|advert\w*|sponsor\w*|promo\w*|related|recommend\w*|trending|popular|teasers?|widget|newsletter)(?:[_-]\w+)*",
+    re.I,
+)
+# A name with one of these in it tells of the page round it (no-sidebar, with-header) or files the text (category-legal).
+_ABOUT = re.compile(
+    r"(?:^|[_-])(?:no|not|non|has|have|with|without|hide|hides|show|shows)(?=$|[_-])"
+    r"|^(?:category|cat|tag|topic|type|format|status|author|term|lang)[_-]",
+    re.I,
+)
 _CONTENT_NAME = re.compile(r"(?:^|[\s_-])(?:article|content|main|post|entry|story|body|text)(?:$|[\s_-])", re.I)
-_TAG = re.compile(r"<(?:!--.*?(?:-->|$)|[!?][^>]*(?:>|$)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$))", re.S)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|aria-hidden|hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+# Quotes hold an attribute's value together only right after its equals sign, and only if they are closed.
+_TAG = re.compile(
+    r"<(?:!--.*?(?:-->|$)|[!?][^>]*(?:>|$)|(/?)([a-zA-Z][^\s/>]*)((?:[^>=]+|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*+)(?:>|$))", re.S
+)
+_ATTRIBUTE = re.compile(r"""([^\s=/>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
+_TELLING = frozenset("class id role aria-hidden hidden style".split())
 _SPACE = re.compile(r"\s+")
 
 
 ARTICLE, MAIN = 2, 3
 # What speaks for boilerplate, by how much an article inside may take it back.
-FORM, NAMED, FIRM = -1, -2, -3
+FORM, NAMED, FIRM, OTHER = -1, -2, -3, -4
 
 
 @dataclass
@@ -73,7 +86,7 @@ class Element:
     tag: str
     container: int  # the innermost container: this element or one round it; 0 for none
     around: int  # the container round that container
-    says: int  # with all elements round it, of its text: 1 content, 0 nothing, less boilerplate (FORM, NAMED, FIRM)
+    says: int  # with all elements round it, of its text: 1 content, 0 nothing, less boilerplate (FORM, NAMED, FIRM, OTHER)
     hidden: bool = False
     inner: str = ""  # tag of the innermost element that breaks text
     main: bool = False  # an article or main, or inside one
@@ -98,6 +111,8 @@ def _leaning(tag: str, attributes: str, inside_content: bool) -> tuple[int, bool
     names, hidden, role = [], False, ""
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or "").strip("\"'")
+        if name not in _TELLING:
+            continue
         if name in ("class", "id"):
             names += [n for n in value.split() if not _ABOUT.search(n)]
         elif name == "role":
@@ -111,10 +126,12 @@ def _leaning(tag: str, attributes: str, inside_content: bool) -> tuple[int, bool
         return FORM if tag == "form" else FIRM, hidden
     if role in ("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "form"):
         return FORM if role == "form" else FIRM, hidden
-    if any(_CHROME_NAME.search(n) for n in names) and tag not in ("html", "body"):
-        return NAMED, hidden
     if tag in CONTENT or role in ("main", "article"):
+        if any(_OTHER_ARTICLE.fullmatch(n) for n in names):
+            return OTHER, hidden
         return MAIN if "main" in (tag, role) else ARTICLE, hidden
+    if any(_CHROME_NAME.search(n) for n in names) and tag not in ("html", "body"):
+        return NAMED, hidden
     if any(_CONTENT_NAME.search(n) for n in names) and tag in ("div", "section", "td"):
         return 1, hidden
     return 0, hidden
@@ -284,6 +301,7 @@ def fit(pages: DataFrame, train_pages: int = TRAIN_PAGES) -> np.ndarray:
 # ---------------------------------------------------------------- the cut
 
 TOLD = 6.0  # cost of going against what the elements say; less than the classifier may say
+ARTICLE_TOLD = 12.0  # against an article or main: its short lines are its text as well, and a comment's long ones are not
 NEXT = 0.7  # smoothness between neighbouring blocks
 AROUND = 1.0  # between a block or container and the container round it
 CAP = 8.0  # most that the classifier may say
@@ -370,7 +388,9 @@ def label(page: Page, ratios: np.ndarray) -> list[bool]:
     content, chrome = [0.0] * n, [0.0] * n
     for i, (block, binned) in enumerate(zip(blocks, features(page), strict=True)):
         say = sum(ratios[f, b] for f, b in enumerate(binned))
-        say = max(-CAP, min(CAP, say)) + TOLD * max(-1, elements[block.element].says)
+        e = elements[block.element]
+        sure = e.main and e.says > 0 or e.says == OTHER
+        say = max(-CAP, min(CAP, say)) + (ARTICLE_TOLD if sure else TOLD) * max(-1, e.says)
         content[i], chrome[i] = max(say, 0.0), max(-say, 0.0)
     edges = [(i, used[e], AROUND) for i, e in enumerate(home) if e]
     edges += [(i - 1, i, NEXT if home[i] == home[i - 1] else NEXT / 4) for i in range(1, len(blocks))]

@@ -120,3 +120,53 @@ def test_odd_rows(spark):
     got = html.extract(frame.selectExpr("*", "1 AS n_chars")).collect()
     assert sorted((str(r["page_id"]), r["n_chars"]) for r in got if r["page_id"] != 3) == [("1", 0), ("2", 0), ("2", 0), ("4", 39_999), ("None", 1)]
     assert html.extract(frame.limit(0)).collect() == []
+
+
+
+
+@pytest.fixture(scope="module")
+def fitted(spark, folder):
+    return html.fit(spark.read.parquet(f"{folder}/pages.parquet"))
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (
+            '<body class="home"><article class="post category-legal tag-search"><header><h1>The headline</h1></header>'
+            "<p>Alpha words of the article are here.</p></article></body>",
+            "The headline\nAlpha words of the article are here.",
+        ),
+        (
+            "<article><h1>Head</h1><p>See these two pages, both of them are good.</p><ul><li><a href=1>One</a></li>"
+            "<li><a href=2>Two</a></li></ul><p>The end of the article is here.</p></article>",
+            "Head\nSee these two pages, both of them are good.\nOne\nTwo\nThe end of the article is here.",
+        ),
+        ('<article><p title="5" screen">Alpha words.</p><p>The end.</p></article>', "Alpha words.\nThe end."),
+        (
+            '<article><p title="5" screen">Alpha words.</p><p>It is 5" tall.</p><p>End.</p></article>',
+            'Alpha words.\nIt is 5" tall.\nEnd.',
+        ),
+        ('<article><p title="hidden gems" data-x=style>Alpha words.</p><p title="a > b">Beta.</p></article>', "Alpha words.\nBeta."),
+        ('<article><p title="never closed>Alpha words.</p><p>The end.</p></article>', "Alpha words.\nThe end."),
+        (
+            "<main><article class='post'><p>The text of the article is this one.</p></article>"
+            "<article class='comment' id='comment-5'><p>First! I like this text a lot.</p></article></main>",
+            "The text of the article is this one.",
+        ),
+    ],
+)
+def test_ordinary_pages(fitted, page, text):
+
+    assert html.extract_text(page, fitted) == text
+    assert html.extract_text(page, np.zeros_like(fitted)) == text
+
+
+def test_long_attributes_are_read_in_line_time():
+    import time
+
+
+    page = "<article><p " + 'a="b\' c=' * 200_000 + ">Alpha.</p></article>"
+    start = time.perf_counter()
+    html.extract_text(page, np.zeros((len(html.FEATURES), html.BINS)))
+    assert time.perf_counter() - start < 20
