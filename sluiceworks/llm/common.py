@@ -9,12 +9,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BinaryType, StringType, StructType
 
 from sluiceworks.session import workspace
 
 # Text handed to numpy at once; temporaries are some thirty times as large.
 CHUNK_BYTES = 1 << 20
+# Most that is broadcast of a table that was counted small.
+BROADCAST_BYTES = 64 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -29,6 +31,14 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free(name: str, *frames: DataFrame) -> str:
+    """``name``, with as many underscores before it as it takes to be no column of the frames."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def schema_of(df: DataFrame, more: str, *names: str) -> StructType:
     """The fields ``names`` of ``df`` (default: all) followed by those of the DDL text ``more``."""
     own = [df.schema[n] for n in names] if names else df.schema.fields
@@ -45,17 +55,23 @@ def held_out(key: str = "doc_id", folds: int = 3, out: int = 1) -> Column:
     return fold(key, folds) == out
 
 
+def _octets(frame: DataFrame) -> Column:
+    """Size of a row: 8 bytes a column, and the content of texts and binaries."""
+    long = [f.name for f in frame.schema if isinstance(f.dataType, StringType | BinaryType)]
+    return sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in long), F.lit(8 * len(frame.columns))).cast("long")
+
+
 def spread_join(rows: DataFrame, keyed: DataFrame, key: str, weight: str, by: str, how: str = "inner",
                 share: int = 4096, small: int = 400_000) -> DataFrame:
     """Joins ``rows`` with the stored table ``keyed`` (one row per key; ``weight``: rows per key).
 
-    A ``keyed`` of at most ``small`` rows is broadcast. Otherwise both sides are shuffled on the key, and a
+    A ``keyed`` of at most ``small`` rows and ``BROADCAST_BYTES`` is broadcast. Otherwise both sides are shuffled on the key, and a
     key with more than one ``share``-th of all rows is cut into parts by a hash of the column ``by``. There
     are fewer than ``share`` such keys whatever the data, so their list is broadcast. ``how``: inner, left or
     left_semi.
     """
-    size = keyed.agg(F.count("*").alias("n"), F.sum(weight).alias("total")).first()
-    if size["n"] <= small:
+    size = keyed.agg(F.count("*").alias("n"), F.sum(weight).alias("total"), F.sum(_octets(keyed)).alias("octets")).first()
+    if size["n"] <= small and (size["octets"] or 0) <= BROADCAST_BYTES:
         return rows.join(F.broadcast(keyed), key, how)
     parts = F.ceil(F.col(weight) * share / F.lit(size["total"])).cast("int")
     hot = keyed.select(F.col(key).alias("_hot"), parts.alias("_parts")).filter("_parts > 1")

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluiceworks.llm.common import spread_join, store
+from sluiceworks.llm.common import free, spread_join, store
 
 MIN_SITES = 5
 PASSAGE_WORDS = 50
@@ -92,38 +92,38 @@ def drops(lines: DataFrame, removed: DataFrame) -> DataFrame:
     return store(lost.select(F.col("doc").alias("_doc"), dealt.alias("_drop")), "line-drops")
 
 
-def dedup(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
-    """``docs`` with boilerplate lines taken out of ``text``, and ``n_removed``, the lines taken."""
+def dedup(docs: DataFrame, min_sites: int = MIN_SITES, counter: str = "n_removed") -> DataFrame:
+    """``docs`` with boilerplate lines taken out of ``text``, and ``counter``, the lines taken."""
     lines = occurrences(docs)
-    return _without(docs, drops(lines, boilerplate(lines, min_sites)))
+    return _without(docs, drops(lines, boilerplate(lines, min_sites)), counter)
 
 
-def without_passages(docs: DataFrame, min_words: int = PASSAGE_WORDS) -> DataFrame:
-    """``docs`` with long lines left in their first document only, and ``n_removed``, the lines taken."""
+def without_passages(docs: DataFrame, min_words: int = PASSAGE_WORDS, counter: str = "n_removed") -> DataFrame:
+    """``docs`` with long lines left in their first document only, and ``counter``, the lines taken."""
     lines = occurrences(docs, min_words)
-    return _without(docs, drops(lines, repeated(lines)))
+    return _without(docs, drops(lines, repeated(lines)), counter)
 
 
-def _without(docs: DataFrame, lost: DataFrame) -> DataFrame:
+def _without(docs: DataFrame, lost: DataFrame, counter: str) -> DataFrame:
     keys = lost.agg(F.sum(F.aggregate("_drop", F.lit(0), lambda n, b: n + F.size(b)))).first()[0] or 0
+    key, drop, kept = (free(name, docs) for name in ("_doc", "_drop", "_left"))
+    lost = lost.select(F.col("_doc").alias(key), F.col("_drop").alias(drop))
     hinted = F.broadcast(lost) if keys <= SMALL_DROPS else lost.hint("shuffle_hash")
-    joined = docs.join(hinted, docs["doc_id"].eqNullSafe(lost["_doc"]), "left")
+    joined = docs.join(hinted, F.col("doc_id").eqNullSafe(F.col(key)), "left")
     parts = F.split("text", "\n")
 
     def stays(line: Column) -> Column:
         # Blank lines hash to the hash of the empty text, which is never a key.
-        bucket = F.pmod(_hash(line), F.size("_drop").cast("long")).cast("int")
-        return ~F.array_contains(F.get("_drop", bucket), _hash(line))
+        bucket = F.pmod(_hash(line), F.size(drop).cast("long")).cast("int")
+        return ~F.array_contains(F.get(drop, bucket), _hash(line))
 
-    touched = F.col("_drop").isNotNull() & F.col("text").isNotNull()
+    touched = F.col(drop).isNotNull() & F.col("text").isNotNull()
     left = F.when(touched, F.filter(parts, stays))
     # Kept lines are counted by their separators, so the filter runs once.
-    cleaned = joined.withColumn("_left", left).withColumn(
-        "n_removed", F.when(F.col("_left").isNull(), 0).otherwise(F.size(parts) - F.size("_left")).cast("long")
-    )
-    text = F.when(F.col("_left").isNull(), F.col("text")).otherwise(F.array_join("_left", "\n"))
-    others = [c for c in docs.columns if c != "n_removed"]
-    return cleaned.select(*(text.alias("text") if c == "text" else F.col(c) for c in others), "n_removed")
+    cleaned = joined.withColumn(kept, left)
+    count = F.when(F.col(kept).isNull(), 0).otherwise(F.size(parts) - F.size(kept)).cast("long")
+    text = F.when(F.col(kept).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    return cleaned.select(*(text.alias("text") if c == "text" else F.col(c) for c in docs.columns if c != counter), count.alias(counter))
 
 
 SQL = f"""

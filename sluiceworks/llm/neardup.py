@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from sluiceworks.llm.common import chunks, fmix, schema_of, spread_join, store
+from sluiceworks.llm.common import chunks, fmix, free, schema_of, spread_join, store
 from sluiceworks.llm.components import components
 from sluiceworks.llm.words import Words, windows
 
@@ -120,8 +120,11 @@ def tokens_of(shingles: np.ndarray) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, *more: str) -> DataFrame:
-    """Stored: doc_id, n_shingles, cls (NULL for the empty set), tokens, and the columns ``more`` of ``docs``."""
-    rows = docs.select("doc_id", "text", *more)
+    """Stored: doc_id, n_shingles, cls (NULL for the empty set), tokens, mark, and the columns ``more`` of ``docs``.
+
+    ``mark`` tells rows with one id apart by their texts.
+    """
+    rows = docs.select("doc_id", "text", _mark().alias("mark"), *more)
 
     def run(batches):
         for batch in batches:
@@ -135,28 +138,34 @@ def sketch(docs: DataFrame, *more: str) -> DataFrame:
                         pa.array([tokens_of(s).tobytes() if len(s) else None for s in sets], pa.binary()),
                         *part.columns[2:],
                     ],
-                    names=["doc_id", "n_shingles", "cls", "tokens", *more],
+                    names=["doc_id", "n_shingles", "cls", "tokens", "mark", *more],
                 )
 
-    schema = schema_of(rows, "n_shingles long, cls long, tokens binary", "doc_id")
+    schema = schema_of(rows, "n_shingles long, cls long, tokens binary, mark long", "doc_id")
     return store(rows.mapInArrow(run, StructType([*schema.fields, *(docs.schema[c] for c in more)])), "sketch")
 
 
+def _mark() -> Column:
+    return F.xxhash64("text")
+
+
 def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Stored ``cls, n, shingles`` of the ``wanted`` classes (columns ``cls``, ``rep``: one of their ids).
+    """Stored ``cls, n, shingles`` of the ``wanted`` classes (columns ``cls``, and ``rep``, ``mark``: one of their rows).
 
-    Texts of those ids alone are read again; the list is broadcast if it is short.
+    Texts of those rows alone are read again, however many others have their id; the list is broadcast if it is
+    short.
     """
-    few = wanted.count() <= 400_000
-    ids = wanted.select(F.col("rep").alias("_rep"), F.col("cls").alias("_cls"))
-    hinted = F.broadcast(ids) if few else ids.hint("shuffle_hash")
-    rows = docs.select("doc_id", "text").join(hinted, F.col("doc_id").eqNullSafe(F.col("_rep"))).select("_cls", "text")
+    asked = wanted.count()
+    ids = wanted.select(F.col("rep").alias("_rep"), F.col("mark").alias("_mark"), F.col("cls").alias("_cls"))
+    hinted = F.broadcast(ids) if asked <= 400_000 else ids.hint("shuffle_hash")
+    rows = docs.select("doc_id", "text", _mark().alias("_own"))
+    rows = rows.join(hinted, F.col("doc_id").eqNullSafe(F.col("_rep")) & (F.col("_own") == F.col("_mark"))).select("_cls", "text")
 
     def run(batches):
         for batch in batches:
             for part, texts in chunks(batch, 1):
                 sets = shingle_sets(texts)
-                # Another row may share the id: it is told apart by its class.
+                # Marks are hashes: what else may share one is told apart by its class.
                 own = [(c, s) for c, s in zip(part.column(0).to_pylist(), sets, strict=True) if class_of(s) == c]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -167,7 +176,10 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     names=["cls", "n", "shingles"],
                 )
 
-    return store(rows.mapInArrow(run, "cls long, n long, shingles binary"), "sets")
+    found = store(rows.mapInArrow(run, "cls long, n long, shingles binary"), "sets")
+    if found.count() > asked:  # rows with one id and one text
+        found = store(found.dropDuplicates(["cls"]), "sets")
+    return found
 
 
 # ---------------------------------------------------------------- the trees
@@ -434,7 +446,7 @@ def link_classes(docs: DataFrame, classes: DataFrame, threshold: Threshold) -> D
     met = candidates(leaves, classes, threshold).unionByName(large.select(F.col("pivot").alias("a"), F.col("cls").alias("b")))
     groups = components(met)
     named = groups.select(F.col("node").alias("cls"), F.col("root").alias("grp"))
-    sets = full_sets(docs, named.join(classes.select("cls", "rep"), "cls").select("cls", "rep"))
+    sets = full_sets(docs, named.join(classes.select("cls", "rep", "mark"), "cls").select("cls", "rep", "mark"))
     members = named.join(sets.select("cls", "n"), "cls").select("grp", "cls", "n")
     sizes = store(_sized(members), "sizes")
     sized = store(spread_join(members, sizes, "grp", "size", "cls").select("grp", "cls", "n", "size"), "sized")
@@ -456,7 +468,12 @@ def cluster(docs: DataFrame, percent: int = 85, *more: str) -> DataFrame:
     rows = sketch(docs, *more)
     classes = store(
         rows.filter(F.col("cls").isNotNull()).groupBy("cls")
-        .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("tokens").alias("tokens")),
+        .agg(
+            F.min("doc_id").alias("rep"), F.min_by("mark", "doc_id").alias("least"), F.min("mark").alias("any"),
+            F.count("*").alias("copies"), F.first("tokens").alias("tokens"),
+        )
+        # Without an id, any text of the class will do.
+        .select("cls", "rep", F.when(F.col("rep").isNull(), F.col("any")).otherwise(F.col("least")).alias("mark"), "copies", "tokens"),
         "classes",
     )
     found = link_classes(docs, classes, threshold)
@@ -477,9 +494,9 @@ def keep_one(docs: DataFrame, percent: int = 80) -> DataFrame:
     Rows are told apart by id and text, so others that share the id of one that goes (NULL included) stay. Of
     near-duplicates that all have the kept id every one stays.
     """
-    text = F.xxhash64("text")
-    found = cluster(docs.select("doc_id", "text", text.alias("_text")), percent, "_text")
-    gone = store(found.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone"), "_text").distinct(), "near-duplicates")
+    found = cluster(docs.select("doc_id", "text", _mark().alias("_text")), percent, "_text")
+    key, print_ = free("_gone", docs), free("_text", docs)
+    gone = store(found.filter(~F.col("kept")).select(F.col("doc_id").alias(key), F.col("_text").alias(print_)).distinct(), "near-duplicates")
     hinted = F.broadcast(gone) if gone.count() <= 400_000 else gone.hint("shuffle_hash")
-    same = F.col("doc_id").eqNullSafe(F.col("_gone")) & (text == F.col("_text"))
+    same = F.col("doc_id").eqNullSafe(F.col(key)) & (_mark() == F.col(print_))
     return docs.join(hinted, same, "left_anti").select(*docs.columns)

@@ -63,7 +63,8 @@ class Tokens:
 
     A token never spans a change from a non-space character to a space, so each run between such places
     is encoded once and remembered. The merges run in tiktoken on the ranks of the same file; for a
-    byte-level BPE whose ids follow its merges both libraries give the same ids (tests compare them).
+    byte-level BPE whose ids follow its merges both libraries give the same ids (tests compare them). As there, a special
+    token of the file that stands in a text is that one id, and what is around it is encoded by itself.
     """
 
     def __init__(self, path: str):
@@ -73,7 +74,10 @@ class Tokens:
         with open(path, encoding="utf-8") as file:
             vocabulary = json.load(file)
         byte = _byte_of()
-        special = {t["content"] for t in vocabulary.get("added_tokens", [])}
+        special = {t["content"]: t["id"] for t in vocabulary.get("added_tokens", [])}
+        self.special = {content: _little([number]) for content, number in special.items()}
+        longest = sorted(special, key=len, reverse=True)
+        self.parts = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if special else None
         ranks = {bytes(byte[c] for c in token): rank for token, rank in vocabulary["model"]["vocab"].items() if token not in special}
         self.encode = tiktoken.Encoding(
             "packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
@@ -86,6 +90,13 @@ class Tokens:
         self.plain.clear()
 
     def ids(self, text: str) -> bytes:
+        if self.parts and self.parts.search(text):
+            # Every other part is a special token.
+            around = self.parts.split(text)
+            return b"".join(self.special[p] if i % 2 else self._ordinary(p) for i, p in enumerate(around))
+        return self._ordinary(text)
+
+    def _ordinary(self, text: str) -> bytes:
         if _SPACES.search(text):
             return b"".join(map(self.plain.__getitem__, _BREAK.split(text)))
         first, *rest = text.split(" ")

@@ -78,3 +78,10 @@ def test_passages(documents, docs_of):
             if len(line.split()) >= 50:
                 assert seen.setdefault(line.strip(BLANK), r["doc_id"]) == r["doc_id"]
     assert sum(r["n_removed"] for r in left) > 0
+
+
+def test_names_in_use(documents):
+    given = documents.selectExpr("*", "'mine' AS _drop", "4 AS _doc", "5 AS _left", "6 AS n_removed")
+    for cleaned in (lines.dedup(given, counter="gone"), lines.without_passages(given, counter="gone")):
+        assert cleaned.select("_drop", "_doc", "_left", "n_removed").distinct().collect() == [("mine", 4, 5, 6)]
+        assert cleaned.agg({"gone": "sum"}).first()[0] > 0

@@ -157,3 +157,27 @@ def test_components(spark):
     linked = {x for p in chain + star + loose if p[0] != p[1] for x in p}
     assert got == {x: groups.find(x) for x in linked}
     assert components.components(frame.limit(0)).collect() == []
+
+
+def test_rows_that_share_an_id_meet_their_own_class_only(spark, docs_of):
+    """As many texts as rows with NULL or one id: each is read for its own class, whatever the others hold."""
+    import random
+
+    draw = random.Random(5)
+    base = [f"w{draw.randint(0, 10**6)}" for _ in range(120)]
+    rows = []
+    for i in range(400):
+        words = list(base)
+        words[draw.randint(0, 119)] = f"x{i}"
+        rows.append((None if i % 2 else 7, " ".join(words)))
+    docs = docs_of(*rows, (7, rows[0][1]), (9, "other words that are by themselves here"))
+    found = neardup.cluster(docs, 85).collect()
+    assert len(found) == 402
+    assert {r["component_id"] for r in found} == {7, 9}
+    classes = neardup.sketch(docs).filter("cls IS NOT NULL").groupBy("cls").agg({"doc_id": "min"}).count()
+    assert classes == 401
+
+
+def test_names_in_use(documents):
+    given = documents.selectExpr("*", "'mine' AS _text", "4 AS _gone", "5 AS mark", "6 AS tokens")
+    assert neardup.keep_one(given).select("_text", "_gone", "mark", "tokens").distinct().collect() == [("mine", 4, 5, 6)]
