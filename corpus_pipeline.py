@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluiceworks.llm import decontaminate, language, lines, neardup, packing
-from sluiceworks.llm.common import store, table
+from sluiceworks.llm.common import free, store, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -22,16 +22,19 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return language.accepted(docs)
 
 
-def _measured(cleaned: DataFrame, docs: DataFrame) -> DataFrame:
+def _measured(clean: Callable[..., DataFrame], docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` after ``clean``; ``n_chars`` follows the text."""
+    counter = free("_n_removed", docs)
+    cleaned = clean(docs, counter=counter)
     if "n_chars" in docs.columns:
-        length = F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
+        length = F.when(F.col(counter) > 0, F.length("text")).otherwise(F.col("n_chars"))
         cleaned = cleaned.withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType))
     return cleaned.select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines on many sites stay in their first document only; ``n_chars`` follows the text."""
-    return _measured(lines.dedup(docs), docs)
+    return _measured(lines.dedup, docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +44,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     would lose what they are told by.
     """
     left = store(neardup.keep_one(docs, 80), "pipeline-left")
-    return _measured(lines.without_passages(left), docs)
+    return _measured(lines.without_passages, left)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
