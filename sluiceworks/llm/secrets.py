@@ -1,13 +1,13 @@
 r"""Secret scans: fixed patterns, and a battery of randomness tests for everything else.
 
 The base patterns (``assign``, ``access``, ``hex``) are matched leftmost, non-overlapping, per kind. Other
-candidates are runs of at least ``MIN_LENGTH`` characters of the base64 alphabets. For each the encoding is
-inferred (hexadecimal, base32, alphanumeric, base64), and three tests ask whether it could be a uniform random
+candidates are all runs of at least ``MIN_LENGTH`` characters of the base64 alphabets. For each the encoding is
+inferred (digits, letters, hexadecimal, base32, alphanumeric, base64: the smallest alphabet that holds it), and three tests ask whether it could be a uniform random
 string in that encoding: chi-squared of the alphabet, Wald-Wolfowitz runs round the median symbol, serial
 correlation of neighbours. Their p-values are combined by Cauchy's method. Ordinary strings fail the tests; which failures
-count is decided over all candidates at once by Benjamini and Hochberg's rule in each class of length, so
-that of the strings called ordinary at most a share ``RATE`` is expected to be random. What is left is random: kind
-``random``. The rule needs only counts per (length class, p-value bucket), which partial aggregation adds up.
+count is decided over all candidates at once by Benjamini and Hochberg's rule in each class of content (digits, no
+digits, both) and length, so that of the strings called ordinary at most a share ``RATE`` is expected to be random. What
+is left is random: kind ``random``. The rule needs only counts per (class, p-value bucket), which partial aggregation adds up.
 
 Spans are in code points, end exclusive. Defined results: NULL and empty texts have no spans. Repeated rows
 are scanned one by one. Extra columns are ignored.
@@ -33,7 +33,6 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 # A run that is too short holds no longer match, so the least lengths can stand in these two patterns.
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 _HEX = re.compile(r"[0-9a-f]{32,}")
-_DIGIT = re.compile(r"[0-9]")
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 MIN_LENGTH = 20
 
@@ -42,6 +41,10 @@ BUCKET = 0.05  # width of a p-value bucket, in powers of ten
 LENGTHS = (20, 24, 32, 48, 64, 128)  # lower ends of the length classes
 
 _ALPHABETS = {
+    "digits": string.digits,
+    "lower": string.ascii_lowercase,
+    "upper": string.ascii_uppercase,
+    "letters": string.ascii_uppercase + string.ascii_lowercase,
     "hex": "0123456789abcdef",
     "HEX": "0123456789ABCDEF",
     "base32": string.ascii_uppercase + "234567",
@@ -65,10 +68,8 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def infer(token: str) -> str | None:
-    """The smallest alphabet that holds the token; None unless it mixes letters and digits."""
+    """The smallest alphabet that holds the token; None if no alphabet has all its signs."""
     used = set(token)
-    if not (used & set(string.digits) and used & set(string.ascii_letters)):
-        return None
     return next((name for name, alphabet in _ALPHABETS.items() if used <= set(alphabet)), None)
 
 
@@ -84,8 +85,15 @@ def _upper_chi(x: float, free: int) -> float:
     return {1: root, 2: math.exp(-x / 2), 3: root + math.sqrt(2 * x / math.pi) * math.exp(-x / 2)}[free]
 
 
-def _class(c: str) -> str:
-    return "digit" if c.isdigit() else "capital" if c.isupper() else "small" if c.islower() else "sign"
+def _class(c: str, spoken: bool) -> str:
+    """Digits, capitals, small letters and signs; in alphabets of letters alone, vowels apart, as words are rich in them."""
+    kind = "digit" if c.isdigit() else "capital" if c.isupper() else "small" if c.islower() else "sign"
+    return f"{kind} vowel" if spoken and c in "aeiouAEIOU" else kind
+
+
+def _content(token: str) -> int:
+    """Class of content: 0 digits and letters, 1 without a digit, 2 without a letter."""
+    return 1 if not any(c.isdigit() for c in token) else 0 if any(c.isalpha() for c in token) else 2
 
 
 def _two_sided(z: float) -> float:
@@ -108,8 +116,9 @@ def battery(token: str) -> tuple[str, float] | None:
     spread = 2 / (9 * free) * (n - 1) / n
     uniform = _upper_normal(((max(chi, 0) / free) ** (1 / 3) - (1 - spread)) / math.sqrt(spread))
     # The same for digits, capitals, small letters and signs, which short strings fill better than symbols.
-    wanted = Counter(map(_class, alphabet))
-    got = Counter(map(_class, token))
+    spoken = alphabet.isalpha()
+    wanted = Counter(_class(c, spoken) for c in alphabet)
+    got = Counter(_class(c, spoken) for c in token)
     coarse = sum((got[c] - n * w / k) ** 2 / (n * w / k) for c, w in wanted.items())
     uniform = min(1.0, 2 * min(uniform, _upper_chi(coarse, len(wanted) - 1)))
     values = np.array([place[c] for c in token], float)
@@ -132,23 +141,21 @@ def battery(token: str) -> tuple[str, float] | None:
 
 
 def candidates(text: str, base: list[tuple[str, int, int]]) -> list[tuple[int, int, int, int]]:
-    """``start, end, length class, p bucket`` of strings to test that no base span covers."""
+    """``start, end, class of content and length, p bucket`` of strings to test that no base span covers."""
     out = []
-    if not _DIGIT.search(text):
-        return out
     for m in _CANDIDATE.finditer(text):
         start, end = m.span()
         if any(s < end and start < e for _, s, e in base):
             continue
         tested = battery(m[0])
         if tested:
-            size = max(i for i, low in enumerate(LENGTHS) if len(m[0]) >= low)
+            size = max(i for i, low in enumerate(LENGTHS) if len(m[0]) >= low) + len(LENGTHS) * _content(m[0])
             out.append((start, end, size, int(-math.log10(max(tested[1], 1e-300)) / BUCKET)))
     return out
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """Stored: doc_id, ``base`` spans and ``tested`` strings with length class and p-value bucket."""
+    """Stored: doc_id, ``base`` spans and ``tested`` strings with class and p-value bucket."""
     rows = docs.select("doc_id", "text")
     span = "struct<kind:string, start:int, end:int>"
     schema = schema_of(rows, f"base array<{span}>, tested array<struct<start:int, end:int, size:int, bucket:int>>", "doc_id")
@@ -172,7 +179,7 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def cutoffs(scanned: DataFrame, rate: float = RATE) -> dict[int, int]:
-    """Per length class, the p-value bucket from which on strings are called ordinary.
+    """Per class of content and length, the p-value bucket from which on strings are called ordinary.
 
     Benjamini and Hochberg: the greatest p with p <= rate * rank / m, read off the bucket counts with the
     greatest p of each bucket. At most classes x 6,000 rows reach the driver.

@@ -62,8 +62,23 @@ def test_random_strings_are_found_and_ordinary_ones_left(docs_of):
     assert sum(got[i] != "" for i in range(len(keys), len(keys) + len(plain))) <= 6
 
 
-def test_p_values_of_random_strings_are_about_uniform():
+def test_random_strings_of_one_kind_of_character(docs_of):
+    draw = random.Random(11)
+    kinds = (string.ascii_letters, string.ascii_lowercase, string.ascii_uppercase, string.digits, string.ascii_letters + "-_")
+    keys = ["".join(draw.choices(kind, k=30)) for kind in kinds for _ in range(40)]  # digits from 32 on are hex of the base
+    plain = ["supercalifragilisticexpialidocious", "Donaudampfschifffahrtsgesellschaft", "-" * 40, "/usr/share/javascript/modules/index"]
+    plain += ["well-known-and-often-hyphenated-phrases", "snake_case_identifier_of_some_length", "INTERNATIONALIZATIONCONSTANTS", "0" * 30]
+    plain += [f"{i:030d}" for i in range(30)] + ["1234567890123456789012345678"] * 10
+    docs = docs_of(*enumerate([f"x {k} y" for k in keys + plain]))
+    got = {r["doc_id"]: r["spans"] for r in secrets.report(docs).collect()}
+    found = [sum(got[i] == "random:2:32" for i in range(40 * kind, 40 * kind + 40)) for kind in range(len(kinds))]
+    assert min(found[:4]) >= 33 and found[4] >= 25, found
+    assert sum(got[i] != "" for i in range(len(keys), len(keys) + len(plain))) <= 3
+
+
+@pytest.mark.parametrize("name", ["base64", "letters", "lower", "digits"])
+def test_p_values_of_random_strings_are_about_uniform(name):
     draw = random.Random(3)
-    alphabet = secrets._ALPHABETS["base64"]
+    alphabet = secrets._ALPHABETS[name]
     p = [found[1] for found in (secrets.battery("".join(draw.choices(alphabet, k=64))) for _ in range(2000)) if found]
     assert 0.02 < sum(x < 0.05 for x in p) / len(p) < 0.12
