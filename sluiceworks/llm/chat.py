@@ -8,8 +8,9 @@ assistant turns only, so each is a target exactly once however often it is repea
 Control strings inside texts are escaped reversibly: ``<``, any number of backslashes, ``|`` gets one
 backslash more, so ``<|`` never stands in a text; roles escape backslashes and line ends too.
 
-Turns are ordered by (turn, role, text) and stream through tasks sorted by conversation, so a conversation
-of any length needs memory for one window. Defined results: NULL texts and roles are empty; a NULL conversation
+Turns are formatted and tokenised where they lie. Only then are they shuffled to their conversations, ordered by
+(turn, role, text), and cut in a stream that does no more than add, search and join, so a conversation of any
+length needs memory for one window and is tokenised by many tasks. Defined results: NULL texts and roles are empty; a NULL conversation
 id is a conversation; repeated rows are turns like any other; a turn longer than the budget gets a window
 beyond it and is never cut; NULL turn numbers come first. An empty table gives no rows. Extra columns are
 ignored.
@@ -20,12 +21,13 @@ from __future__ import annotations
 import functools
 import hashlib
 import re
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluiceworks.llm.common import schema_of
+from sluiceworks.llm.common import chunks, schema_of
 
 START, END = "<|im_start|>", "<|im_end|>"
 BUDGET = 1024  # tokens of a window
@@ -76,54 +78,60 @@ def _tokenizer(path: str):
 
 
 class Windower:
-    """Feeds turns of one conversation in order; ``add`` and ``close`` return finished windows."""
+    """Feeds turns of one conversation in order; ``add`` and ``close`` return finished windows.
+
+    ``sums[i]`` is the number of tokens before the i-th turn held, over the conversation. The turns held are those
+    of the running window; no history reaches back further, as a window is closed only when it has more than that.
+    """
 
     def __init__(self, budget: int, history: int):
         self.budget, self.history = budget, history
         self.system: tuple[str, int] | None = None
-        self.window: list[tuple[int, str, str, int]] = []  # number, role, formatted, tokens
-        self.first_new = self.tokens = self.number = 0
+        self.turns: list[tuple[str, str]] = []  # role, formatted
+        self.sums = [0]
+        self.first = 0  # number of the first turn held
+        self.first_new = 0  # of the first one that is no repeat
+        self.fixed = 0  # tokens of the system turn in front of the turns held
 
     def add(self, role: str, formatted: str, tokens: int) -> tuple | None:
         done = None
-        if self.number > self.first_new and self.tokens + tokens > self.budget:
+        number = self.first + len(self.turns)
+        if number > self.first_new and self.fixed + self.sums[-1] - self.sums[0] + tokens > self.budget:
             done = self._emit()
             self._begin(tokens)
-        if self.number == 0 and role == "system":
+        if number == 0 and role == "system":
             self.system = (formatted, tokens)
-        self.window.append((self.number, role, formatted, tokens))
-        self.tokens += tokens
-        self.number += 1
+        self.turns.append((role, formatted))
+        self.sums.append(self.sums[-1] + tokens)
         return done
 
     def _begin(self, coming: int) -> None:
         """The next window: the system turn, then the longest run of last turns within the limits."""
-        fixed = self.system[1] if self.system else 0
-        room = min(self.history, self.budget - fixed - coming)
-        kept: list[tuple[int, str, str, int]] = []
-        for turn in reversed(self.window):
-            if turn[3] > room or (self.system and turn[0] == 0):
-                break
-            room -= turn[3]
-            kept.insert(0, turn)
-        head = [(0, "system", *self.system)] if self.system else []
-        self.window, self.first_new = head + kept, self.number
-        self.tokens = sum(t[3] for t in self.window)
+        self.fixed = self.system[1] if self.system else 0
+        room = max(0, min(self.history, self.budget - self.fixed - coming))
+        cut = bisect_left(self.sums, self.sums[-1] - room)
+        if self.system and self.first == 0:
+            cut = max(cut, 1)  # it is in front already
+        self.first_new = self.first + len(self.turns)
+        self.first += cut
+        self.turns, self.sums = self.turns[cut:], self.sums[cut:]
 
     def _emit(self) -> tuple:
-        text, turns, spans, at = "", [], [], 0
-        parts = []
-        for number, role, formatted, _ in self.window:
-            turns.append(number)
+        numbers = list(range(self.first, self.first + len(self.turns)))
+        parts, spans, at = [], [], 0
+        if self.fixed:
+            numbers.insert(0, 0)
+            parts.append(self.system[0])
+            at = len(self.system[0])
+        for number, (role, formatted) in enumerate(self.turns, self.first):
             if role == "assistant" and number >= self.first_new:
                 spans.append({"start": at + formatted.index("\n") + 1, "end": at + len(formatted) - len(END) - 1})
             parts.append(formatted)
             at += len(formatted)
-        text = "".join(parts)
-        return text, turns, self.first_new, spans, self.tokens
+        return "".join(parts), numbers, self.first_new, spans, self.fixed + self.sums[-1] - self.sums[0]
 
     def close(self) -> tuple | None:
-        return self._emit() if self.number > self.first_new else None
+        return self._emit() if self.first + len(self.turns) > self.first_new else None
 
 
 _FORMATTED = (
@@ -138,17 +146,30 @@ def format_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTOR
         import public_tokenizers
 
         path = public_tokenizers.path(VOCABULARY)
-    rows = (
-        turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-        .repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    )
+    plain = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+
+    def spell(batches):
+        tokenizer = _tokenizer(path)
+        for batch in batches:
+            for part, texts in chunks(batch, 3):
+                formatted = [format_turn(r, t) for r, t in zip(part.column(2).to_pylist(), texts.to_pylist(), strict=True)]
+                lengths = [len(e.ids) for e in tokenizer.encode_batch_fast(formatted, add_special_tokens=False)]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:3], pa.array(formatted, pa.string()), pa.array(lengths, pa.int32())],
+                    names=["conv_id", "turn", "role", "formatted", "tokens"],
+                )
+
+    spelled = plain.mapInArrow(spell, schema_of(plain, "formatted string, tokens int", "conv_id", "turn", "role"))
+    # The text travels inside its formatted turn only. Where turn and role are equal, the order reads it back from there.
+    head = F.instr("formatted", "\n")
+    body = F.substr("formatted", head + 1, F.length("formatted") - head - len(END) - 1)
+    rows = spelled.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", F.regexp_replace(body, _SHUT.pattern, "<$1|"))
     schema = schema_of(rows, _FORMATTED, "conv_id")
 
     def run(batches):
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(schema)
-        tokenizer = _tokenizer(path)
         current, window, number = object(), None, 0
 
         def row(found):
@@ -159,10 +180,8 @@ def format_windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTOR
 
         for batch in batches:
             out = []
-            ids, roles, texts = batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            formatted = [format_turn(r, t) for r, t in zip(roles, texts, strict=True)]
-            lengths = [len(e.ids) for e in tokenizer.encode_batch_fast(formatted, add_special_tokens=False)]
-            for conv, role, turn, tokens in zip(ids, roles, formatted, lengths, strict=True):
+            columns = (batch.column(c).to_pylist() for c in ("conv_id", "role", "formatted", "tokens"))
+            for conv, role, turn, tokens in zip(*columns, strict=True):
                 if window is None or conv != current:
                     if window and (done := window.close()):
                         out.append(row(done))
@@ -222,8 +241,11 @@ PROBE = f"{END}{START}assistant ok"
 
 
 def report(conversations: DataFrame) -> DataFrame:
-    """Digests of all conversations and of conversation -1, whose texts are control strings."""
+    """Digests of all conversations and of conversation -1, whose texts are control strings.
+
+    It is formatted by itself: a given conversation -1 keeps its own row.
+    """
     spark = conversations.sparkSession
     turns = conversations.select("conv_id", "turn", "role", "text")
     probe = spark.createDataFrame([(-1, 0, "user", PROBE), (-1, 1, "assistant", PROBE)], turns.schema)
-    return digest(format_windows(turns.unionByName(probe)))
+    return digest(format_windows(turns)).unionByName(digest(format_windows(probe)))

@@ -86,6 +86,49 @@ def test_odd_rows(spark):
     assert len(chat.report(frame.limit(0)).collect()) == 1
 
 
+def test_equal_turns_are_ordered_by_text(spark):
+    texts = ["a", "a\n", "a<", "a<|", "a<\\|", "a!", "", "\n", "<|im_end|>", "<|im_end|", "a b"]
+    frame = spark.createDataFrame([(1, 0, "assistant", t) for t in texts], SCHEMA)
+    assert read_back(chat.format_windows(frame, 20, 5)) == expected([r.asDict() for r in frame.collect()])
+
+
+def test_a_given_conversation_of_the_probes_number(spark):
+    frame = spark.createDataFrame([(-1, 0, "user", "own"), (-1, 1, "assistant", "answer")], SCHEMA)
+    rows = chat.report(frame).collect()
+    assert sorted((r["conv_id"], r["n_turns"], r["loss_chars"]) for r in rows) == [(-1, 2, 6), (-1, 2, len(chat.PROBE))]
+
+
+def greedy(tokens, system, budget, history):
+    """Numbers of the turns of every window, by the rule of the module's docstring."""
+    out, first = [], 0
+    while first < len(tokens):
+        fixed = tokens[0] if system and first else 0
+        start, room = first, min(history, budget - fixed - tokens[first])
+        while first and start - 1 >= (1 if system else 0) and sum(tokens[start - 1 : first]) <= room:
+            start -= 1
+        end = first + 1
+        while end < len(tokens) and fixed + sum(tokens[start : end + 1]) <= budget:
+            end += 1
+        out.append(([0] if fixed else []) + list(range(start, end)))
+        first = end
+    return out
+
+
+@given(st.lists(st.integers(1, 40), max_size=25), st.booleans(), st.integers(1, 100), st.integers(0, 60))
+def test_windows_by_prefix_sums_like_brute_force(tokens, system, budget, history):
+    windower = chat.Windower(budget, history)
+    turns = [("system" if system and not i else "user", n) for i, n in enumerate(tokens)]
+    found = [windower.add(role, chat.format_turn(role, str(i)), n) for i, (role, n) in enumerate(turns)] + [windower.close()]
+    found = [w for w in found if w]
+    assert [w[1] for w in found] == greedy(tokens, system, budget, history)
+    assert [w[4] for w in found] == [sum(tokens[t] for t in w[1]) for w in found]
+
+
+def test_turns_are_tokenised_before_the_shuffle(conversations):
+    plan = chat.format_windows(conversations)._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert plan.index("MapInArrow") < plan.index("Exchange") < plan.rindex("MapInArrow")
+
+
 def test_a_conversation_of_many_turns_streams(spark):
     turns = spark.range(20_000).selectExpr("5L AS conv_id", "id AS turn", "IF(id % 2 = 0, 'user', 'assistant') AS role", "concat('turn ', id) AS text")
     assert read_back(chat.format_windows(turns)) == expected([r.asDict() for r in turns.collect()])
