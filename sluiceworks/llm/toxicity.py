@@ -8,14 +8,15 @@ Kneser-Ney model
 
 whose lower orders are shared: continuation counts of both classes together, smoothed down to a uniform
 distribution. So a rare expression is judged by its class only as far as its own counts go and
-otherwise by what both classes have in common; where the toxic class has not seen the context, both models use
-the shared counts and the difference is 0. The difference of the two log-likelihoods is added up per word. Classes
+otherwise by what both classes have in common. Where an n-gram is new and its context is not, the shared counts
+cancel out and the difference is that of the two backoff weights, ``D * T(h) / n(h)`` (1 in a class that has not seen the
+context). Where the toxic class has not seen the context, both models use the shared counts and the difference is 0. The difference of the two log-likelihoods is added up per word. Classes
 also differ a little in languages and styles, which tilts every word, so what counts is the part of a word's
 difference beyond ``MARGIN``. Its mean over the words of a text is the length-normalised evidence, turned into a
 probability by a logistic curve fitted on labelled documents that the models have not seen.
 
 Counts, continuation counts and models are Spark aggregations. The table of log-likelihood ratios is broadcast
-if it has at most ``BROADCAST_GRAMS`` rows (12 bytes each); a larger one is joined by shuffle.
+if it has at most ``BROADCAST_GRAMS`` rows of n-grams and contexts (12 bytes each); a larger one is joined by shuffle.
 
 Defined results: NULL and empty texts and texts without a word have no evidence. Labels are used for
 rows outside fold 1 only; NULL labels teach nothing, and of repeated labels the greatest counts. Without labels
@@ -36,7 +37,7 @@ from sluiceworks.llm.common import chunks, fmix, held_out, schema_of, store
 from sluiceworks.llm.language import letter_codes
 
 ORDER = 8
-MARGIN = 2.0  # nats by which a word must speak for toxic to count
+MARGIN = 3.5  # nats by which a word must speak for toxic to count; least mean log loss on calibration rows of two table sizes
 FLOOR = 0.005  # evidence per word that is as good as none
 DISCOUNT = 0.75
 BROADCAST_GRAMS = 4_000_000
@@ -60,11 +61,12 @@ def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(codes, times), np.cumsum(times)[ends - 1]
 
 
-def _hashes(codes: np.ndarray) -> np.ndarray:
-    n = len(codes) - ORDER + 1
+def _hashes(codes: np.ndarray, size: int = ORDER) -> np.ndarray:
+    """Of the ``size``-grams that begin at each place."""
+    n = len(codes) - size + 1
     out = np.zeros(max(n, 0), np.uint64)
     wide = codes.astype(np.uint64)
-    for k in range(ORDER if n > 0 else 0):
+    for k in range(size if n > 0 else 0):
         out *= np.uint64(0x100000001B3)
         out += wide[k : k + n]
     return fmix(out)
@@ -82,8 +84,14 @@ def _places(codes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def gram_hash(grams: list[str]) -> np.ndarray:
-    codes = np.frombuffer("".join(grams).encode("utf-32-le", "surrogatepass"), "<u4")
-    return _hashes(codes)[::ORDER] if grams else np.zeros(0, np.uint64)
+    """Hashes of n-grams and of contexts, which are one character shorter."""
+    out = np.zeros(len(grams), np.uint64)
+    lengths = np.array([len(g) for g in grams], np.int64)
+    for size in (ORDER, ORDER - 1):
+        at = np.flatnonzero(lengths == size)
+        codes = np.frombuffer("".join(grams[i] for i in at).encode("utf-32-le", "surrogatepass"), "<u4")
+        out[at] = _hashes(codes, size)[::size]
+    return out
 
 
 def _merge(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -152,24 +160,33 @@ def shared_orders(grams: DataFrame) -> DataFrame:
 
 
 def ratios(grams: DataFrame) -> DataFrame:
-    """Stored ``gram, ratio``: log p(x | h, toxic) - log p(x | h, ordinary)."""
+    """Stored ``gram, ratio``: log p(x | h, toxic) - log p(x | h, ordinary) of n-grams hx that were seen.
+
+    A context h, one character shorter, is there too, with the ratio of every hx that was not seen.
+    """
     head, tail = F.left("gram", F.lit(ORDER - 1)), F.right("gram", F.lit(ORDER - 1))
-    contexts = grams.groupBy(head.alias("h")).agg(
-        F.sum("n_ord").alias("s_ord"), F.sum("n_tox").alias("s_tox"),
-        F.count_if(F.col("n_ord") > 0).alias("t_ord"), F.count_if(F.col("n_tox") > 0).alias("t_tox"),
+    contexts = store(
+        grams.groupBy(head.alias("h")).agg(
+            F.sum("n_ord").alias("s_ord"), F.sum("n_tox").alias("s_tox"),
+            F.count_if(F.col("n_ord") > 0).alias("t_ord"), F.count_if(F.col("n_tox") > 0).alias("t_tox"),
+        ).filter("s_tox > 0"), "contexts",
     )
     joined = (
         grams.select("*", head.alias("h"), tail.alias("lower")).join(contexts, "h")
         .join(shared_orders(grams).select(F.col("gram").alias("lower"), "p"), "lower")
     )
 
-    joined = joined.filter(F.col("s_tox") > 0)
-
     def log_p(side: str):
         mass = F.greatest(F.col(f"n_{side}") - DISCOUNT, F.lit(0.0)) + DISCOUNT * F.col(f"t_{side}") * F.col("p")
         return F.log(F.when(F.col(f"s_{side}") > 0, mass / F.col(f"s_{side}")).otherwise(F.col("p")))
 
-    return store(joined.select("gram", (log_p("tox") - log_p("ord")).alias("ratio")), "ratios")
+    def log_backoff(side: str):
+        weight = DISCOUNT * F.col(f"t_{side}") / F.col(f"s_{side}")
+        return F.when(F.col(f"s_{side}") > 0, F.log(weight)).otherwise(0.0)
+
+    seen = joined.select("gram", (log_p("tox") - log_p("ord")).alias("ratio"))
+    unseen = contexts.select(F.col("h").alias("gram"), (log_backoff("tox") - log_backoff("ord")).alias("ratio"))
+    return store(seen.unionByName(unseen), "ratios")
 
 
 # ---------------------------------------------------------------- scores
@@ -193,15 +210,20 @@ class Table:
         order = np.argsort(keys)
         return Table(keys[order], values[order])
 
+    def _look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        place = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
+        known = self.keys[place] == hashes
+        return np.where(known, self.values[place], 0.0), known
+
     def evidence(self, texts: list[str]) -> np.ndarray:
         """Mean over the words of each text of what their log-likelihood differences exceed the margin by."""
         codes, ends = _codes(texts)
         at, text = _places(codes, ends)
         if not len(at) or not len(self.keys):
             return np.zeros(len(texts))
-        found = _hashes(codes)[at]
-        place = np.minimum(np.searchsorted(self.keys, found), len(self.keys) - 1)
-        value = np.where(self.keys[place] == found, self.values[place], 0.0)
+        value, known = self._look_up(_hashes(codes)[at])
+        new = np.flatnonzero(~known)
+        value[new] = self._look_up(_hashes(codes, ORDER - 1)[at[new]])[0]
         begins = np.flatnonzero(codes[at + ORDER - 2] == 0x20)  # the n-gram of a word's first character
         words = np.maximum(0, np.add.reduceat(value, begins) - MARGIN)
         text = text[begins]
@@ -251,22 +273,27 @@ def _by_join(rows: DataFrame, table: DataFrame, others: list[str]) -> DataFrame:
 
     def spell(batches):
         for batch in batches:
-            word, gram = [], []
+            word, place, gram = [], [], []
             for w in batch.column(0).to_pylist():
                 padded = " " * (ORDER - 1) + w + " "
-                gram += [padded[i : i + ORDER] for i in range(len(padded) - ORDER + 1)]
-                word += [w] * (len(padded) - ORDER + 1)
-            yield pa.RecordBatch.from_arrays([pa.array(word, pa.string()), pa.array(gram, pa.string())], names=["word", "gram"])
+                n = len(padded) - ORDER + 1
+                for size in (ORDER, ORDER - 1):
+                    gram += [padded[i : i + size] for i in range(n)]
+                    place += range(n)
+                    word += [w] * n
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(word, pa.string()), pa.array(place, pa.int32()), pa.array(gram, pa.string())], names=["word", "place", "gram"]
+            )
 
     words = numbered.select("_row", "text").mapInArrow(split, "_row long, word string, n long")
-    spelled = words.select("word").distinct().mapInArrow(spell, "word string, gram string")
+    spelled = words.select("word").distinct().mapInArrow(spell, "word string, place int, gram string")
     # Every word begins with one of a few n-grams, so each of those meets copies of its table row.
     parts = 64
     salted = spelled.withColumn("_part", F.pmod(F.xxhash64("word"), F.lit(parts)).cast("int"))
     copies = table.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    telling = (
-        salted.join(copies, ["gram", "_part"]).groupBy("word").agg((F.sum("ratio") - MARGIN).alias("beyond")).filter("beyond > 0")
-    )
+    # At each place the n-gram counts if it is in the table, else its context. A word is as long as its own letters.
+    placed = salted.join(copies, ["gram", "_part"]).repartition("word").groupBy("word", "place").agg(F.max_by("ratio", F.length("gram")).alias("ratio"))
+    telling = placed.groupBy("word").agg((F.sum("ratio") - MARGIN).alias("beyond")).filter("beyond > 0")
     sizes = words.groupBy("_row").agg(F.sum("n").alias("words"))
     summed = words.join(telling, "word").groupBy("_row").agg(F.sum(F.col("n") * F.col("beyond")).alias("beyond"))
     found = numbered.drop("text").join(sizes, "_row", "left").join(summed, "_row", "left")

@@ -66,6 +66,9 @@ def test_ratios_like_brute_force(spark):
         lower = shared(gram[1:], set(here)) if len(gram) > 1 else 1 / len(here)
         return (max(here[gram] - d, 0) + d * len(beside) * lower) / sum(beside)
 
+    def backoff(beside):
+        return math.log(d * len(beside) / sum(beside)) if beside else 0.0
+
     want = {}
     for g in both:
         p, logs = shared(g[1:], both), []
@@ -75,17 +78,19 @@ def test_ratios_like_brute_force(spark):
             logs.append(math.log(mass / sum(beside[side]) if beside[side] else p))
         if beside[1]:
             want[g] = logs[1] - logs[0]
+            want[g[:-1]] = backoff(beside[1]) - backoff(beside[0])
     got = {r["gram"]: r["ratio"] for r in toxicity.ratios(grams).collect()}
     assert got == pytest.approx(want)
 
 
 def test_evidence_by_broadcast_and_by_join(spark, odd, documents):
-    table = spark.createDataFrame([(g, 0.4 + len(g.strip()) / 10) for w in ("same", "text", "word1x1") for g in set(spell(w))], "gram string, ratio double")
+    known = {g for w in ("same", "text", "word1x1") for g in spell(w)} | {g[:-1] for w in ("same", "word1", "there", "w") for g in spell(w)}
+    table = spark.createDataFrame([(g, 0.4 + len(g.strip()) / 10) for g in known], "gram string, ratio double")
     table = table.groupBy("gram").agg({"ratio": "max"}).toDF("gram", "ratio").cache()
     ratio = {r["gram"]: np.float32(r["ratio"]) for r in table.collect()}
 
     def brute(text):
-        found = [max(0.0, sum(float(ratio.get(g, 0)) for g in spell(w)) - toxicity.MARGIN) for w in words(text or "")]
+        found = [max(0.0, sum(float(ratio.get(g, ratio.get(g[:-1], 0))) for g in spell(w)) - toxicity.MARGIN) for w in words(text or "")]
         return sum(found) / len(found) if found else 0.0
 
     for docs in (odd.select("doc_id", "text"), documents.limit(40).select("doc_id", "text")):
@@ -96,6 +101,38 @@ def test_evidence_by_broadcast_and_by_join(spark, odd, documents):
             assert [g[1] for g in got] == pytest.approx([w[1] for w in want], abs=1e-5)
 
 
+def test_whole_texts_with_unseen_n_grams_like_the_two_models(spark, docs_of):
+    rows = [("fools and idiots you fool", 1), ("a foolish food idea, idle tool", 0), ("idiot fooling", 1), ("food for all of you", 0)]
+    table = toxicity.ratios(toxicity.count_grams(spark.createDataFrame(rows, "text string, toxic int")))
+    counts = [Counter(), Counter()]
+    for text, side in rows:
+        for word in words(text):
+            counts[side].update(spell(word))
+    d, stored = toxicity.DISCOUNT, {r["gram"]: r["ratio"] for r in table.collect()}
+
+    def difference(gram):
+        """Of two models that are asked for any character; only what was seen needs the shared counts."""
+        if gram in counts[0] or gram in counts[1]:
+            return stored.get(gram, 0.0)
+        beside = [[n for g, n in c.items() if g[:-1] == gram[:-1]] for c in counts]
+        if not beside[1]:
+            return 0.0
+        shared = 0.123  # whatever it is
+        p = [d * len(b) * shared / sum(b) if b else shared for b in beside]
+        return math.log(p[1]) - math.log(p[0])
+
+    texts = ["fooled idiotic fools", "idiotsx fooly foolishness", "unseen words only", "you foox", ""]
+    want = []
+    for text in texts:
+        found = [max(0.0, sum(map(difference, spell(w))) - toxicity.MARGIN) for w in words(text)]
+        want.append(sum(found) / len(found) if found else 0.0)
+    assert any(g not in counts[0] | counts[1] and difference(g) for t in texts for w in words(t) for g in spell(w))
+    docs = docs_of(*enumerate(texts)).select("doc_id", "text")
+    for limit in (toxicity.BROADCAST_GRAMS, 0):
+        got = {r["doc_id"]: r["evidence"] for r in toxicity.evidence(docs, table, limit).collect()}
+        assert [got[i] for i in range(len(texts))] == pytest.approx(want, abs=1e-5)
+
+
 def test_odd_rows_and_missing_labels(spark, odd):
     labels = spark.createDataFrame([(1, None), (None, 1), (7, 1), (7, 0), (99, 1)], "doc_id long, toxic int")
     assert len(toxicity.score(odd, labels).collect()) == odd.count()
