@@ -11,6 +11,7 @@ from sluiceworks.operators.keyed import LIMITS, Findings, Limits, attach, settle
 from sluiceworks.sources.raw import ROW_ID, well_formed
 
 
+VERDICT_BYTES = 16
 KEEPER_BYTES = 512
 
 
@@ -22,7 +23,12 @@ def repeated_keys(raw: DataFrame, contract: Contract, limits: Limits = LIMITS) -
 
 
 def key_verdicts(suspects: DataFrame, contract: Contract, limits: Limits = LIMITS) -> DataFrame:
-    """Per repeated key: are all copies the same values, and which row is the one to keep.
+    """Per repeated key: are all copies the same values, and which row is the one to keep."""
+    return counted_verdicts(suspects, contract, limits)[0]
+
+
+def counted_verdicts(suspects: DataFrame, contract: Contract, limits: Limits = LIMITS) -> tuple[DataFrame, int]:
+    """The same, and how many of the keys may have a row to keep.
 
     The smallest and the greatest hash of the values tell most conflicts, with three numbers of state per key. Only
     keys whose copies have one hash are looked at again, value by value.
@@ -37,12 +43,13 @@ def key_verdicts(suspects: DataFrame, contract: Contract, limits: Limits = LIMIT
     told = sizes.frame.where("NOT _equal").select(
         *key, "_copies", F.lit(False).alias("_alike"), F.lit(None).cast(keeper).alias("_keeper")
     )
-    if equal.isEmpty():
-        return told
+    keepers = equal.count()
+    if keepers == 0:
+        return told, 0
     # A part of the keys measured above, so their size bounds it.
     again = attach(suspects.drop("_copies"), equal.select(*key, "_copies"), sizes)
     again = again.where(F.col("_copies").isNotNull()).drop("_copies")
-    return told.unionByName(exact_verdicts(again, contract))
+    return told.unionByName(exact_verdicts(again, contract)), keepers
 
 
 def exact_verdicts(suspects: DataFrame, contract: Contract) -> DataFrame:
@@ -89,10 +96,11 @@ def with_duplicate_findings(
     """
     if repeated.rows == 0:
         return rows, []
-    verdicts = key_verdicts(suspect_rows(raw, contract, repeated), contract, repeated.limits)
+    verdicts, keepers = counted_verdicts(suspect_rows(raw, contract, repeated), contract, repeated.limits)
     several = F.col("_copies") > 1
-    # A verdict names the row to keep by file and place.
-    return attach(rows, verdicts, repeated, KEEPER_BYTES), [
+    # A verdict on copies that are alike names the row to keep by file and place; conflicts have none.
+    payload = VERDICT_BYTES + KEEPER_BYTES * keepers / repeated.rows
+    return attach(rows, verdicts, repeated, payload), [
         F.when(several & F.col("_alike") & (F.col(ROW_ID) != F.col("_keeper")), "exact_duplicate"),
         F.when(several & ~F.col("_alike"), "key_conflict"),
     ]

@@ -102,10 +102,10 @@ def renamed(frame: DataFrame, keys: list[str], prefix: str) -> DataFrame:
     return frame.withColumnsRenamed({k: prefix + k for k in keys})
 
 
-def attach(rows: DataFrame, found: DataFrame, sizes: Findings, payload: int = 16) -> DataFrame:
+def attach(rows: DataFrame, found: DataFrame, sizes: Findings, payload: float = 16) -> DataFrame:
     """Left join of ``found`` (one row per key of ``sizes``) to ``rows``; NULL keys match NULL keys.
 
-    ``found`` holds no keys beyond those of ``sizes`` and about ``payload`` bytes beside each, which count
+    ``found`` holds no keys beyond those of ``sizes`` and on average ``payload`` bytes beside each, which count
     where it is to be broadcast. ``rows`` must carry ``_row_id``.
     """
     keys, prefix = list(sizes.keys), "_found_"

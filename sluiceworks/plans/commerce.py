@@ -229,7 +229,7 @@ def dirty_orders(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.col("o_custkey").cast("string"))
         .alias("custKey"),
         F.when(every(107), "n/a").when(every(109), "-1").otherwise(price).alias("totalPrice"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("orderDate"),
+        F.col("o_orderdate").cast("date").cast("string").alias("orderDate"),
         F.when(every(89), NULL_MARKER).otherwise(F.col("o_orderpriority")).alias("orderPriority"),
         F.explode(copies).alias("_copy"),
         ROW_ID,
@@ -249,7 +249,7 @@ def camel_orders(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_orderkey").cast("string").alias("orderKey"),
         F.col("o_custkey").cast("string").alias("custKey"),
         F.floor("o_totalprice").cast("bigint").cast("string").alias("totalPrice"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("orderDate"),
+        F.col("o_orderdate").cast("date").cast("string").alias("orderDate"),
         F.col("o_orderpriority").alias("orderPriority"),
         ROW_ID,
     )

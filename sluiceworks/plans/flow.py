@@ -164,8 +164,9 @@ def build(
     def look(name: str):
         return name, repeated_keys(raw[name], contracts[name], limits)
 
-    # Without large parents, keys can be looked at before the parents are there.
-    alone = [n for n, c in contracts.items() if not any(_may_be_large(raw[r.parent], limits) for r in c.references)]
+    def sized(name: str) -> tuple[str, bool]:
+        return name, _may_be_large(raw[name], limits)
+
     def one(name: str) -> tuple[str, Stored]:
         contract = contracts[name]
         parents = {r.parent: done[r.parent].as_parent() for r in contract.references}
@@ -174,6 +175,10 @@ def build(
 
     waves = build_order(contracts)
     with ThreadPool(parallel) as pool:
+        parents = sorted({r.parent for c in contracts.values() for r in c.references})
+        large = dict(pool.map(inheritable_thread_target(spark)(sized), parents, chunksize=1))
+        # Without large parents, keys can be looked at before the parents are there.
+        alone = [n for n, c in contracts.items() if not any(large[r.parent] for r in c.references)]
         repeated = dict(pool.map(inheritable_thread_target(spark)(look), alone, chunksize=1))
         for wave in waves:
             done.update(pool.map(inheritable_thread_target(spark)(one), wave, chunksize=1))

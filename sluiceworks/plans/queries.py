@@ -59,7 +59,12 @@ def _ancestors(names: tuple[str, ...]) -> set[str]:
 def stored(spark: SparkSession, folder: str, *names: str) -> dict[str, Stored]:
     """Builds and stores the named datasets and everything they refer to."""
     wanted = _ancestors(names)
-    raw = {n: commerce.raw_table(spark, folder, n, keep_native=True) for n in wanted}
+
+    def scan(name: str) -> tuple[str, DataFrame]:
+        return name, commerce.raw_table(spark, folder, name, keep_native=True)
+
+    with ThreadPool(8) as pool:
+        raw = dict(pool.map(inheritable_thread_target(spark)(scan), sorted(wanted), chunksize=1))
     return build(spark, raw, {n: C[n] for n in C if n in wanted})
 
 
