@@ -18,9 +18,6 @@ SETTINGS = {
     "spark.sql.maxConcurrentOutputFileWriters": "4",
     # Checkpoints of key findings are removed once nothing refers to them.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
-    # HotSpot does not compile methods of more bytecode than this. The split write of a wide table has such, and one
-    # that is interpreted is slower than operators compiled one by one.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Independent tables are submitted from several threads.
     "spark.scheduler.mode": "FAIR",
 }
