@@ -14,6 +14,8 @@ from sluiceworks.operators.keyed import LIMITS, Findings, Limits, settle
 from sluiceworks.session import checkpoint_folder
 from sluiceworks.sources.raw import MALFORMED
 
+BUCKETS = 16_384
+
 
 def census(
     raw: DataFrame, contract: Contract, references: Sequence[str], limits: Limits = LIMITS, keys: bool = True
@@ -46,3 +48,27 @@ def census(
         return None, used
     repeated = counted.where(F.col("_out__good") == 0).select(*contract.key, F.col("_n").alias("_copies"))
     return settle(repeated, list(contract.key), "_copies", limits), used
+
+
+def weighed(
+    raw: DataFrame, contract: Contract, column: str, references: Sequence[str]
+) -> tuple[int, int, dict[str, DataFrame]]:
+    """Rows in all, the most that one value of ``column`` can have, and the values of the other columns as ``census`` has them.
+
+    Values of ``column`` are counted by hash buckets, a few thousand numbers a task: a bucket has no fewer rows than any of
+    its values.
+    """
+    checkpoint_folder(raw.sparkSession)
+    values = {c: f"_used_{c}" for c in references}
+    bucket = F.pmod(F.xxhash64(column), F.lit(BUCKETS)).cast("int").alias("_bucket")
+    rows = typed(raw, contract).select(bucket, *[F.col(c).alias(v) for c, v in values.items()])
+    columns = ["_bucket", *values.values()]
+    counted = rows.groupingSets([[F.col(c)] for c in columns], *columns).agg(
+        F.count("*").alias("_n"), *[F.grouping(c).alias(f"_out_{c}") for c in columns]
+    )
+    counted = counted.checkpoint()
+    size = counted.where("_out__bucket = 0").agg(F.sum("_n").alias("rows"), F.max("_n").alias("most")).first()
+    used = {
+        c: counted.where(F.col(f"_out_{v}") == 0).select(F.col(v).alias(c), F.col("_n").alias("_uses")) for c, v in values.items()
+    }
+    return size.rows or 0, size.most or 0, used

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -30,6 +32,27 @@ def typed(raw: DataFrame, contract: Contract) -> DataFrame:
     return raw.selectExpr(*originals, *kept).selectExpr("*", *values)
 
 
+def typed_by(raw: DataFrame, contract: Contract, by: Sequence[str], parts: int | None = None) -> DataFrame:
+    """The rows of ``typed`` with those of equal ``by`` (key columns) in one partition.
+
+    Only the key is typed before the rows travel; an original that is the key's value does not travel beside it.
+    """
+    keys = [c for c in contract.columns if c.name in contract.key]
+    others = [c for c in contract.columns if c.name not in contract.key]
+    told = [original(c.source) for c in keys if _is_original(raw, c)]
+    rows = typed(raw, contract)
+    moved = rows.drop(*told, *[c.name for c in others]).repartition(*([parts] if parts else []), *by)
+    values = [f"{value_of(c, f'`{original(c.source)}`')} AS `{c.name}`" for c in others]
+    back = [f"`{c.name}` AS `{original(c.source)}`" for c in keys if original(c.source) in told]
+    return moved.selectExpr("*", *back, *values).select(*[f"`{c}`" for c in rows.columns])
+
+
+def _is_original(raw: DataFrame, column: Column) -> bool:
+    """Whether the typed value is the original as it is; zeros lose their sign."""
+    same = native(column.source) in raw.columns and raw.schema[native(column.source)].dataType == column.type
+    return same and not isinstance(column.type, T.FloatType | T.DoubleType)
+
+
 def read_from(raw: DataFrame, column: Column) -> str:
     """The value a raw text was printed from if its cast is the same as that of the text, else the unmarked text."""
     if native(column.source) in raw.columns:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime
@@ -10,15 +11,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluiceworks.contract import Contract
-from sluiceworks.operators.checks import FOUND, original, typed, with_row_findings
-from sluiceworks.operators.census import census
-from sluiceworks.operators.duplicates import with_duplicate_findings
+from sluiceworks.operators.checks import FOUND, original, typed, typed_by, with_row_findings
+from sluiceworks.operators.census import census, weighed
+from sluiceworks.operators.duplicates import with_duplicate_findings, with_findings_in_place
 from sluiceworks.operators.keyed import LIMITS, Findings, Limits
 from sluiceworks.operators.references import Parent, large_references, with_reference_findings
 from sluiceworks.sources.raw import MALFORMED, PROVENANCE, ROW_ID
 
 REASONS = "_reasons"
 QUARANTINED_AT = "_quarantined_at"
+PART_ROWS = 500_000
 
 
 @dataclass(frozen=True)
@@ -73,14 +75,31 @@ def gate(
     """
     if ROW_ID not in raw.columns:
         raise ValueError(f"{contract.dataset}: raw rows need {ROW_ID}; see sources.with_row_id")
-    base = with_row_findings(typed(raw, contract), contract)
-    large = large_references(contract, dict(parents or {}), limits)
-    if repeated is None:
-        repeated, used = census(raw, contract, large, limits)
+    known = dict(parents or {})
+    large = large_references(contract, known, limits)
+    together, by, parts = next((c for c in large if c in contract.key), None), None, None
+    if together:
+        total, most, used = weighed(raw, contract, together, [c for c in large if c != together])
+        if most <= limits.task_rows:
+            by, parts = [together], _parts(raw, total)
+        else:
+            together = None
+    if not by:
+        if repeated is None:
+            repeated, used = census(raw, contract, large, limits)
+        else:
+            _, used = census(raw, contract, large, limits, keys=False)
+        if not repeated.small and repeated.heaviest <= limits.task_rows:
+            by = contract.key
+    if by:
+        # The rows travel once, and all their copies (and the parent's key) are there when they arrive.
+        base = with_row_findings(typed_by(raw, contract, by, parts), contract)
+        rows, copies = with_findings_in_place(base, contract)
+        rows, orphans = with_reference_findings(rows, contract, known, used, limits, together)
     else:
-        _, used = census(raw, contract, large, limits, keys=False)
-    rows, orphans = with_reference_findings(base, contract, dict(parents or {}), used, limits)
-    rows, copies = with_duplicate_findings(rows, contract, raw, repeated)
+        base = with_row_findings(typed(raw, contract), contract)
+        rows, orphans = with_reference_findings(base, contract, known, used, limits)
+        rows, copies = with_duplicate_findings(rows, contract, raw, repeated)
     reasons = F.col(FOUND)
     if orphans or copies:
         reasons = F.concat_ws(",", F.nullif(F.col(FOUND), F.lit("")), *orphans, *copies)
@@ -88,6 +107,11 @@ def gate(
     return Staged(contract, rows.select(*[f"`{c}`" for c in staged], reasons.alias(REASONS)))
 
 
+def _parts(raw: DataFrame, rows: int) -> int:
+    """Partitions of rows that can be sorted in memory, not fewer than the session's."""
+    return max(int(raw.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows / PART_ROWS))
+
+
 def reason_counts(rejected: DataFrame) -> DataFrame:
     """``(reason, rows)`` from the comma-joined reasons of a quarantine."""
     return (

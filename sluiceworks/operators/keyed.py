@@ -42,6 +42,7 @@ class Findings:
     rows: int
     key_bytes: int
     total_weight: int
+    heaviest: int
     limits: Limits
 
     def prefixed(self, prefix: str) -> Findings:
@@ -68,10 +69,11 @@ def settle(frame: DataFrame, keys: list[str], weight: str, limits: Limits = LIMI
         F.count("*").alias("rows"),
         F.sum(text_bytes(keys)).alias("key_bytes"),
         F.sum(weight).alias("weight"),
+        F.max(weight).alias("heaviest"),
     ).checkpoint()
     sizes = seen.get
     return Findings(
-        stored, tuple(keys), weight, sizes["rows"], sizes["key_bytes"] or 0, sizes["weight"] or 0, limits
+        stored, tuple(keys), weight, sizes["rows"], sizes["key_bytes"] or 0, sizes["weight"] or 0, sizes["heaviest"] or 0, limits
     )
 
 

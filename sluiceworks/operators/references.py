@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -39,14 +40,14 @@ def _flag(column: str) -> str:
     return f"_orphan_{column}"
 
 
-def _by_parent_values(rows: DataFrame, ref: Reference, parent: Parent) -> DataFrame:
+def _by_parent_values(rows: DataFrame, ref: Reference, parent: Parent, hint: Callable = F.broadcast) -> DataFrame:
     """Existence join: the parent's key values, few enough to broadcast, are probed in place."""
     known = parent.values(ref.parent_column).select(
         F.col(ref.parent_column).alias("_known"), F.lit(True).alias("_exists")
     )
     orphan = F.col(ref.column).isNotNull() & F.col("_exists").isNull()
     return (
-        rows.join(F.broadcast(known), F.col(ref.column) == F.col("_known"), "left")
+        rows.join(hint(known), F.col(ref.column) == F.col("_known"), "left")
         .withColumn(_flag(ref.column), orphan)
         .drop("_known", "_exists")
     )
@@ -76,18 +77,20 @@ def large_references(contract: Contract, parents: dict[str, Parent], limits: Lim
 
 
 def with_reference_findings(
-    rows: DataFrame, contract: Contract, parents: dict[str, Parent], used: dict[str, DataFrame], limits: Limits = LIMITS
+    rows: DataFrame, contract: Contract, parents: dict[str, Parent], used: dict[str, DataFrame], limits: Limits = LIMITS,
+    together: str | None = None,
 ) -> tuple[DataFrame, list]:
     """Adds one flag per reference and returns the matching ``orphan_`` expressions, in order.
 
-    ``used`` has the counted values (``_uses``) of the columns with a large parent.
+    ``used`` has the counted values (``_uses``) of the columns with a large parent. The rows lie together by the column
+    ``together``: what it refers to comes to them, before they move on.
     """
-    found = []
-    for ref in contract.references:
+    for ref in sorted(contract.references, key=lambda r: r.column != together):
         parent = parents[ref.parent]
-        if ref.column in used:
+        if ref.column == together:
+            rows = _by_parent_values(rows, ref, parent, lambda known: known)
+        elif ref.column in used:
             rows = _by_used_values(rows, used[ref.column], ref, parent, limits)
         else:
             rows = _by_parent_values(rows, ref, parent)
-        found.append(F.when(F.col(_flag(ref.column)), f"orphan_{ref.column}"))
-    return rows, found
+    return rows, [F.when(F.col(_flag(r.column)), f"orphan_{r.column}") for r in contract.references]

@@ -217,3 +217,38 @@ def test_values_kept_beside_their_texts_change_nothing(spark, folder):
             audit.union_all([audit.fingerprint(s.trusted, "trusted"), audit.fingerprint(s.rejected, "quarantine")]) for s in staged
         ]
         audit.require(audit.reproducible(*prints), "identical", name)
+
+
+def _one_way():
+    """Limits under which nothing is broadcast and no key is heavy."""
+    from dataclasses import replace
+
+    return replace(TINY, task_rows=5_000_000)
+
+
+def test_rows_travel_once(spark):
+    """Repeated keys and a parent that are too many to be broadcast move the rows once, and the parent's keys."""
+    rows = [("1", str(i // 2), str(i % 3), None, None) for i in range(60)] + [("9", "1", None, None, None)]
+    plan = laps(spark, rows, _one_way()).rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY") == 1 and plan.count("ENSURE_REQUIREMENTS") <= 1
+    alone = Contract(LAPS.dataset, LAPS.ddl, LAPS.key, LAPS.rules)
+    plan = gate(raw_rows(spark, LAPS, rows), alone, limits=_one_way()).rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY") == 1 and "ENSURE_REQUIREMENTS" not in plan
+
+
+def test_rows_that_travel_get_the_same_reasons(spark):
+    """NULL keys, copies that are alike, conflicts, orphans and malformed lines: as with everything broadcast."""
+    rows = [
+        ("1", "1", "5", "a", "1"), ("1", "1", "5", "a", "1.0"), ("1", "1", "x", None, "1"), ("1", "2", "x", None, None), ("1", "2", None, None, None),
+        ("\\N", "3", "1", None, None), (None, "3", "1", None, None), ("9", "4", None, None, "-0.0"), ("9", "4", None, None, "0.0"), ("2", "1", None, None, "NaN"),
+        (None, None, None, None, None), (None, None, None, None, None), ("2", "x", None, None, None), ("2", "0", None, None, "-1"),
+    ]
+    raw = raw_rows(spark, LAPS, rows)
+    lines = raw.withColumn("_malformed", F.when(F.col("_row_id").isin(3, 11), "a line"))
+    alone = Contract(LAPS.dataset, LAPS.ddl, LAPS.key, LAPS.rules)
+    for r in (raw, lines):
+        for contract in (LAPS, alone):
+            one, other = (gate(r, contract, {"races": races(spark, 1, 2)}, x) for x in (LIMITS, _one_way()))
+            assert other.rows.columns == one.rows.columns and other.rows.dtypes == one.rows.dtypes
+            got, want = (sorted(map(repr, s.rows.collect())) for s in (other, one))
+            assert got == want
