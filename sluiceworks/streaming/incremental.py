@@ -66,8 +66,8 @@ class IncrementalGate:
         ]
 
     def _smaller(self, frame: DataFrame) -> DataFrame:
-        """``frame``, to be broadcast if it is measured to be small."""
-        return F.broadcast(frame) if fits_broadcast(frame, self.limits) else frame
+        """``frame``, to be broadcast if it is measured to be small, and only then: files of row ids are much smaller than they."""
+        return F.broadcast(frame) if fits_broadcast(frame, self.limits) else frame.hint("merge")
 
     def current(self) -> DataFrame | None:
         """Every landed row once, with its latest verdict; nothing before the first epoch."""

@@ -95,3 +95,14 @@ def test_a_stream_that_is_started_again(spark):
         flow.stream({"races": spark.readStream.schema(schema).parquet(landing)})
     assert sorted(r.race_id for r in flow.gates["races"].trusted.collect()) == [1, 2]
     assert sorted(r["_reasons"] for r in flow.gates["races"].rejected.collect()) == ["bad_year", "exact_duplicate"]
+
+
+def test_ids_measured_to_be_many_are_not_broadcast(spark):
+    """The files of row ids are small, their rows are not: Spark must not go by the files."""
+    flow = IncrementalFlow(spark, {"races": RACES}, workspace(spark, "inc"), TINY)
+    for year in ("2000", "2001"):
+        flow.land({"races": raw(spark, "races", [("1", year), ("2", "2000")])})
+    rows = flow.gates["races"].current()
+    assert rows.count() == 4
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
