@@ -33,15 +33,18 @@ def typed(raw: DataFrame, contract: Contract) -> DataFrame:
 
 
 def typed_by(raw: DataFrame, contract: Contract, by: Sequence[str], parts: int | None = None) -> DataFrame:
-    """The rows of ``typed`` with those of equal ``by`` (key columns) in one partition.
+    """The rows of ``typed`` with those of equal ``by`` (key columns) in one partition, sorted by the key.
 
-    Only the key is typed before the rows travel; an original that is the key's value does not travel beside it.
+    Only the key is typed before the rows travel; an original that is the key's value does not travel beside it. What is
+    sorted is what has travelled: the other values are typed once the rows lie in order.
     """
     keys = [c for c in contract.columns if c.name in contract.key]
     others = [c for c in contract.columns if c.name not in contract.key]
     told = [original(c.source) for c in keys if _is_original(raw, c)]
     rows = typed(raw, contract)
     moved = rows.drop(*told, *[c.name for c in others]).repartition(*([parts] if parts else []), *by)
+    first = [*by, *[c.name for c in keys if c.name not in by]]
+    moved = moved.sortWithinPartitions(*first)
     values = [f"{value_of(c, f'`{original(c.source)}`')} AS `{c.name}`" for c in others]
     back = [f"`{c.name}` AS `{original(c.source)}`" for c in keys if original(c.source) in told]
     return moved.selectExpr("*", *back, *values).select(*[f"`{c}`" for c in rows.columns])

@@ -13,14 +13,14 @@ from pyspark.sql import functions as F
 from sluiceworks.contract import Contract
 from sluiceworks.operators.checks import FOUND, original, typed, typed_by, with_row_findings
 from sluiceworks.operators.census import census, weighed
-from sluiceworks.operators.duplicates import with_duplicate_findings, with_findings_in_place
+from sluiceworks.operators.duplicates import verdicts_are_small, with_duplicate_findings, with_findings_in_place
 from sluiceworks.operators.keyed import LIMITS, Findings, Limits
 from sluiceworks.operators.references import Parent, large_references, with_reference_findings
 from sluiceworks.sources.raw import MALFORMED, PROVENANCE, ROW_ID
 
 REASONS = "_reasons"
 QUARANTINED_AT = "_quarantined_at"
-PART_ROWS = 500_000
+PART_ROWS, MOST_PART_ROWS = 150_000, 1_200_000
 
 
 @dataclass(frozen=True)
@@ -89,8 +89,8 @@ def gate(
             repeated, used = census(raw, contract, large, limits)
         else:
             _, used = census(raw, contract, large, limits, keys=False)
-        if not repeated.small and repeated.heaviest <= limits.task_rows:
-            by = contract.key
+        if not verdicts_are_small(repeated) and repeated.heaviest <= limits.task_rows:
+            by, parts = contract.key, _parts(raw, raw.count())
     if by:
         # The rows travel once, and all their copies (and the parent's key) are there when they arrive.
         base = with_row_findings(typed_by(raw, contract, by, parts), contract)
@@ -108,8 +108,14 @@ def gate(
 
 
 def _parts(raw: DataFrame, rows: int) -> int:
-    """Partitions of rows that can be sorted in memory, not fewer than the session's."""
-    return max(int(raw.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows / PART_ROWS))
+    """Partitions small enough to be sorted in a small part of a task's memory.
+
+    Up to the bypass threshold rows go straight to the shuffle's files; with more partitions the side that writes them
+    sorts as well, and may spill them. So beyond it partitions grow first, to what a task still holds.
+    """
+    straight = int(raw.sparkSession.sparkContext.getConf().get("spark.shuffle.sort.bypassMergeThreshold", "200"))
+    session = int(raw.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(min(max(session, math.ceil(rows / PART_ROWS)), straight), math.ceil(rows / MOST_PART_ROWS))
 
 
 def reason_counts(rejected: DataFrame) -> DataFrame:

@@ -1,3 +1,7 @@
+import re
+import sys
+from dataclasses import replace
+
 import pytest
 from helpers import LAPS, RACES, RUN_TS, TINY, raw_rows, reasons
 from hypothesis import HealthCheck, given, settings
@@ -252,3 +256,54 @@ def test_rows_that_travel_get_the_same_reasons(spark):
             assert other.rows.columns == one.rows.columns and other.rows.dtypes == one.rows.dtypes
             got, want = (sorted(map(repr, s.rows.collect())) for s in (other, one))
             assert got == want
+
+
+def _plan(staged):
+    return staged.rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_are_sorted_as_they_travelled(spark):
+    """Values are typed after the sort: what is sorted is what came out of the shuffle."""
+    rows = [("1", str(i // 2), str(i % 3), None, None) for i in range(60)]
+    alone = Contract(LAPS.dataset, LAPS.ddl, LAPS.key, LAPS.rules)
+    for contract in (LAPS, alone):
+        plan = _plan(laps(spark, rows, _one_way()) if contract is LAPS else gate(raw_rows(spark, alone, rows), alone, limits=_one_way()))
+        assert re.search(r"Sort \[[^\n]*\n[^\n]*Exchange hashpartitioning[^\n]*REPARTITION_BY", plan)
+
+
+def test_parts_follow_the_rows(spark, monkeypatch):
+    """However few partitions the session has and whatever the shuffle's files weigh, a task sorts a bounded number of rows."""
+    module = sys.modules[gate.__module__]
+    assert [module._parts(spark.range(1), n) for n in (0, 1_500_000, 36_000_000, 360_000_000)] == [8, 10, 200, 300]
+    monkeypatch.setattr(module, "PART_ROWS", 3)
+    rows = [("1", str(i // 2), str(i % 3), None, None) for i in range(60)]
+    alone = Contract(LAPS.dataset, LAPS.ddl, LAPS.key, LAPS.rules)
+    assert re.search(r"Exchange hashpartitioning\([^\n]*, 20\), REPARTITION_BY_NUM", _plan(gate(raw_rows(spark, alone, rows), alone, limits=_one_way())))
+
+
+def test_verdicts_too_large_to_be_broadcast_are_found_in_place(spark):
+    """Repeated keys few enough to be broadcast, but not with a row to keep each: the rows move once, without a join."""
+    rows = [("1", str(i // 2), "5", None, None) for i in range(60)]
+    alone = Contract(LAPS.dataset, LAPS.ddl, LAPS.key, LAPS.rules)
+    raw = raw_rows(spark, alone, rows)
+    staged = gate(raw, alone, limits=replace(LIMITS, broadcast_bytes=2_000))
+    plan = _plan(staged)
+    assert plan.count("REPARTITION_BY") == 1 and "Join" not in plan
+    got, want = (sorted(map(repr, s.rows.collect())) for s in (staged, gate(raw, alone)))
+    assert got == want
+
+
+def test_the_split_is_written_unsorted(spark, tmp_path):
+    """A session that does not say how many files may be open gets both of the split; one that allows more keeps that."""
+    from sluiceworks.plans.flow import store
+    from sluiceworks.session import OPEN_FILES
+
+    was = spark.conf.get(OPEN_FILES)
+    try:
+        for given, left in (("0", "4"), ("9", "9")):
+            spark.conf.set(OPEN_FILES, given)
+            stored = store(laps(spark, [("1", "1", None, None, None), ("x", "2", None, None, None)], LIMITS), str(tmp_path))
+            assert spark.conf.get(OPEN_FILES) == left
+            assert (stored.trusted.count(), stored.rejected.count()) == (1, 1)
+    finally:
+        spark.conf.set(OPEN_FILES, was)
