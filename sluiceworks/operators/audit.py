@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from sluiceworks.operators.gate import dealt_out
+from sluiceworks.operators.keyed import LIMITS, Limits
 from sluiceworks.sources.raw import MALFORMED
 
 LAYERS = ("bronze", "silver", "quarantine")
@@ -118,10 +120,11 @@ def mart_audit(marts: Mapping[str, tuple[DataFrame, str]], expected: DataFrame)
     )
 
 
-def key_uniqueness(df: DataFrame, key: list[str], dataset: str) -> DataFrame:
+def key_uniqueness(df: DataFrame, key: list[str], dataset: str, limits: Limits = LIMITS) -> DataFrame:
     """Rows against distinct keys, from one count per key."""
     return (
-        df.groupBy(*key)
+        dealt_out(df.select(*key), key, limits)
+        .groupBy(*key)
         .agg(F.count("*").alias("_copies"))
         .agg(
             F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows"),

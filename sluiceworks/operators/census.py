@@ -72,3 +72,10 @@ def weighed(
         c: counted.where(F.col(f"_out_{v}") == 0).select(F.col(v).alias(c), F.col("_n").alias("_uses")) for c, v in values.items()
     }
     return size.rows or 0, size.most or 0, used
+
+
+def heaviest_bucket(rows: DataFrame, by: Sequence[str]) -> tuple[int, int]:
+    """Rows in all, and the most that one value of ``by`` can have: those of its hash bucket."""
+    counted = rows.groupBy(F.pmod(F.xxhash64(*by), F.lit(BUCKETS)).alias("_bucket")).agg(F.count("*").alias("_n"))
+    size = counted.agg(F.sum("_n").alias("rows"), F.max("_n").alias("most")).first()
+    return size.rows or 0, size.most or 0

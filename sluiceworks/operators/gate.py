@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sluiceworks.contract import Contract
 from sluiceworks.operators.checks import FOUND, original, typed, typed_by, with_row_findings
-from sluiceworks.operators.census import census, weighed
+from sluiceworks.operators.census import census, heaviest_bucket, weighed
 from sluiceworks.operators.duplicates import verdicts_are_small, with_duplicate_findings, with_findings_in_place
 from sluiceworks.operators.keyed import LIMITS, Findings, Limits
 from sluiceworks.operators.references import Parent, large_references, with_reference_findings
@@ -118,6 +118,18 @@ def _parts(raw: DataFrame, rows: int) -> int:
     return max(min(max(session, math.ceil(rows / PART_ROWS)), straight), math.ceil(rows / MOST_PART_ROWS))
 
 
+def dealt_out(keys: DataFrame, by: Sequence[str], limits: Limits = LIMITS) -> DataFrame:
+    """Narrow rows that are to be counted per key, dealt out by ``by`` (a part of that key) uncounted.
+
+    Where keys hardly repeat, counting before the shuffle saves nothing and holds a task's whole input in memory. Few rows
+    stay where they are, and so do values heavier than a task's share: those do shrink before the shuffle.
+    """
+    total, most = heaviest_bucket(keys, by)
+    if total <= PART_ROWS or most > limits.task_rows:
+        return keys
+    return keys.repartition(_parts(keys, total), *by)
+
+
 def reason_counts(rejected: DataFrame) -> DataFrame:
     """``(reason, rows)`` from the comma-joined reasons of a quarantine."""
     return (

@@ -113,3 +113,26 @@ def test_median_with_infinities_and_nan(spark):
     for task_values in (10, 2_000_000):
         got = {r.g: r["median"] for r in exact_median(counts, ["g"], "v", task_values, 8).collect()}
         assert got == {"a": 52.0, "b": 0.0, "c": inf}
+
+
+def test_keys_that_hardly_repeat_travel_uncounted(spark, monkeypatch):
+    """Unique keys are dealt out as they are, few and heavy ones counted before; the figures are the same."""
+    import sys
+    from dataclasses import replace
+
+    from sluiceworks.operators.gate import dealt_out
+    from sluiceworks.operators.keyed import LIMITS
+
+    values = [0.0, -0.0, float("nan"), float("nan"), None, None, *map(float, range(1, 40))]
+    keys = spark.createDataFrame([(v, i % 2) for v in values for i in range(2)], "a double, b int")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY" not in plan(audit.key_uniqueness(keys, ["a", "b"], "k"))
+    want = audit.key_uniqueness(keys, ["a", "b"], "k").collect()
+    assert [tuple(r) for r in want] == [("k", 90, 84, False)]
+    monkeypatch.setattr(sys.modules[dealt_out.__module__], "PART_ROWS", 10)
+    many = audit.key_uniqueness(keys, ["a", "b"], "k")
+    # Nothing is counted below the shuffle of the keys.
+    assert "REPARTITION_BY_NUM" in plan(many) and "HashAggregate" not in plan(many).split("REPARTITION_BY_NUM")[1]
+    assert many.collect() == want
+    heavy = audit.key_uniqueness(keys, ["a", "b"], "k", replace(LIMITS, task_rows=1))
+    assert "REPARTITION_BY" not in plan(heavy) and heavy.collect() == want
