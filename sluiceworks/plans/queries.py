@@ -17,7 +17,7 @@ from sluiceworks.operators.checks import typed
 from sluiceworks.operators.duplicates import key_verdicts, repeated_keys, suspect_rows
 from sluiceworks.operators.difference import bucket_totals, comparison, differing_rows
 from sluiceworks.operators.expectations import Expectation, ExpectationFailedError
-from sluiceworks.operators.gate import REASONS, Staged, gate, reason_counts
+from sluiceworks.operators.gate import REASONS, Staged, dealt_out, gate, reason_counts
 from sluiceworks.operators.joins import join_audit
 from sluiceworks.operators.lineage import Trail, trace
 from sluiceworks.operators.ranking import history_of_leaders, series_minimum, top
@@ -378,9 +378,8 @@ def predicted_quarantine(spark, folder):
         F.lit("orders").alias("dataset"), "predicted"
     )
     lost = orders.where(wrong | (key % 127 == 0)).select(F.col("o_orderkey").alias("l_orderkey"))
-    per_key = commerce.table(spark, folder, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(
-        F.count("*").alias("n")
-    )
+    lines = dealt_out(commerce.table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber"), ["l_orderkey"])
+    per_key = lines.groupBy("l_orderkey", "l_linenumber").agg(F.count("*").alias("n"))
     per_order = per_key.groupBy("l_orderkey").agg(
         F.sum("n").alias("all_lines"), F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)).alias("repeated")
     )
