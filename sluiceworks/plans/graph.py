@@ -104,7 +104,7 @@ class Graph:
                 contract = self.contracts[name]
                 parents = {r.parent: parent(r.parent) for r in contract.references}
                 landed = overwrite(self.raw(spark, name).drop(ROW_ID), f"{schema}.{RAW.format(name)}")
-                publish_split(gate(with_row_id(landed), contract, parents, limits), schema)
+                publish_split(gate(with_row_id(landed, by_name=True), contract, parents, limits), schema)
             else:
                 d = self.datasets[name]
                 overwrite(d.make(*(read_table(spark, f"{schema}.{n}") for n in d.needs)), f"{schema}.{name}", d.expectations)

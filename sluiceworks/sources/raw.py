@@ -22,15 +22,21 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     The id comes from the Parquet reader, so it does not change when a lost task is run again,
     whichever way the files are split.
     """
-    return with_row_id(spark.read.parquet(path))
+    return with_row_id(spark.read.parquet(path), by_name=True)
 
 
-def with_row_id(scan: DataFrame) -> DataFrame:
-    """Adds ``_row_id`` to a DataFrame that is a plain Parquet scan."""
+def with_row_id(scan: DataFrame, by_name: bool = False) -> DataFrame:
+    """Adds ``_row_id`` to a DataFrame that is a plain Parquet scan.
+
+    With ``by_name`` files that all lie in one folder are told by their names, which sort as their paths do: a path is
+    often longer than the row that carries it.
+    """
+    short = by_name and len({file.rpartition("/")[0] for file in scan.inputFiles()}) == 1
     return scan.select(
         "*",
         F.struct(
-            F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
+            F.col("_metadata.file_name" if short else "_metadata.file_path").alias("file"),
+            F.col("_metadata.row_index").alias("row"),
         ).alias(ROW_ID),
     )
 

@@ -136,3 +136,18 @@ def test_keys_that_hardly_repeat_travel_uncounted(spark, monkeypatch):
     assert many.collect() == want
     heavy = audit.key_uniqueness(keys, ["a", "b"], "k", replace(LIMITS, task_rows=1))
     assert "REPARTITION_BY" not in plan(heavy) and heavy.collect() == want
+
+
+def test_rows_are_told_by_file_names_only_within_one_folder(spark, tmp_path):
+    from sluiceworks.sources import read_parquet
+
+    rows = spark.range(40).selectExpr("id", "id % 2 AS side").repartition(2)
+    rows.write.parquet(f"{tmp_path}/plain")
+    rows.write.partitionBy("side").parquet(f"{tmp_path}/split")
+    for folder, whole in (("plain", False), ("split", True)):
+        ids = [r[0] for r in read_parquet(spark, f"{tmp_path}/{folder}").select("_row_id").collect()]
+        assert len(set(ids)) == 40
+        assert {"/" in i.file for i in ids} == {whole}
+    by_path = spark.read.parquet(f"{tmp_path}/plain").orderBy("_metadata.file_path", "_metadata.row_index").select("id")
+    by_name = read_parquet(spark, f"{tmp_path}/plain").orderBy("_row_id").select("id")
+    assert by_name.collect() == by_path.collect()
