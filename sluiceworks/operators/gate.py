@@ -118,6 +118,11 @@ def _parts(raw: DataFrame, rows: int) -> int:
     return max(min(max(session, math.ceil(rows / PART_ROWS)), straight), math.ceil(rows / MOST_PART_ROWS))
 
 
+def in_parts(rows: DataFrame, total: int, by: Sequence[str]) -> DataFrame:
+    """All ``total`` rows dealt out by ``by``, no value of which is too heavy, in bounded parts; few stay where they are."""
+    return rows.repartition(_parts(rows, total), *by) if total > PART_ROWS else rows
+
+
 def dealt_out(keys: DataFrame, by: Sequence[str], limits: Limits = LIMITS) -> DataFrame:
     """Narrow rows that are to be counted per key, dealt out by ``by`` (a part of that key) uncounted.
 
@@ -125,9 +130,7 @@ def dealt_out(keys: DataFrame, by: Sequence[str], limits: Limits = LIMITS) -> Da
     stay where they are, and so do values heavier than a task's share: those do shrink before the shuffle.
     """
     total, most = heaviest_bucket(keys, by)
-    if total <= PART_ROWS or most > limits.task_rows:
-        return keys
-    return keys.repartition(_parts(keys, total), *by)
+    return keys if most > limits.task_rows else in_parts(keys, total, by)
 
 
 def reason_counts(rejected: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sluiceworks.operators.census import heaviest_bucket
+from sluiceworks.operators.gate import in_parts
 from sluiceworks.operators.keyed import LIMITS, Limits, fits_broadcast, settle, spread_join
 
 
@@ -18,12 +20,15 @@ def lookup(
 ) -> DataFrame:
     """Equi-join of a fact with a dimension that has one row per ``key``, on the shared name.
 
-    A dimension measured to be small is broadcast. Otherwise the fact's heavy keys are looked for
-    first (counting starts before the shuffle); only if there are any are those spread.
-    ``identity`` names fact columns that tell rows apart.
+    A dimension measured to be small is broadcast. Otherwise hash buckets bound the rows of any one key, and the fact is
+    dealt out in parts small enough to be sorted. Only a bucket heavier than a task's share makes keys be counted
+    one by one; the heavy ones among them are spread. ``identity`` names fact columns that tell rows apart.
     """
     if fits_broadcast(dimension, limits):
         return fact.join(F.broadcast(dimension), key, how)
+    total, most = heaviest_bucket(fact.select(key), [key])
+    if most <= limits.task_rows:
+        return in_parts(fact, total, [key]).join(dimension, key, how)
     heavy = fact.groupBy(key).agg(F.count("*").alias("_uses")).where(F.col("_uses") > limits.task_rows)
     sizes = settle(heavy, [key], "_uses", limits)
     if sizes.rows == 0:

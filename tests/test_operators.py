@@ -1,10 +1,12 @@
 import random
 import statistics
+import sys
 
 import pytest
 from pyspark.sql import functions as F
 
 from sluiceworks.operators import audit
+from sluiceworks.operators.gate import gate
 from sluiceworks.operators.joins import join_audit, lookup
 from sluiceworks.operators.keyed import Limits
 from sluiceworks.operators.medians import exact_median, value_counts
@@ -151,3 +153,26 @@ def test_rows_are_told_by_file_names_only_within_one_folder(spark, tmp_path):
     by_path = spark.read.parquet(f"{tmp_path}/plain").orderBy("_metadata.file_path", "_metadata.row_index").select("id")
     by_name = read_parquet(spark, f"{tmp_path}/plain").orderBy("_row_id").select("id")
     assert by_name.collect() == by_path.collect()
+
+
+def _small_parts(monkeypatch, rows):
+    module = sys.modules[gate.__module__]
+    monkeypatch.setattr(module, "PART_ROWS", rows)
+    monkeypatch.setattr(module, "MOST_PART_ROWS", rows)
+
+
+def _dealt(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("REPARTITION_BY_NUM")
+
+
+def test_lookup_deals_a_large_fact_out_in_parts(spark, monkeypatch):
+    fact = spark.range(1000).select("id", F.when(F.col("id") % 10 > 0, F.col("id") % 300).alias("k"))
+    dim = spark.range(200).select(F.col("id").alias("k"), (F.col("id") * 2).alias("twice"))
+    want = sorted((i, 2 * (i % 300)) for i in range(1000) if i % 10 and i % 300 < 200)
+    for rows, task_rows, parts in ((10, 5_000_000, 1), (5000, 5_000_000, 0), (10, 50, 0)):
+        _small_parts(monkeypatch, rows)
+        limits = Limits(broadcast_rows=0, task_rows=task_rows)
+        got = lookup(fact, dim, "k", ["id"], limits=limits)
+        assert _dealt(got) == parts
+        assert sorted((r.id, r.twice) for r in got.collect()) == want
+        assert lookup(fact, dim, "k", ["id"], "left", limits).count() == 1000
