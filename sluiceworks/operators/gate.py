@@ -133,6 +133,24 @@ def dealt_out(keys: DataFrame, by: Sequence[str], limits: Limits = LIMITS) -> Da
     return keys if most > limits.task_rows else in_parts(keys, total, by)
 
 
+def dealt_out_if_many(
+    rows: DataFrame, key: Sequence[str], by: Sequence[str] | None = None, limits: Limits = LIMITS
+) -> DataFrame:
+    """Rows that are to be grouped by ``key``, dealt out by ``by`` (a part of that key, or all) if a task could not hold its groups.
+
+    Grouping starts before the shuffle and holds every group a task meets. With few groups that is little and saves the
+    shuffle; with more than a part may have rows, it spills and saves hardly any. Values heavier than a task's share stay.
+    """
+    by = list(by or key)
+    total = rows.count()
+    if total <= MOST_PART_ROWS:
+        return rows
+    groups = rows.agg(F.approx_count_distinct(F.xxhash64(*key)).alias("groups")).first().groups
+    if groups <= MOST_PART_ROWS or heaviest_bucket(rows, by)[1] > limits.task_rows:
+        return rows
+    return in_parts(rows, total, by)
+
+
 def reason_counts(rejected: DataFrame) -> DataFrame:
     """``(reason, rows)`` from the comma-joined reasons of a quarantine."""
     return (

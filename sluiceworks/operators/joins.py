@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluiceworks.operators.census import heaviest_bucket
-from sluiceworks.operators.gate import in_parts
+from sluiceworks.operators.gate import dealt_out_if_many, in_parts
 from sluiceworks.operators.keyed import LIMITS, Limits, fits_broadcast, settle, spread_join
 
 
@@ -40,10 +40,12 @@ def lookup(
 def join_audit(fact: DataFrame, dimension: DataFrame, key: str, dimension_key: str, name: str) -> DataFrame:
     """What an inner join would do, without running it on the wide rows.
 
-    ``lost`` are fact rows without a parent, ``joined`` the rows the join would return.
+    ``lost`` are fact rows without a parent, ``joined`` the rows the join would return. Keys too many for a task are
+    dealt out before they are counted.
     """
-    used = fact.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_uses"))
-    parents = dimension.groupBy(F.col(dimension_key).alias("_parent")).agg(F.count("*").alias("_rows"))
+    keys, others = fact.select(F.col(key).alias("_key")), dimension.select(F.col(dimension_key).alias("_parent"))
+    used = dealt_out_if_many(keys, ["_key"]).groupBy("_key").agg(F.count("*").alias("_uses"))
+    parents = dealt_out_if_many(others, ["_parent"]).groupBy("_parent").agg(F.count("*").alias("_rows"))
     matched = F.coalesce("_rows", F.lit(0))
     return (
         used.join(parents, F.col("_key") == F.col("_parent"), "left")

@@ -176,3 +176,16 @@ def test_lookup_deals_a_large_fact_out_in_parts(spark, monkeypatch):
         assert _dealt(got) == parts
         assert sorted((r.id, r.twice) for r in got.collect()) == want
         assert lookup(fact, dim, "k", ["id"], "left", limits).count() == 1000
+
+
+def test_join_audit_deals_many_keys_out_uncounted(spark, monkeypatch):
+    fact = spark.range(500).select(F.when(F.col("id") % 5 > 0, F.col("id") % 100).alias("k"))
+    dim = spark.range(90).select((F.col("id") % 60).alias("k"))
+    rows = [i % 100 for i in range(500) if i % 5]
+    lost = 100 + sum(k >= 60 for k in rows)
+    added = sum(k < 30 for k in rows)
+    for small, parts in ((10, 2), (450, 0)):
+        _small_parts(monkeypatch, small)
+        audited = join_audit(fact, dim, "k", "k", "x")
+        assert _dealt(audited) == parts
+        assert tuple(audited.first())[1:] == (500, 500 - lost + added, lost, added, False)
