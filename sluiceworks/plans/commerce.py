@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sluiceworks.contract import Contract, Reference
 from sluiceworks.functions import NULL_MARKER, count_where, decimal_sum, exact_sum, money
 from sluiceworks.operators.describe import Describer
+from sluiceworks.operators.gate import dealt_out_if_many
 from sluiceworks.operators.joins import lookup
 from sluiceworks.operators.medians import exact_median, group_sizes, value_counts
 from sluiceworks.sources import at_rest
@@ -280,7 +281,8 @@ def customer_year_summary(orders: DataFrame, customer: DataFrame) -> DataFrame:
     """One row per year and customer: orders, priority classes, spend, unprioritised, smallest."""
     urgent = F.col("order_priority") == "1-URGENT"
     high = F.col("order_priority") <= "2-HIGH"
-    per_key = orders.groupBy(F.year("order_date").alias("year"), "cust_key").agg(
+    dated = orders.select(F.year("order_date").alias("year"), "cust_key", "order_priority", "total_price")
+    per_key = dealt_out_if_many(dated, ["year", "cust_key"], ["cust_key"]).groupBy("year", "cust_key").agg(
         F.count("*").alias("orders"),
         count_where(urgent).alias("urgent"),
         count_where(high).alias("urgent_or_high"),
@@ -301,7 +303,8 @@ def customer_year_summary(orders: DataFrame, customer: DataFrame) -> DataFrame:
 
 def brand_year_summary(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     """One row per ship year and brand, from sums per part."""
-    per_part = lineitem.groupBy(F.year("l_shipdate").alias("year"), "l_partkey").agg(
+    shipped = lineitem.select(F.year("l_shipdate").alias("year"), "l_partkey", "l_returnflag", "l_extendedprice", "l_quantity")
+    per_part = dealt_out_if_many(shipped, ["year", "l_partkey"], ["l_partkey"]).groupBy("year", "l_partkey").agg(
         F.count("*").alias("lines"),
         count_where(F.col("l_returnflag") == "R").alias("returned"),
         F.sum(F.col("l_extendedprice").cast("decimal(28,10)")).alias("revenue"),

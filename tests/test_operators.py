@@ -11,6 +11,7 @@ from sluiceworks.operators.joins import join_audit, lookup
 from sluiceworks.operators.keyed import Limits
 from sluiceworks.operators.medians import exact_median, value_counts
 from sluiceworks.operators.ranking import history_of_leaders, series_minimum, top
+from sluiceworks.plans import commerce
 
 
 @pytest.mark.parametrize("task_values", [1_000_000, 7])
@@ -189,3 +190,28 @@ def test_join_audit_deals_many_keys_out_uncounted(spark, monkeypatch):
         audited = join_audit(fact, dim, "k", "k", "x")
         assert _dealt(audited) == parts
         assert tuple(audited.first())[1:] == (500, 500 - lost + added, lost, added, False)
+
+
+def test_marts_of_many_groups_are_the_same(spark, monkeypatch):
+    day = F.date_add(F.lit("2000-01-01").cast("date"), (F.col("id") * 37 % 900).cast("int"))
+    price = F.col("id") / 8
+    orders = spark.range(400).select(
+        F.col("id").alias("order_key"), F.when(F.col("id") % 11 > 0, F.col("id") % 90).alias("cust_key"),
+        F.when(F.col("id") % 7 > 0, F.lit("1-URGENT")).alias("order_priority"), F.col("id").alias("total_price"),
+        day.alias("order_date"),
+    )
+    who = spark.range(80).select(F.col("id").alias("c_custkey"), F.lit("n").alias("c_name"), F.lit("s").alias("c_mktsegment"))
+    lines = spark.range(400).select(
+        (F.col("id") % 90).alias("l_partkey"), F.when(F.col("id") % 3 > 0, F.lit("R")).alias("l_returnflag"),
+        price.alias("l_extendedprice"), price.alias("l_quantity"), F.when(F.col("id") % 13 > 0, day).alias("l_shipdate"),
+    )
+    parts = spark.range(80).select(F.col("id").alias("p_partkey"), (F.col("id") % 4).cast("string").alias("p_brand"))
+    for mart, facts, others in (
+        (commerce.customer_year_summary, orders, who), (commerce.brand_year_summary, lines, parts),
+    ):
+        _small_parts(monkeypatch, 1000)
+        want = mart(facts, others)
+        _small_parts(monkeypatch, 20)
+        got = mart(facts, others)
+        assert (_dealt(want), _dealt(got)) == (0, 1)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
