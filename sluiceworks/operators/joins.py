@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sluiceworks.operators.census import heaviest_bucket
 from sluiceworks.operators.gate import dealt_out_if_many, in_parts
-from sluiceworks.operators.keyed import LIMITS, Limits, fits_broadcast, settle, spread_join
+from sluiceworks.operators.keyed import LIMITS, Limits, fits_broadcast, merged, settle, spread_join
 
 
 def lookup(
@@ -28,15 +28,24 @@ def lookup(
         return fact.join(F.broadcast(dimension), key, how)
     total, most = heaviest_bucket(fact.select(key), [key])
     if most <= limits.task_rows:
-        return in_parts(fact, total, [key]).join(dimension, key, how)
+        return in_parts(fact, total, [key]).join(merged(dimension), key, how)
     heavy = fact.groupBy(key).agg(F.count("*").alias("_uses")).where(F.col("_uses") > limits.task_rows)
     sizes = settle(heavy, [key], "_uses", limits)
     if sizes.rows == 0:
-        return fact.join(dimension, key, how)
+        return fact.join(merged(dimension), key, how)
     over = sizes.frame.where(F.col("_uses") > sizes.rows_per_task)
     return spread_join(fact, dimension, over, sizes, identity, how)
 
 
+def beside(rows: DataFrame, dimension: DataFrame, key: str, limits: Limits = LIMITS) -> DataFrame:
+    """Inner join with a dimension that has one row per ``key``, where no key has many of the ``rows``.
+
+    A dimension measured to be small is broadcast, any other one is merged.
+    """
+    hint = F.broadcast if fits_broadcast(dimension, limits) else merged
+    return rows.join(hint(dimension), key)
+
+
 def join_audit(fact: DataFrame, dimension: DataFrame, key: str, dimension_key: str, name: str) -> DataFrame:
     """What an inner join would do, without running it on the wide rows.
 

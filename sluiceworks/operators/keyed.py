@@ -93,6 +93,15 @@ def fits_broadcast(frame: DataFrame, limits: Limits = LIMITS) -> bool:
     return size.rows <= limits.broadcast_rows and (size.bytes or 0) <= limits.broadcast_bytes
 
 
+def merged(frame: DataFrame) -> DataFrame:
+    """The side of a join that is not to be broadcast.
+
+    Spark's own choice goes by the size of files. For few columns of compressed ones that can be a fiftieth of the rows,
+    and the driver would collect them all.
+    """
+    return frame.hint("merge")
+
+
 def same_key(keys: list[str], prefix: str) -> Column:
     """NULL-safe equality of the key columns with their prefixed twins."""
     return reduce(
@@ -125,7 +134,8 @@ def spread_join(
 
     Keys above ``rows_per_task`` are few by the pigeonhole principle, so their list may be broadcast;
     it tells in how many parts each is cut. A row's part follows from its identity, so a task that is
-    run again cuts the same way. ``other`` is repeated once per part, for heavy keys only.
+    run again cuts the same way. ``other`` is repeated once per part, for heavy keys only. It is merged: its rows can be
+    many times what Spark makes of the size of their files.
     """
     keys, prefix = list(sizes.keys), "_found_"
     parts = F.ceil(F.col(sizes.weight) / sizes.rows_per_task).cast("int")
@@ -146,7 +156,7 @@ def spread_join(
         .drop("_parts", *["_cut_" + k for k in keys])
     )
     on = same_key(keys, prefix) & (F.col("_part") == F.col(prefix + "part"))
-    return cut_rows.join(copies, on, how).drop("_part", prefix + "part", *[prefix + k for k in keys])
+    return cut_rows.join(merged(copies), on, how).drop("_part", prefix + "part", *[prefix + k for k in keys])
 
 
 def _twins(keys: list[str], left: str, right: str) -> Column:

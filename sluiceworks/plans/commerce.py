@@ -11,7 +11,7 @@ from sluiceworks.contract import Contract, Reference
 from sluiceworks.functions import NULL_MARKER, count_where, decimal_sum, exact_sum, money
 from sluiceworks.operators.describe import Describer
 from sluiceworks.operators.gate import dealt_out_if_many
-from sluiceworks.operators.joins import lookup
+from sluiceworks.operators.joins import beside, lookup
 from sluiceworks.operators.medians import exact_median, group_sizes, value_counts
 from sluiceworks.sources import at_rest
 from sluiceworks.sources.raw import ROW_ID, as_text, read_parquet, stamped
@@ -295,7 +295,7 @@ def customer_year_summary(orders: DataFrame, customer: DataFrame) -> DataFrame:
         F.col("c_name").alias("customer"),
         F.col("c_mktsegment").alias("segment"),
     )
-    return per_key.join(names, "cust_key").select(
+    return beside(per_key, names, "cust_key").select(
         "year", "cust_key", "customer", "segment", "orders", "urgent", "urgent_or_high", "spend",
         "unprioritised", "smallest",
     )
@@ -312,7 +312,7 @@ def brand_year_summary(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     )
     brands = part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("brand"))
     return (
-        per_part.join(brands, "l_partkey")
+        beside(per_part, brands, "l_partkey")
         .groupBy("year", "brand")
         .agg(
             F.sum("lines").alias("lines"),
@@ -371,15 +371,16 @@ def nation_history(orders: DataFrame, customer: DataFrame, nation: DataFrame) ->
 
     Nations without any order are left out; those without an urgent one have 0.
     """
-    per_customer = orders.groupBy("cust_key").agg(
+    dated = orders.select(F.year("order_date").alias("year"), "cust_key", "order_priority")
+    per_customer = dealt_out_if_many(dated, ["cust_key"]).groupBy("cust_key").agg(
         F.count("*").alias("orders"),
-        F.min(F.year("order_date")).alias("first_year"),
-        F.max(F.year("order_date")).alias("last_year"),
+        F.min("year").alias("first_year"),
+        F.max("year").alias("last_year"),
         count_where(F.col("order_priority") == "1-URGENT").alias("urgent"),
     )
     at = customer.select(F.col("c_custkey").alias("cust_key"), F.col("c_nationkey").alias("n_nationkey"))
     return (
-        per_customer.join(at, "cust_key")
+        beside(per_customer, at, "cust_key")
         .groupBy("n_nationkey")
         .agg(
             F.sum("orders").alias("orders"),
@@ -394,7 +395,8 @@ def nation_history(orders: DataFrame, customer: DataFrame, nation: DataFrame) ->
 
 def segment_year_summary(orders: DataFrame, customer: DataFrame) -> DataFrame:
     """One row per year and market segment, from sums per customer."""
-    per_key = orders.groupBy(F.year("order_date").alias("year"), "cust_key").agg(
+    dated = orders.select(F.year("order_date").alias("year"), "cust_key", "order_priority", "total_price")
+    per_key = dealt_out_if_many(dated, ["year", "cust_key"], ["cust_key"]).groupBy("year", "cust_key").agg(
         F.count("*").alias("orders"),
         count_where(F.col("order_priority") == "1-URGENT").alias("urgent"),
         F.sum(F.col("total_price").cast("decimal(28,10)")).alias("spend"),
@@ -402,7 +404,7 @@ def segment_year_summary(orders: DataFrame, customer: DataFrame) -> DataFrame:
     )
     segments = customer.select(F.col("c_custkey").alias("cust_key"), F.col("c_mktsegment").alias("segment"))
     return (
-        per_key.join(segments, "cust_key")
+        beside(per_key, segments, "cust_key")
         .groupBy("year", "segment")
         .agg(
             F.sum("orders").alias("orders"),

@@ -240,6 +240,22 @@ def test_rows_travel_once(spark):
     assert plan.count("REPARTITION_BY") == 1 and "ENSURE_REQUIREMENTS" not in plan
 
 
+def test_large_parents_are_not_broadcast(spark, monkeypatch):
+    """A parent's keys are many rows of few bytes by Spark's estimate, by which it must not go."""
+    module, reports = sys.modules[Parent.__module__], []
+    settle = module.settle
+    monkeypatch.setattr(module, "settle", lambda frame, *args: reports.append(frame) or settle(frame, *args))
+    rows = raw_rows(spark, LAPS, [("1", str(i // 2), str(i % 3), None, None) for i in range(60)] + [("9", "1", None, None, None)])
+    parent = {"races": Parent(spark.range(1, 3).select(F.col("id").cast("int").alias("race_id")), ("race_id",))}
+    together, counted = (gate(rows, LAPS, parent, x) for x in (_one_way(), TINY))
+    assert len(reports) == 1
+    for frame in (together.rows, reports[0]):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin [race_id" in plan and "BroadcastHashJoin [race_id" not in plan
+    got, want = (sorted(r._reasons for r in s.rows.collect()) for s in (together, counted))
+    assert got == want and sum("orphan_race_id" in r for r in got) == 1
+
+
 def test_rows_that_travel_get_the_same_reasons(spark):
     """NULL keys, copies that are alike, conflicts, orphans and malformed lines: as with everything broadcast."""
     rows = [

@@ -215,3 +215,52 @@ def test_marts_of_many_groups_are_the_same(spark, monkeypatch):
         got = mart(facts, others)
         assert (_dealt(want), _dealt(got)) == (0, 1)
         assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_marts_merge_dimensions_measured_to_be_many(spark):
+    """More customers and parts than may be broadcast, whatever Spark makes of the size of their files."""
+    day = F.date_add(F.lit("2000-01-01").cast("date"), (F.col("id") * 37 % 900).cast("int"))
+    key = F.when(F.col("id") % 11 > 0, F.col("id") % 90)
+    orders = spark.range(400).select(
+        F.col("id").alias("order_key"), key.alias("cust_key"), F.when(F.col("id") % 7 > 0, F.lit("1-URGENT")).alias("order_priority"),
+        F.col("id").alias("total_price"), day.alias("order_date"),
+    )
+    lines = spark.range(400).select(
+        key.alias("l_partkey"), F.lit("R").alias("l_returnflag"), F.col("id").alias("l_extendedprice"), F.col("id").alias("l_quantity"),
+        day.alias("l_shipdate"),
+    )
+
+    def customers(n):
+        nation, segment = (F.col("id") % 3).cast("int"), (F.col("id") % 5).cast("string")
+        return spark.range(10, n).select(
+            F.col("id").alias("c_custkey"), F.lit("n").alias("c_name"), segment.alias("c_mktsegment"), nation.alias("c_nationkey")
+        )
+
+    def parts(n):
+        return spark.range(10, n).select(F.col("id").alias("p_partkey"), (F.col("id") % 4).cast("string").alias("p_brand"))
+
+    nations = spark.createDataFrame([(i, f"nation {i}") for i in range(3)], "n_nationkey int, n_name string")
+    for mart, facts, dimension, key, rest in (
+        (commerce.customer_year_summary, orders, customers, "cust_key", ()),
+        (commerce.segment_year_summary, orders, customers, "cust_key", ()),
+        (commerce.nation_history, orders, customers, "cust_key", (nations,)),
+        (commerce.brand_year_summary, lines, parts, "l_partkey", ()),
+    ):
+        few, many = mart(facts, dimension(200), *rest), mart(facts, dimension(Limits().broadcast_rows + 20), *rest)
+        assert f"BroadcastHashJoin [{key}" in _plan(few)
+        assert f"SortMergeJoin [{key}" in _plan(many) and f"BroadcastHashJoin [{key}" not in _plan(many)
+        assert sorted(map(str, many.collect())) == sorted(map(str, few.collect())) != []
+
+
+@pytest.mark.parametrize("part_rows, task_rows", [(10, 5_000_000), (10, 50), (10, 400)])
+def test_lookup_merges_what_is_not_measured_to_be_small(spark, monkeypatch, part_rows, task_rows):
+    fact = spark.range(1000).select("id", (F.col("id") % 3).alias("k"))
+    dim = spark.range(2).select(F.col("id").alias("k"), (F.col("id") * 2).alias("twice"))
+    _small_parts(monkeypatch, part_rows)
+    got = lookup(fact, dim, "k", ["id"], limits=Limits(broadcast_rows=0, task_rows=task_rows))
+    assert "SortMergeJoin [" in _plan(got)
+    assert sorted((r.id, r.twice) for r in got.collect()) == [(i, 2 * (i % 3)) for i in range(1000) if i % 3 < 2]
